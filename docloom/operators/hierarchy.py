@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -25,81 +25,103 @@ def csv_member_join(left: DataFrame, csv_col: str, right: DataFrame, key: str) -
     ).drop("member")
 
 
-def ancestors(
-    nodes: DataFrame,
-    id_col: str,
-    parent_col: str,
-    payload: Sequence[str] = (),
-    max_depth: int = 10,
-    where: Column | str | None = None,
-    root: object = 0,
-) -> DataFrame:
-    """Ancestor closure: ``(leaf, id, *payload, parent, depth)``.
+def _rows(nodes, id_col, parent_col, payload, where) -> tuple[DataFrame, bool]:
+    """Distinct ``(id, *payload, parent, taken)`` rows, materialized, and whether
+    every id has one row only (the usual tree)."""
+    taken = F.lit(True) if where is None else F.coalesce(
+        F.expr(where) if isinstance(where, str) else where, F.lit(False)
+    )
+    rows = nodes.select(
+        F.col(id_col).alias("id"), *payload, F.col(parent_col).alias("parent"), taken.alias("taken")
+    )
+    rows = cut_lineage(rows.distinct())
+    repeated = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return rows, repeated.isEmpty()
 
-    Every node is a leaf; the leaf itself has depth 1, its parents depth 2 and
-    so on up to ``max_depth``. Parents that are NULL, ``root`` or not a node
-    end the climb, each ancestor appears once at its least depth (cycles
-    included), and ``where`` restricts the nodes that take part.
 
-    The climb runs over the ids that occur as a parent, not over all leaves:
-    these are far fewer in a category tree, and a popular parent is climbed
-    once instead of once per child. The leaves join the result a single time.
+def _climb(rows: DataFrame, payload: Sequence[str], max_depth: int, root: object, single: bool):
+    """``(edges, climbed)``: the parent edges of the taken rows, and the chain
+    ``(head, id, *payload, parent, depth)`` of every id that occurs as a parent,
+    which itself has depth 2.
+
+    Only parents are climbed, not all leaves: these are far fewer in a category
+    tree, and a popular parent is climbed once instead of once per child.
     """
-    kept = nodes.filter(where) if where is not None else nodes
-    kept = kept.select(
-        F.col(id_col).alias("id"), *payload, F.col(parent_col).alias("parent")
-    ).distinct()
+    kept = rows.filter("taken").drop("taken")
     edges = kept.filter(F.col("parent").isNotNull() & (F.col("parent") != F.lit(root))).select(
         "id", "parent"
     )
-    edges = cut_lineage(edges.distinct())
+    edges = edges if single else edges.distinct()
     steps = broadcast_if_small(edges)
-
     frontier = edges.select(F.col("parent").alias("head"), F.col("parent").alias("at")).distinct()
     levels = []
     for depth in range(2, max_depth + 1):
         levels.append(frontier.withColumn("depth", F.lit(depth)))
         if depth == max_depth:
             break
-        frontier = cut_lineage(
-            frontier.join(steps, frontier["at"] == steps["id"], "inner")
-            .select("head", F.col("parent").alias("at"))
-            .distinct()
+        step = frontier.join(steps, frontier["at"] == steps["id"], "inner").select(
+            "head", F.col("parent").alias("at")
         )
+        # With one parent per id a head has one way up: nothing to merge.
+        frontier = cut_lineage(step if single else step.distinct())
         if frontier.isEmpty():
             break
-
-    own = kept.select(
-        F.col("id").alias("leaf"), "id", *payload, "parent", F.lit(1).alias("depth")
-    )
-    if not levels:
-        return own
     climbed = levels[0]
     for level in levels[1:]:
         climbed = climbed.unionByName(level)
+    # A cycle returns to the same ancestor at a greater depth.
     climbed = climbed.groupBy("head", "at").agg(F.min("depth").alias("depth"))
     # The payload is attached to the few inner nodes, not to every leaf row.
-    climbed = cut_lineage(
-        climbed.join(kept, climbed["at"] == kept["id"], "inner").select(
-            "head", "id", *payload, "parent", "depth"
-        )
+    climbed = climbed.join(kept, climbed["at"] == kept["id"], "inner").select(
+        "head", "id", *payload, "parent", "depth"
+    )
+    return edges, cut_lineage(climbed)
+
+
+def ancestors(
+    nodes: DataFrame,
+    id_col: str,
+    parent_col: str,
+    payload: Sequence[str] = (),
+    max_depth: int = 10,
+    where: Column | str | None = None,
+    root: object = 0,
+) -> DataFrame:
+    """Ancestor closure: ``(leaf, id, *payload, parent, depth)``.
+
+    Every node is a leaf; the leaf itself has depth 1, its parents depth 2 and
+    so on up to ``max_depth``. Parents that are NULL, ``root`` or not a node
+    end the climb, each ancestor appears once at its least depth (cycles
+    included), and ``where`` restricts the nodes that take part.
+    """
+    rows, single = _rows(nodes, id_col, parent_col, payload, where)
+    return _closure(rows, single, payload, max_depth, root)
+
+
+def _closure(rows, single, payload, max_depth, root) -> DataFrame:
+    own = rows.filter("taken").select(
+        F.col("id").alias("leaf"), "id", *payload, "parent", F.lit(1).alias("depth")
     )
+    if max_depth < 2:
+        return own
+    edges, climbed = _climb(rows, payload, max_depth, root, single)
     chains = broadcast_if_small(climbed)
     children = edges.select(F.col("id").alias("leaf"), F.col("parent").alias("child_of"))
-    above = (
-        children.join(chains, children["child_of"] == chains["head"], "inner")
-        .filter(F.col("leaf") != F.col("id"))
-        .groupBy("leaf", "id", *payload, "parent")
-        .agg(F.min("depth").alias("depth"))
+    above = children.join(chains, children["child_of"] == chains["head"], "inner").filter(
+        F.col("leaf") != F.col("id")
     )
-    return own.unionByName(above)
+    columns = ["leaf", "id", *payload, "parent"]
+    if single:
+        return own.unionByName(above.select(*columns, "depth"))
+    # Several parents may lead to one ancestor.
+    return own.unionByName(above.groupBy(*columns).agg(F.min("depth").alias("depth")))
 
 
 def ancestor_array(
     nodes: DataFrame,
     id_col: str,
     parent_col: str,
-    payload: dict[str, str],
+    payload: Mapping[str, str],
     max_depth: int = 10,
     where: Column | str | None = None,
     root: object = 0,
@@ -107,20 +129,39 @@ def ancestor_array(
 ) -> DataFrame:
     """``(leaf, part, out)``: each node's chain as an array of structs, leaf first.
 
-    ``payload`` maps node columns to struct field names. ``id`` and ``parent``
-    are named by it too. Nodes that ``where`` excludes get an empty array.
+    ``payload`` maps node columns, the id and parent among them, to struct
+    fields. Nodes that ``where`` excludes get an empty array. In a tree a chain
+    has at most ``max_depth`` entries and part is 0; where ids have many
+    parents, an oversized chain continues in further parts.
     """
     names = {id_col: "id", parent_col: "parent"}
     extra = [c for c in payload if c not in names]
-    closure = ancestors(nodes, id_col, parent_col, extra, max_depth, where, root)
     entry = F.struct(*[F.col(names.get(c, c)).alias(field) for c, field in payload.items()])
+    rows, single = _rows(nodes, id_col, parent_col, extra, where)
+    if single and max_depth > 1:
+        # Chains of parents are short and few: folded once, then one join.
+        _, climbed = _climb(rows, extra, max_depth, root, single)
+        chains = climbed.groupBy("head").agg(
+            F.sort_array(F.collect_list(F.struct("depth", "id", entry.alias("entry")))).alias("up")
+        )
+        chains = broadcast_if_small(cut_lineage(chains))
+        joined = rows.join(chains, rows["parent"] == chains["head"], "left")
+        others = F.filter("up", lambda step: step["id"] != F.col("id"))
+        above = F.coalesce(F.transform(others, lambda step: step["entry"]), F.array())
+        return joined.select(
+            F.col("id").alias("leaf"),
+            F.lit(0).cast("long").alias("part"),
+            F.when(F.col("taken"), F.concat(F.array(entry), above)).otherwise(F.array()).alias(out),
+        )
+    closure = _closure(rows, single, extra, max_depth, root)
     order = ["depth", "id", *extra, "parent"]
-    text = F.octet_length(F.to_json(entry)) + F.lit(8)
-    folded = fold_rows(closure, ["leaf"], entry, order, text.cast("long"), out)
-    leaves = nodes.select(F.col(id_col).alias("leaf")).distinct()
-    empty = folded.schema[out].dataType.simpleString()
+    size = F.lit(32).cast("long")
+    for column in extra:
+        size = size + F.coalesce(F.octet_length(F.col(column).cast("string")), F.lit(0))
+    folded = fold_rows(closure, ["leaf"], entry, order, size, out)
+    leaves = rows.select(F.col("id").alias("leaf")).distinct()
     return leaves.join(folded, "leaf", "left").select(
         "leaf",
         F.coalesce("part", F.lit(0).cast("long")).alias("part"),
-        F.coalesce(out, F.array().cast(empty)).alias(out),
+        F.coalesce(out, F.array()).alias(out),
     )

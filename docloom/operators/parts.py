@@ -48,11 +48,11 @@ def split_by_size(
     df: DataFrame, keys: Sequence[str], weight: Column, limit: int
 ) -> tuple[DataFrame, DataFrame | None, int]:
     """Separate the rows of oversized groups: ``(rest, oversized or None, total weight)``."""
-    hot = cut_lineage(oversized_keys(df, keys, weight, limit))
+    hot = oversized_keys(df, keys, weight, limit)
     total = hot.agg(F.sum("total")).first()[0]
     if total is None:
         return df, None, 0
-    hot = broadcast_if_small(hot.select(*keys))
+    hot = broadcast_if_small(cut_lineage(hot.select(*keys)))
     match = _same(df, hot, keys)
     return df.join(hot, match, "left_anti"), df.join(hot, match, "left_semi"), total
 

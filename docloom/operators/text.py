@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from docloom.session import broadcast_if_small
+from docloom.session import broadcast_if_small, cut_lineage
 
 # The search service's built-in English stop words.
 ENGLISH_STOP_WORDS = (
@@ -90,7 +90,7 @@ def tokens_of(text: Column | str, analyzer: Analyzer) -> Column:
 
 
 def _windows(df: DataFrame, ids: Sequence[str], width: int) -> DataFrame:
-    """One row per position: ``(ids, pos, n, w)``, ``w`` the next ``width`` tokens.
+    """One row per position: ``(ids, n, pos, w)``, ``w`` the next ``width`` tokens.
 
     Neighbours come from shifted copies of the row's own array, so no
     shuffle is needed and a row's cost is linear in its text.
@@ -99,15 +99,23 @@ def _windows(df: DataFrame, ids: Sequence[str], width: int) -> DataFrame:
         F.slice("tokens", F.lit(i + 1), F.greatest(F.size("tokens") - i, F.lit(0)))
         for i in range(1, width)
     ]
-    return (
-        df.select(*ids, F.size("tokens").alias("n"), F.posexplode(F.arrays_zip(*shifted)).alias("pos", "z"))
-        .select(*ids, "pos", "n", F.array(*[F.col("z").getField(i) for i in _names(width)]).alias("w"))
-    )
+    # arrays_zip names its fields after the arguments: the column, then numbers.
+    names = ["tokens"] + [str(i) for i in range(1, width)]
+    # n and z are made below the generator, which would otherwise repeat the
+    # whole array on every row.
+    ready = df.select(*ids, F.size("tokens").alias("n"), F.arrays_zip(*shifted).alias("z"))
+    rows = _numbered(ready, [*ids, "n"], "z", "t")
+    return rows.select(*ids, "n", "pos", F.array(*[F.col("t").getField(i) for i in names]).alias("w"))
 
 
-def _names(width: int) -> list[str]:
-    # arrays_zip names its fields after the arguments: the column, then numbers.
-    return ["tokens"] + [str(i) for i in range(1, width)]
+def _numbered(df: DataFrame, keep: Sequence[str], array: str, out: str) -> DataFrame:
+    """``(keep, pos, out)`` of the array's non-NULL elements.
+
+    The outer form, filtered: for the inner form Spark adds a size filter on
+    the array and computes the token expression once more for it.
+    """
+    rows = df.select(*keep, F.posexplode_outer(array).alias("pos", out))
+    return rows.filter(F.col(out).isNotNull())
 
 
 def tokenize(df: DataFrame, ids: Sequence[str], text_col: str, analyzer: Analyzer | str) -> DataFrame:
@@ -118,8 +126,7 @@ def tokenize(df: DataFrame, ids: Sequence[str], text_col: str, analyzer: Analyze
 
 def explode_tokens(tokenized: DataFrame, ids: Sequence[str]) -> DataFrame:
     """``(ids, pos, token)`` of token arrays; positions of removed words stay free."""
-    rows = tokenized.select(*ids, F.posexplode("tokens").alias("pos", "token"))
-    return rows.filter("token IS NOT NULL")
+    return _numbered(tokenized, ids, "tokens", "token")
 
 
 def shingle(tokenized: DataFrame, ids: Sequence[str], unigrams: bool = True) -> DataFrame:
@@ -132,8 +139,9 @@ def shingle(tokenized: DataFrame, ids: Sequence[str], unigrams: bool = True) ->
         (F.col("pos") < F.col("n") - 1) & (word.isNotNull() | after.isNotNull()),
         F.concat_ws(" ", F.coalesce(word, F.lit(FILLER)), F.coalesce(after, F.lit(FILLER))),
     )
-    grams = F.array_compact(F.array(word, pair)) if unigrams else F.array_compact(F.array(pair))
-    return _windows(tokenized, ids, 2).select(*ids, "pos", F.explode(grams).alias("token"))
+    grams = F.array(word, pair) if unigrams else F.array(pair)
+    rows = _windows(tokenized, ids, 2).select(*ids, "pos", F.explode(grams).alias("token"))
+    return rows.filter("token IS NOT NULL")
 
 
 def shingle_positions(tokens: DataFrame, ids: Sequence[str], unigrams: bool = True) -> DataFrame:
@@ -168,32 +176,26 @@ def expand_synonyms(
     number of positions of the text. The tokens themselves are not
     shuffled; only expansions are deduplicated.
     """
-    terms = groups.select(
-        "group_id", "term", F.size(F.split("term", r"\s+")).alias("words")
-    )
-    width = terms.agg(F.max("words")).first()[0] or 1
-    lookup = broadcast_if_small(terms.select("group_id", "term"))
-    written = broadcast_if_small(
-        terms.select(F.col("group_id").alias("g"), F.split("term", r"\s+").alias("parts"))
+    parts = F.split("term", r"\s+")
+    terms = cut_lineage(
+        groups.select("group_id", parts.alias("parts"), F.get(parts, F.lit(0)).alias("first"))
     )
+    width = terms.agg(F.max(F.size("parts"))).first()[0] or 1
+    terms = broadcast_if_small(terms)
+    read = terms.select("group_id", "first", F.col("parts").alias("read"))
+    write = terms.select(F.col("group_id").alias("g"), F.col("parts").alias("write"))
 
     windows = _windows(tokenized, ids, width)
-    prefixes = []
-    for n in range(1, width + 1):
-        words = [F.col("w")[i] for i in range(n)]
-        prefixes.append(F.concat(*[w if i == 0 else F.concat(F.lit(" "), w) for i, w in enumerate(words)]))
-    phrases = windows.select(
-        *ids, "pos", "n", "w", F.explode(F.array_compact(F.array(*prefixes))).alias("phrase")
-    )
-    matched = phrases.join(lookup, phrases["phrase"] == lookup["term"], "inner").select(
-        *ids, "pos", "n", "w", "group_id"
-    )
+    # Joined on the first word of a term; the others are compared after.
+    matched = windows.join(read, windows["w"][0] == read["first"], "inner")
+    if width > 1:
+        matched = matched.filter(F.slice("w", F.lit(1), F.size("read")) == F.col("read"))
     expansions = (
-        matched.join(written, matched["group_id"] == written["g"], "inner")
-        .select(*ids, "pos", "n", "w", F.posexplode("parts").alias("i", "token"))
+        matched.join(write, matched["group_id"] == write["g"], "inner")
+        .select(*ids, "n", "pos", "w", F.posexplode("write").alias("i", "token"))
         # Words already at their position are not written again.
-        .filter(~F.col("token").eqNullSafe(F.try_element_at("w", F.col("i") + 1)))
-        .select(*ids, (F.col("pos") + F.col("i")).alias("pos"), "n", "token")
+        .filter(~F.col("token").eqNullSafe(F.get("w", F.col("i"))))
+        .select(*ids, "n", (F.col("pos") + F.col("i")).alias("pos"), "token")
         .distinct()
     )
     sized = [*ids, "n"]

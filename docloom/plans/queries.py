@@ -24,6 +24,7 @@ from docloom.operators.text import (
 )
 from docloom.operators.versions import alias_actions, stale_versions, version_column
 from docloom.operators.windows import running_window
+from docloom.session import spread
 from docloom.sinks.schema import normalize_schema
 from docloom.sources.named import extract, synonym_groups
 from docloom.sources.ranges import WIDTH, chunk_of, key_bounds, key_ranges
@@ -49,6 +50,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def wide(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
+    """A table for CPU-bound work: small files are spread over the cores."""
+    return spread(table(spark, sf, name).select(*columns))
+
+
 def files(sf: str, *names: str, source: str = "files") -> Source:
     return Source(source, "files", tables={n: f"{sf}/{n}.parquet" for n in names})
 
@@ -411,6 +417,11 @@ def _concat_max_len(spark, sf):
     ).drop("part")
 
 
+def parsed(documents: DataFrame, shape: str) -> DataFrame:
+    """Document bodies parsed back into columns; the generator parses each one once."""
+    return documents.select("doc_id", "body", F.inline_outer(F.array(F.from_json("body", shape))))
+
+
 # --- shaping -----------------------------------------------------------------------
 
 
@@ -477,7 +488,8 @@ def _serialized() -> F.Column:
     """,
 )
 def _php_decode(spark, sf):
-    decoded = table(spark, sf, "events").select("event_id", php_to_json(_serialized()).alias("doc"))
+    events = wide(spark, sf, "events", "event_id", "event_type", "props")
+    decoded = events.select("event_id", php_to_json(_serialized()).alias("doc"))
     return decoded.select(
         "event_id",
         F.get_json_object("doc", "$.type").alias("kind"),
@@ -497,7 +509,7 @@ def _php_decode(spark, sf):
 )
 def _promote_serialized(spark, sf):
     # A pair per event, decoded only where its key is promoted, then encoded as a document.
-    rows = table(spark, sf, "events").select(
+    rows = wide(spark, sf, "events", "event_id", "event_type", "props").select(
         "event_id", F.array(F.create_map("event_type", _serialized())).alias("meta")
     )
     shaped = promote_meta(rows, "meta", {"signup": "attributes"})
@@ -525,15 +537,14 @@ def _doc_json(spark, sf):
     rows = table(spark, sf, "customer").withColumn(
         "c_mktsegment", F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_mktsegment"))
     )
-    parsed = to_document_json(rows, "c_custkey").withColumn(
-        "d", F.from_json("body", "c_custkey bigint, c_name string, c_acctbal double, c_mktsegment string")
-    )
-    return parsed.select(
+    bodies = to_document_json(rows, "c_custkey")
+    shape = "c_custkey bigint, c_name string, c_acctbal double, c_mktsegment string"
+    return parsed(bodies, shape).select(
         "doc_id",
-        F.col("d.c_custkey").alias("custkey"),
-        F.col("d.c_name").alias("name"),
-        F.col("d.c_acctbal").alias("acctbal"),
-        F.col("d.c_mktsegment").alias("segment"),
+        F.col("c_custkey").alias("custkey"),
+        F.col("c_name").alias("name"),
+        F.col("c_acctbal").alias("acctbal"),
+        F.col("c_mktsegment").alias("segment"),
         F.array_join(F.json_object_keys("body"), ",").alias("key_order"),
     )
 
@@ -564,14 +575,14 @@ def _assemble_documents(spark, sf):
         "metaArrayJson array<map<string,string>>, categories array<struct<catName: string>>"
     )
     pair = lambda m: F.concat_ws("=", F.get(F.map_keys(m), F.lit(0)), F.get(F.map_values(m), F.lit(0)))
-    return bodies.withColumn("d", F.from_json("body", shape)).select(
+    return parsed(bodies, shape).select(
         "doc_id",
-        F.col("d.post_title").alias("title"),
-        F.col("d.cat_id").alias("cat_id"),
-        F.col("d.cat_name").alias("cat_name"),
-        F.size("d.metaArrayJson").cast("long").alias("n_pairs"),
-        F.array_join(F.transform("d.metaArrayJson", pair), ",").alias("pairs"),
-        F.array_join("d.categories.catName", ">").alias("chain"),
+        F.col("post_title").alias("title"),
+        "cat_id",
+        "cat_name",
+        F.size("metaArrayJson").cast("long").alias("n_pairs"),
+        F.array_join(F.transform("metaArrayJson", pair), ",").alias("pairs"),
+        F.array_join("categories.catName", ">").alias("chain"),
     )
 
 
@@ -704,7 +715,7 @@ def _window_passthrough(spark, sf):
 
 
 def _order_documents(spark: SparkSession, sf: str) -> DataFrame:
-    rows = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    rows = wide(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     return to_document_json(rows, "o_orderkey", keep=["o_orderkey"])
 
 
@@ -920,7 +931,7 @@ TOKEN_ROWS = f"""
     f"SELECT doc_id, w AS token, count(*) AS n, CAST(min(pos) AS BIGINT) AS first_pos FROM ({TOKEN_ROWS}) WHERE w IS NOT NULL GROUP BY ALL",
 )
 def _tokens(spark, sf):
-    tokens = analyze(table(spark, sf, "documents"), ["doc_id"], "text", "default")
+    tokens = analyze(wide(spark, sf, "documents", "doc_id", "text"), ["doc_id"], "text", "default")
     return tokens.groupBy("doc_id", "token").agg(
         F.count(F.lit(1)).alias("n"), F.min("pos").cast("long").alias("first_pos")
     )
@@ -940,7 +951,7 @@ def _tokens(spark, sf):
     """,
 )
 def _shingles(spark, sf):
-    grams = analyze(table(spark, sf, "documents"), ["doc_id"], "text", "shingle_analyzer")
+    grams = analyze(wide(spark, sf, "documents", "doc_id", "text"), ["doc_id"], "text", "shingle_analyzer")
     return grams.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -1028,7 +1039,7 @@ EXPANDED = f"""
 )
 def _synonym_expand(spark, sf):
     tokens = analyze(
-        table(spark, sf, "documents"), ["doc_id"], "text", "default", _synonym_groups_of_site(spark)
+        wide(spark, sf, "documents", "doc_id", "text"), ["doc_id"], "text", "default", _synonym_groups_of_site(spark)
     )
     return tokens.groupBy("doc_id", "token").agg(
         F.count(F.lit(1)).alias("n"), F.sum("pos").alias("positions")
@@ -1051,7 +1062,7 @@ def _synonym_expand(spark, sf):
 )
 def _synonym_shingles(spark, sf):
     grams = analyze(
-        table(spark, sf, "documents"), ["doc_id"], "text", "shingle_analyzer", _synonym_groups_of_site(spark)
+        wide(spark, sf, "documents", "doc_id", "text"), ["doc_id"], "text", "shingle_analyzer", _synonym_groups_of_site(spark)
     )
     return grams.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
@@ -1086,7 +1097,10 @@ MAPPING = {
 
 
 def _mapped_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "lineitem").select(
+    rows = wide(
+        spark, sf, "lineitem", "l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_tax"
+    )
+    return rows.select(
         F.col("l_orderkey").alias("id"),
         # Numbers, numbers as text, and text that is none.
         F.when(F.col("l_returnflag") == "A", F.col("l_returnflag"))
@@ -1110,7 +1124,7 @@ def _mapped_rows(spark: SparkSession, sf: str) -> DataFrame:
 def _mapping_projection(spark, sf):
     mapped = apply_mapping(_mapped_rows(spark, sf), MAPPING)
     return mapped.select(
-        "id", "cat_id", "title", F.inline("lines"), F.col("searchWords").alias("search_words")
+        "id", "cat_id", "title", F.inline_outer("lines"), F.col("searchWords").alias("search_words")
     )
 
 

@@ -67,3 +67,13 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataF
         F.count(F.lit(1)).alias("n"),
     ).first()
     return F.broadcast(df) if row["b"] + 64 * row["n"] <= max_bytes else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Redistribute a table scan that has fewer partitions than there are cores.
+
+    For CPU-bound steps (tokenizing, Python decoding) over a few small files;
+    a scan with enough partitions is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
