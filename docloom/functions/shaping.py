@@ -68,14 +68,26 @@ def promote_meta(
     return df.withColumns({**columns, array_col: rest})
 
 
-def _sorted(col: Column, kind: T.DataType) -> Column:
-    """``col`` with struct fields in name order at every level."""
+_AS_TEXT = (T.BinaryType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def _changes(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _changes(kind.elementType)
+    return isinstance(kind, (T.StructType, *_AS_TEXT))
+
+
+def _document_value(col: Column, kind: T.DataType) -> Column:
+    """``col`` as documents have it: struct fields in name order at every level,
+    dates, times (``yyyy-MM-dd HH:mm:ss``) and binary values as text."""
+    if isinstance(kind, _AS_TEXT):
+        return col.cast("string")
     if isinstance(kind, T.StructType):
         fields = sorted(kind.fields, key=lambda f: f.name)
-        made = F.struct(*[_sorted(col[f.name], f.dataType).alias(f.name) for f in fields])
+        made = F.struct(*[_document_value(col[f.name], f.dataType).alias(f.name) for f in fields])
         return F.when(col.isNotNull(), made)
-    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (T.StructType, T.ArrayType)):
-        return F.transform(col, lambda e: _sorted(e, kind.elementType))
+    if isinstance(kind, T.ArrayType) and _changes(kind):
+        return F.transform(col, lambda e: _document_value(e, kind.elementType))
     return col
 
 
@@ -86,28 +98,34 @@ def to_document_json(
     raw_of: Mapping[str, str] | None = None,
     exclude: Sequence[str] = (),
     keep: Sequence[str] = (),
+    parts: Sequence[str] = (),
 ) -> DataFrame:
     """``(doc_id, *keep, body)``: every row as one JSON object.
 
-    Keys are sorted, NULLs are written. ``json_columns`` hold JSON text that is
+    Keys are sorted, NULLs are written. ``parts`` are the part numbers of
+    folded columns: a row with a part above 0 continues an oversized document
+    and gets the id ``<id>#<part>``. ``json_columns`` hold JSON text that is
     embedded as a value. ``raw_of`` maps a decoded column to the column with
     its undecoded text, which is written as text where decoding failed.
     """
     raw_of = raw_of or {}
-    hidden = {*raw_of.values(), *exclude}
+    hidden = {*raw_of.values(), *exclude, *parts}
     cells = []
     for field in sorted((f for f in df.schema.fields if f.name not in hidden), key=lambda f: f.name):
         name = field.name
-        cell = _sorted(F.col(f"`{name}`"), field.dataType)
+        cell = _document_value(F.col(f"`{name}`"), field.dataType)
         if name in json_columns:
             cell = F.try_parse_json(cell)
         elif name in raw_of:
             cell = F.coalesce(F.to_variant_object(cell), F.col(raw_of[name]).cast("variant"))
-        elif isinstance(field.dataType, T.BinaryType):
-            cell = cell.cast("string")
         cells.append(cell.alias(name))
     body = F.to_json(F.struct(*cells), {"ignoreNullFields": "false"})
-    return df.select(F.col(id_key).cast("string").alias("doc_id"), *keep, body.alias("body"))
+    doc_id = F.col(id_key).cast("string")
+    if parts:
+        further = F.greatest(F.lit(0).cast("long"), *[F.col(p) for p in parts]) > 0
+        suffix = F.concat(F.lit("#"), F.concat_ws(".", *[F.col(p).cast("string") for p in parts]))
+        doc_id = F.when(further, F.concat(doc_id, suffix)).otherwise(doc_id)
+    return df.select(doc_id.alias("doc_id"), *keep, body.alias("body"))
 
 
 def doc_type_name(col: Column | str) -> Column:

@@ -2,32 +2,35 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from docloom.operators.parts import PART_BYTES, ordered_parts
+from docloom.operators.parts import PART_BYTES, bounded_parts
 
 
 def fold_rows(
     df: DataFrame,
     keys: Sequence[str],
-    value: Column,
-    order: Sequence[str],
+    columns: Sequence[str],
+    make: Callable[[Column], Column],
     weight: Column,
     out: str,
     limit: int = PART_BYTES,
 ) -> DataFrame:
-    """``(keys, part, out)``: the values of each key as an array sorted by ``order``.
+    """``(keys, part, out)``: the rows of each key as an array sorted by ``columns``.
 
+    ``make`` turns one collected row, a struct of ``columns``, into an element.
     ``part`` is 0 except for groups heavier than ``limit``, which continue in
     parts 1, 2, ...; see :mod:`docloom.operators.parts`.
     """
-    parted = ordered_parts(df, keys, order, weight, limit)
-    items = F.sort_array(
-        F.collect_list(F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], value.alias("v")))
-    )
-    return parted.groupBy(*keys, "part").agg(F.transform(items, lambda item: item["v"]).alias(out))
+    rest, cut = bounded_parts(df, keys, columns, weight, limit)
+    items = F.sort_array(F.collect_list(F.struct(*columns)))
+    value = F.transform(items, make).alias(out)
+    # Grouped by the keys alone, so that a join on them needs no other shuffle.
+    whole = rest.groupBy(*keys).agg(value)
+    whole = whole.select(*keys, F.lit(0).cast("long").alias("part"), out)
+    return whole if cut is None else whole.unionByName(cut.groupBy(*keys, "part").agg(value))
 
 
 def fold_pairs(
@@ -47,12 +50,14 @@ def fold_pairs(
     order = list(order)
     rows = df.select(key, *order, F.col(k).cast("string").alias("pk"), F.col(v).cast("string").alias("pv"))
     weight = F.octet_length("pk") + F.coalesce(F.octet_length("pv"), F.lit(0)) + F.lit(8)
-    folded = fold_rows(
-        rows, [key], F.struct("pk", "pv"), [*order, "pk", "pv"], weight.cast("long"), "kv", limit
-    )
-    # The map is made after the sort: maps have no order.
-    return folded.select(
-        key, "part", F.transform("kv", lambda p: F.create_map(p["pk"], p["pv"])).alias(out)
+    return fold_rows(
+        rows,
+        [key],
+        [*order, "pk", "pv"],
+        lambda row: F.create_map(row["pk"], row["pv"]),
+        weight.cast("long"),
+        out,
+        limit,
     )
 
 
@@ -90,12 +95,15 @@ def concat_group(
         # A weight is at most 8 times the characters an item adds (4 bytes
         # each, one separator), so part 0 covers the first max_len.
         limit = max(limit, 8 * (max_len + 1))
-    parted = ordered_parts(rows, keys, [*order, "item"], weight, limit)
-    if max_len is not None:
-        parted = parted.filter("part = 0")
-    cell = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], F.col("item").alias("v"))
-    items = F.sort_array(F.collect_list(F.when(F.col("item").isNotNull(), cell)))
-    text = F.array_join(F.transform(items, lambda x: x["v"]), sep)
+    rest, cut = bounded_parts(rows, keys, [*order, "item"], weight, limit)
+    items = F.sort_array(F.collect_list(F.when(F.col("item").isNotNull(), F.struct(*order, "item"))))
+    text = F.array_join(F.transform(items, lambda row: row["item"]), sep)
     if max_len is not None:
         text = F.left(text, F.lit(max_len))
-    return parted.groupBy(*keys, "part").agg(F.when(F.count("item") > 0, text).alias(out))
+    value = F.when(F.count("item") > 0, text).alias(out)
+    whole = rest.groupBy(*keys).agg(value).select(*keys, F.lit(0).cast("long").alias("part"), out)
+    if cut is None:
+        return whole
+    if max_len is not None:
+        cut = cut.filter("part = 0")
+    return whole.unionByName(cut.groupBy(*keys, "part").agg(value))

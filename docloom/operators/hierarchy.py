@@ -158,7 +158,8 @@ def ancestor_array(
     size = F.lit(32).cast("long")
     for column in extra:
         size = size + F.coalesce(F.octet_length(F.col(column).cast("string")), F.lit(0))
-    folded = fold_rows(closure, ["leaf"], entry, order, size, out)
+    element = lambda row: F.struct(*[row[names.get(c, c)].alias(f) for c, f in payload.items()])
+    folded = fold_rows(closure, ["leaf"], order, element, size, out)
     leaves = rows.select(F.col("id").alias("leaf")).distinct()
     return leaves.join(folded, "leaf", "left").select(
         "leaf",

@@ -99,38 +99,54 @@ def add_start(sliced: DataFrame, keys: Sequence[str], order: Sequence[str], weig
     )
 
 
-def ordered_parts(
+def bounded_parts(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     weight: Column,
     limit: int = PART_BYTES,
-) -> DataFrame:
-    """``df`` plus ``part``; every ``(keys, part)`` weighs at most ``limit`` plus one row.
+) -> tuple[DataFrame, DataFrame | None]:
+    """``(rest, cut)``: the rows of keys within ``limit``, and, if there are
+    others, the rows of oversized keys with their ``part``.
 
-    ``weight`` must be a positive integer expression over the columns of ``df``
-    and, like ``order``, no column may be of map type.
+    Every ``(keys, part)`` weighs at most ``limit`` plus one row. ``weight`` must
+    be a positive integer expression over the columns of ``df``, none of which
+    may be of map type.
     """
     rest, hot, total = split_by_size(df, keys, weight, limit)
-    rest = rest.withColumn("part", F.lit(0).cast("long"))
     if hot is None:
-        return rest
+        return df, None
     slices = max(1, min(MAX_SLICES, 2 * (total // limit + 1)))
     placed = add_start(slice_in_order(hot, keys, order, slices), keys, order, weight)
+    size = weight.cast("long")
     first = F.floor(F.col("start") / limit).cast("long")
-    last = F.floor((F.col("start") + (F.col("copies") - 1) * F.col("w")) / limit).cast("long")
-    # Copies start at start, start + w, ...; those below the bound of part p:
-    below = lambda p: F.least(
-        F.col("copies"),
-        F.greatest(F.lit(0).cast("long"), F.ceil((p * limit - F.col("start")) / F.col("w")).cast("long")),
-    )
+    last = F.floor((F.col("start") + (F.col("copies") - 1) * size) / limit).cast("long")
+
+    def copies_before(bound: Column) -> Column:
+        # Copies start at start, start + size, ...: those below the bound.
+        reached = F.ceil((bound - F.col("start")) / size).cast("long")
+        return F.least(F.col("copies"), F.greatest(F.lit(0).cast("long"), reached))
+
+    part = F.col("part")
     cut = (
-        placed.withColumn("w", weight.cast("long"))
-        .withColumn("part", F.explode(F.sequence(first, last)))
-        .withColumn("n", below(F.col("part") + 1) - below(F.col("part")))
+        placed.withColumn("part", F.explode(F.sequence(first, last)))
+        .withColumn("n", copies_before((part + 1) * limit) - copies_before(part * limit))
         # Copies are spread over the parts before they are written out.
         .repartition(*keys, "part")
         .filter("n > 0")
         .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
     )
-    return rest.unionByName(cut.select(*df.columns, "part"))
+    return rest, cut.select(*df.columns, "part")
+
+
+def ordered_parts(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    weight: Column,
+    limit: int = PART_BYTES,
+) -> DataFrame:
+    """``df`` plus ``part``, see :func:`bounded_parts`."""
+    rest, cut = bounded_parts(df, keys, order, weight, limit)
+    rest = rest.withColumn("part", F.lit(0).cast("long"))
+    return rest if cut is None else rest.unionByName(cut)

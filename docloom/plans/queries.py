@@ -587,10 +587,11 @@ def _assemble_documents(spark, sf):
 
 
 def assemble_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """``(doc_id, part, body)``: orders with line metadata and the customer's category chain.
+    """``(doc_id, body)``: orders with line metadata and the customer's category chain.
 
     Metadata and chains are folded before the join, so the join adds no rows
-    but the further parts of oversized documents.
+    but the further parts of oversized documents. Owners and their chains are
+    joined first: the documents meet them once.
     """
     lines = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", F.concat(F.lit("line"), "l_linenumber").alias("k"), "l_partkey"
@@ -627,14 +628,12 @@ def assemble_documents(spark: SparkSession, sf: str) -> DataFrame:
                pm.metaArrayJson, c.categories, pm.part, c.chain_part
         FROM posts wp
         JOIN post_meta pm ON wp.ID = pm.ID
-        JOIN post_cates pc ON wp.owner = pc.owner
-        JOIN cates c ON pc.cat_id = c.cat_id
+        JOIN (post_cates pc JOIN cates c ON pc.cat_id = c.cat_id) ON wp.owner = pc.owner
         """
     )
     for name in views:
         spark.catalog.dropTempView(name)
-    parts = ["part", "chain_part"]
-    return to_document_json(documents, "ID", exclude=parts, keep=parts)
+    return to_document_json(documents, "ID", parts=["part", "chain_part"])
 
 
 @query(

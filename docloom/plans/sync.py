@@ -63,6 +63,8 @@ def run_import(spark: SparkSession, spec: PipelineSpec, on_error: str = "raise")
             df = extract(
                 spark, spec.source(item.source), item.query, item.key, spec.import_limit, spec.params
             )
+            if item.transform:
+                df = item.transform(df)
             staged = tables.stage(normalize_schema(df, spec.schema_mode), spec.database, item.name)
             rows.append((item.name, "ok", staged.count(), None))
         except Exception as error:
@@ -109,7 +111,10 @@ def shape(df: DataFrame, spec: PipelineSpec) -> DataFrame:
     order = [c for c in spec.order if c in df.columns]
     ranked = df.select("*", *[F.col(c).alias(f"order_{i}") for i, c in enumerate(order)])
     extra = ["statement", *[f"order_{i}" for i in range(len(order))], "wrong_field"]
-    encoded = to_document_json(ranked, spec.id_key, json_columns, raw, exclude=extra, keep=extra)
+    parts = [c for c in spec.part_columns if c in df.columns]
+    encoded = to_document_json(
+        ranked, spec.id_key, json_columns, raw, exclude=extra, keep=extra, parts=parts
+    )
     last = keep_last(encoded, "doc_id", extra[:-1])
     fault = F.when(F.col("doc_id").isNull(), F.lit("document without id")).when(
         F.col("wrong_field").isNotNull(),
@@ -139,15 +144,14 @@ def run_export(
     tables.create_database(spark, spec.database)
     version = version_name(spec.index_name, moment, spec.time_zone)
     written = publish.write_documents(shape(assemble(spark, spec), spec), spec.database, version)
-    results = written.drop("body")
+    results, failed = written, dead_letters(written)
     if send:
-        accepted = written.filter(publish.LOADED)
-        lines = to_bulk_lines(accepted.select("doc_id", "body"), spec.doc_type)
-        rejected = written.filter(f"NOT ({publish.LOADED})").drop("body")
+        accepted = written.filter(publish.LOADED).select("doc_id", "body")
         # Materialized: counting must not send again.
-        results = cut_lineage(deliver(bulk_batches(lines), send).unionByName(rejected))
+        answers = cut_lineage(deliver(bulk_batches(to_bulk_lines(accepted, spec.doc_type)), send))
+        results = answers.unionByName(failed.drop("body"))
+        failed = failed.unionByName(dead_letters(answers).join(accepted, "doc_id"))
     if dead_letter_path:
-        failed = dead_letters(results).join(written.select("doc_id", "body"), "doc_id", "left")
         publish.write_dead_letters(failed, dead_letter_path, version)
     row = success_rate(load_stats(results)).first()
     return ExportResult(version, row["n_ok"], row["n_err"], row["rate"])

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.sql import DataFrame
+
 
 @dataclass(frozen=True)
 class Source:
@@ -26,12 +28,14 @@ class Extract:
     """One staging table: ``query`` runs on ``source`` and is staged as ``name``.
 
     ``key`` is a numeric column of the query's result used to split the read.
+    ``transform`` is applied to the rows read, e.g. a fold or an ancestor closure.
     """
 
     name: str
     query: str
     source: str | None = None
     key: str | None = None
+    transform: Callable[[DataFrame], DataFrame] | None = None
 
 
 @dataclass(frozen=True)
@@ -71,6 +75,8 @@ class PipelineSpec:
     # Metadata array column and the keys to promote: key -> document field.
     meta_field: str | None = None
     promoted: Mapping[str, str] = field(default_factory=dict)
+    # Part numbers of folded columns, see docloom.operators.parts.
+    part_columns: Sequence[str] = ()
     # Order of documents with one id; ties are broken by statement and content.
     order: Sequence[str] = ()
     mapping: Mapping | None = None

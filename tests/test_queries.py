@@ -49,5 +49,5 @@ def test_every_query_has_sql():
 
 def test_entry_has_rows(spark):
     df = entry_points.entry(spark)
-    assert df.columns == ["doc_id", "part", "chain_part", "body"]
+    assert df.columns == ["doc_id", "body"]
     assert df.count() > 0

@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import json
+from dataclasses import replace
 from datetime import datetime, timedelta, timezone
 
 import pytest
 
-from docloom.operators.fold import fold_pairs
-from docloom.operators.hierarchy import ancestor_array
 from docloom.plans.sync import check_sources, run_export, run_import, sync
+from docloom.plans.wordpress import wordpress_spec
 from docloom.sinks import publish, tables
-from docloom.spec import Assembly, Extract, PipelineSpec, Source
+from docloom.spec import Assembly, Extract, Source
 from tests.conftest import rows
 
 MOMENT = datetime(2024, 5, 1, 12, 0, 0, tzinfo=timezone.utc)
@@ -40,8 +40,15 @@ RELATIONS = [(1, 110), (1, 120), (2, 122), (3, 110), (6, 110), (2, 130)]
 
 @pytest.fixture
 def site(spark, tmp_path):
+    stamp = datetime(2024, 1, 2, 3, 4, 5)
+    posts = [(*p, "", "", stamp, stamp, stamp, stamp, "g") for p in POSTS]
     data = {
-        "wp_posts": (POSTS, "ID long, post_type string, post_status string, post_title string"),
+        "wp_posts": (
+            posts,
+            "ID long, post_type string, post_status string, post_title string, post_excerpt string, post_name string, "
+            "post_date timestamp_ntz, post_date_gmt timestamp_ntz, post_modified timestamp_ntz, "
+            "post_modified_gmt timestamp_ntz, guid string",
+        ),
         "wp_postmeta": (META, "post_id long, meta_key string, meta_value string"),
         "wp_terms": (TERMS, "term_id long, name string"),
         "wp_term_taxonomy": (TAXONOMY, "term_taxonomy_id long, term_id long, taxonomy string, parent long"),
@@ -51,58 +58,13 @@ def site(spark, tmp_path):
     for name, (items, schema) in data.items():
         paths[name] = str(tmp_path / name)
         spark.createDataFrame(items, schema).write.parquet(paths[name])
-    # Folds and closures run as DataFrames; their results are extracted like tables.
-    posts = spark.read.parquet(paths["wp_posts"]).filter("post_type IN ('post', 'product') AND post_status = 'publish'")
-    meta = spark.read.parquet(paths["wp_postmeta"]).filter("meta_value IS NOT NULL OR octet_length(meta_value) > 0")
-    picked = meta.join(posts, meta["post_id"] == posts["ID"]).select("ID", "meta_key", "meta_value")
-    paths["meta_fold"] = str(tmp_path / "meta_fold")
-    fold_pairs(picked, "ID", "meta_key", "meta_value", out="metaArrayJson").drop("part").write.parquet(paths["meta_fold"])
-    nodes = spark.read.parquet(paths["wp_term_taxonomy"]).join(spark.read.parquet(paths["wp_terms"]), "term_id")
-    paths["cate_fold"] = str(tmp_path / "cate_fold")
-    ancestor_array(
-        nodes.filter("taxonomy IN ('category', 'product_cat')"), "term_id", "parent",
-        {"term_id": "catId", "name": "catName", "parent": "parent"}, where="taxonomy = 'product_cat'",
-    ).drop("part").write.parquet(paths["cate_fold"])
     database = "site_test"
-    spec = PipelineSpec(
-        site="shop",
-        sources=[Source("main", "files", tables=paths)],
-        extracts=[
-            Extract("posts", "SELECT ID, post_type, post_title, '{lang}' AS lang FROM wp_posts WHERE post_type IN ('post', 'product') AND post_status IN ('publish')"),
-            Extract("post_meta", "SELECT * FROM meta_fold"),
-            Extract("post_cates", """
-                SELECT wp.ID, tt.term_id AS cat_id, t.name AS cat_name, tt.taxonomy FROM wp_posts wp
-                LEFT JOIN wp_term_relationships tr ON wp.ID = tr.object_id
-                LEFT JOIN wp_term_taxonomy tt ON tr.term_taxonomy_id = tt.term_taxonomy_id
-                LEFT JOIN wp_terms t ON tt.term_id = t.term_id
-                WHERE wp.post_status IN ('publish') AND tt.taxonomy IN ('category', 'product_cat')"""),
-            Extract("cates", "SELECT leaf AS cat_id, categories FROM cate_fold"),
-            Extract("nothing", "SELECT * FROM wp_posts WHERE false"),
-        ],
-        assemblies=[
-            Assembly("chosen", "SELECT * FROM post_cates WHERE cat_id > 0", kind="table"),
-            Assembly("documents", """
-                SELECT wp.ID, wp.post_title, wp.lang, pc.cat_id, pc.cat_name, pm.metaArrayJson, c.categories
-                FROM posts wp JOIN post_meta pm ON wp.ID = pm.ID JOIN chosen pc ON wp.ID = pc.ID
-                JOIN cates c ON pc.cat_id = c.cat_id"""),
-        ],
-        id_key="ID",
-        index_name="shop",
-        database=database,
-        alias="shop_live",
-        lang="en",
-        time_zone="UTC",
-        meta_field="metaArrayJson",
-        promoted={"_wp_attachment_metadata": "wp_attachment_meta_data", "_product_attributes": "product_attributes"},
-        order=["cat_id"],
-    )
-    yield spec
+    source = Source("main", "files", tables=paths)
+    yield wordpress_spec(source, database, "shop", alias="shop_live", time_zone="UTC")
     spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
 
 
 def replaced(spec, **changes):
-    from dataclasses import replace
-
     return replace(spec, **changes)
 
 
@@ -110,16 +72,22 @@ def test_full_sync(spark, site):
     result = sync(spark, site, moment=MOMENT)
     assert (result.version, result.n_ok, result.n_err, result.rate) == ("shop_20240501120000", 2, 0, 100)
     docs = {r["doc_id"]: json.loads(r["body"]) for r in spark.table("site_test.shop_live").collect()}
+    for doc in docs.values():
+        assert doc.pop("post_date") == "2024-01-02 03:04:05"
+        for other in ("post_date_gmt", "post_modified", "post_modified_gmt", "guid", "post_excerpt", "post_name"):
+            doc.pop(other)
     assert docs == {
         # In two categories: one document, the greater category last.
         "1": {
-            "ID": 1, "post_title": "Hello", "lang": "en", "cat_id": 20, "cat_name": "Goods",
+            "ID": 1, "post_type": "post", "post_status": "publish", "post_title": "Hello",
+            "cat_id": 20, "cat_name": "Goods",
             "metaArrayJson": [{"color": "red"}, {"empty": ""}],
             "categories": [{"catId": 20, "catName": "Goods", "parent": 0}],
             "wp_attachment_meta_data": None, "product_attributes": None,
         },
         "2": {
-            "ID": 2, "post_title": "Shoe é\"quoted\"", "lang": "en", "cat_id": 22, "cat_name": "Sneakers",
+            "ID": 2, "post_type": "product", "post_status": "publish", "post_title": "Shoe é\"quoted\"",
+            "cat_id": 22, "cat_name": "Sneakers",
             "metaArrayJson": [{"size": "9"}],
             "categories": [
                 {"catId": 22, "catName": "Sneakers", "parent": 21},
@@ -128,14 +96,43 @@ def test_full_sync(spark, site):
             ],
             "wp_attachment_meta_data": None, "product_attributes": {"width": 3},
         },
+        # In a category of the other taxonomy: no chain.
     }
-    assert spark.table("site_test.nothing").count() == 0
     again = sync(spark, site, do_import=False, moment=MOMENT + timedelta(days=1))
     assert rows(publish.find_stale(spark, "site_test", "shop_")) == [("shop_20240501120000",)]
     assert publish.drop_stale(spark, "site_test", site.prefix) == ["shop_20240501120000"]
     assert tables.target_of(spark, "site_test", "shop_live") == again.version
 
 
+def test_staged_columns_and_helper_tables(spark, site):
+    empty = Extract("nothing", "SELECT * FROM wp_posts WHERE false")
+    helper = Assembly("chosen", "SELECT * FROM post_cates WHERE cat_id > 10", kind="table")
+    count = Assembly("documents", "SELECT count(*) AS ID, '{lang}' AS lang FROM chosen")
+    run_import(spark, replaced(site, extracts=[*site.extracts, empty]))
+    assert spark.table("site_test.nothing").count() == 0
+    assert rows(spark.table("site_test.cates").selectExpr("cat_id", "size(categories)")) == [
+        (10, 0), (20, 1), (21, 2), (22, 3),
+    ]
+    result = run_export(spark, replaced(site, assemblies=[helper, count]), MOMENT)
+    assert [r["doc_id"] for r in spark.table(f"site_test.{result.version}").collect()] == ["2"]
+
+
+def test_oversized_documents_continue(spark, site, monkeypatch):
+    import docloom.plans.wordpress as wordpress
+
+    small = lambda pairs: wordpress.fold_pairs(
+        pairs, "ID", "meta_key", "meta_value", out="metaArrayJson", limit=30
+    ).withColumnRenamed("part", "meta_part")
+    cut = [replace(e, transform=small) if e.name == "post_meta" else e for e in site.extracts]
+    result = sync(spark, replaced(site, extracts=cut), moment=MOMENT)
+    docs = {r["doc_id"]: json.loads(r["body"]) for r in spark.table(f"site_test.{result.version}").collect()}
+    assert "2" in docs and any(i.startswith("2#") for i in docs)
+    assert all(d["ID"] == 2 for i, d in docs.items() if i.startswith("2"))
+    pairs = [m for i, d in docs.items() if i.startswith("2") for m in d["metaArrayJson"]]
+    assert pairs == [{"size": "9"}]
+    assert [d["product_attributes"] for i, d in docs.items() if d["product_attributes"]] == [{"width": 3}]
+
+
 def test_phases(spark, site):
     assert sync(spark, site, test_only=True) is None
     assert sync(spark, site, do_export=False) is None
@@ -213,5 +210,4 @@ def test_delivery_and_dead_letters(spark, site, tmp_path):
     assert (result.n_ok, result.n_err, result.rate) == (1, 2, 33)
     dead = spark.read.json(str(tmp_path / "dead" / f"error_{result.version}"))
     found = {r["doc_id"]: (r["status"], r["body"] is not None) for r in dead.collect()}
-    assert found["2"] == (400, True)
-    assert len(found) == 2
+    assert found == {"2": (400, True), None: (400, True)}
