@@ -87,15 +87,18 @@ def concat_group(
     rows = df.select(*keys, *order, F.col(value).cast("string").alias("item"))
     if distinct:
         rows = rows.distinct()
-    # One NULL row per key is enough to keep groups that hold nothing else.
-    void = rows.filter("item IS NULL").select(*keys).distinct()
-    rows = rows.filter("item IS NOT NULL").unionByName(void, allowMissingColumns=True)
+
+    def one_null(hot: DataFrame) -> DataFrame:
+        # Enough to keep a group that holds nothing else.
+        void = hot.filter("item IS NULL").select(*keys).distinct()
+        return hot.filter("item IS NOT NULL").unionByName(void, allowMissingColumns=True)
+
     weight = (F.coalesce(F.octet_length("item"), F.lit(0)) + F.lit(8)).cast("long")
     if max_len is not None:
         # A weight is at most 8 times the characters an item adds (4 bytes
         # each, one separator), so part 0 covers the first max_len.
         limit = max(limit, 8 * (max_len + 1))
-    rest, cut = bounded_parts(rows, keys, [*order, "item"], weight, limit)
+    rest, cut = bounded_parts(rows, keys, [*order, "item"], weight, limit, one_null)
     items = F.sort_array(F.collect_list(F.when(F.col("item").isNotNull(), F.struct(*order, "item"))))
     text = F.array_join(F.transform(items, lambda row: row["item"]), sep)
     if max_len is not None:

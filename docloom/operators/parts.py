@@ -9,7 +9,7 @@ group. All other keys get part 0 and pay only for the size check.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -105,17 +105,20 @@ def bounded_parts(
     order: Sequence[str],
     weight: Column,
     limit: int = PART_BYTES,
+    reduce_hot: Callable[[DataFrame], DataFrame] = lambda hot: hot,
 ) -> tuple[DataFrame, DataFrame | None]:
     """``(rest, cut)``: the rows of keys within ``limit``, and, if there are
     others, the rows of oversized keys with their ``part``.
 
     Every ``(keys, part)`` weighs at most ``limit`` plus one row. ``weight`` must
     be a positive integer expression over the columns of ``df``, none of which
-    may be of map type.
+    may be of map type. ``reduce_hot`` may drop rows of oversized keys that do
+    not matter to the caller.
     """
     rest, hot, total = split_by_size(df, keys, weight, limit)
     if hot is None:
         return df, None
+    hot = reduce_hot(hot)
     slices = max(1, min(MAX_SLICES, 2 * (total // limit + 1)))
     placed = add_start(slice_in_order(hot, keys, order, slices), keys, order, weight)
     size = weight.cast("long")

@@ -593,7 +593,7 @@ def assemble_documents(spark: SparkSession, sf: str) -> DataFrame:
     but the further parts of oversized documents. Owners and their chains are
     joined first: the documents meet them once.
     """
-    lines = table(spark, sf, "lineitem").select(
+    lines = wide(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_partkey").select(
         "l_orderkey", "l_linenumber", F.concat(F.lit("line"), "l_linenumber").alias("k"), "l_partkey"
     )
     views = {
@@ -753,7 +753,8 @@ def _bulk_lines(spark, sf):
     """,
 )
 def _bulk_batches(spark, sf):
-    orders = _order_documents(spark, sf)
+    # One document per id, so a range of keys is a shard of bounded size.
+    orders = keep_last(_order_documents(spark, sf), "doc_id", ["o_orderkey"])
     lo = key_bounds(table(spark, sf, "orders"), "o_orderkey").first()["lo"]
     lines = orders.select(
         chunk_of("o_orderkey", lo, WIDTH).alias("chunk"),

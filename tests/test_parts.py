@@ -108,3 +108,13 @@ def test_running_window_over_an_oversized_key(spark):
     mine = sorted(d for d in data if d[0] == 0)
     last = [r for r in rows(cut) if r[0] == 0 and r[3] == len(mine)][0]
     assert last[4:] == (mine[-2][2], sum(d[2] for d in mine))
+
+
+def test_concat_of_an_oversized_key_with_many_nulls(spark):
+    data = [(1, None, i) for i in range(200)] + [(1, f"w{i:02}", i) for i in range(30)] + [(2, None, i) for i in range(90)]
+    df = spark.createDataFrame(data, "k int, v string, o int")
+    found = concat_group(df, ["k"], "v", order=["o"], limit=100).orderBy("k", "part").collect()
+    assert ",".join(r["text"] for r in found if r["k"] == 1) == ",".join(f"w{i:02}" for i in range(30))
+    assert [(r["part"], r["text"]) for r in found if r["k"] == 2] == [(0, None)]
+    cut = concat_group(df, ["k"], "v", order=["o"], limit=100, max_len=10)
+    assert rows(cut) == [(1, 0, "w00,w01,w0"), (2, 0, None)]
