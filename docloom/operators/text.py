@@ -90,22 +90,27 @@ def tokens_of(text: Column | str, analyzer: Analyzer) -> Column:
 
 
 def _windows(df: DataFrame, ids: Sequence[str], width: int) -> DataFrame:
-    """One row per position: ``(ids, n, pos, w)``, ``w`` the next ``width`` tokens.
+    """One row per position: ``(ids, n, pos, before, w)``, ``w`` the tokens from
+    there on, ``width`` of them, and ``before`` the token in front.
 
     Neighbours come from shifted copies of the row's own array, so no
     shuffle is needed and a row's cost is linear in its text.
     """
-    shifted = [F.col("tokens")] + [
-        F.slice("tokens", F.lit(i + 1), F.greatest(F.size("tokens") - i, F.lit(0)))
-        for i in range(1, width)
+    size = F.size("tokens")
+    names = ["before"] + [f"t{i}" for i in range(width)]
+    shifted = [F.concat(F.array(F.lit(None).cast("string")), F.slice("tokens", F.lit(1), F.greatest(size - 1, F.lit(0))))]
+    shifted += [F.col("tokens")] + [
+        F.slice("tokens", F.lit(i + 1), F.greatest(size - i, F.lit(0))) for i in range(1, width)
     ]
-    # arrays_zip names its fields after the arguments: the column, then numbers.
-    names = ["tokens"] + [str(i) for i in range(1, width)]
     # n and z are made below the generator, which would otherwise repeat the
     # whole array on every row.
-    ready = df.select(*ids, F.size("tokens").alias("n"), F.arrays_zip(*shifted).alias("z"))
-    rows = _numbered(ready, [*ids, "n"], "z", "t")
-    return rows.select(*ids, "n", "pos", F.array(*[F.col("t").getField(i) for i in names]).alias("w"))
+    ready = df.select(*ids, size.alias("n"), F.arrays_zip(*shifted).alias("z"))
+    entry = f"array<struct<{', '.join(f'{name}: string' for name in names)}>>"
+    rows = _numbered(ready.withColumn("z", F.col("z").cast(entry)), [*ids, "n"], "z", "t")
+    # The copy with the token in front has one element even for no tokens.
+    # coalesce keeps Spark from testing n, hence the tokens, at the scan.
+    rows = rows.filter("pos < coalesce(n, 0)")
+    return rows.select(*ids, "n", "pos", "t.before", F.array(*[f"t.{i}" for i in names[1:]]).alias("w"))
 
 
 def _numbered(df: DataFrame, keep: Sequence[str], array: str, out: str) -> DataFrame:
@@ -144,37 +149,11 @@ def shingle(tokenized: DataFrame, ids: Sequence[str], unigrams: bool = True) ->
     return rows.filter("token IS NOT NULL")
 
 
-def shingle_positions(tokens: DataFrame, ids: Sequence[str], unigrams: bool = True) -> DataFrame:
-    """:func:`shingle` for ``(ids, pos, n, token)`` rows, where a position may hold
-    several tokens and ``n`` is the number of positions of the text.
+def _expansions(tokenized: DataFrame, ids: Sequence[str], groups: DataFrame) -> DataFrame:
+    """``(ids, n, pos, token, before, after)``: the words that synonym groups add.
 
-    Every token is paired with every token of the next position. The join is
-    on the position within a document, never on the document alone.
-    """
-    here = tokens.select(*ids, "pos", "n", "token")
-    after = tokens.select(
-        *ids, (F.col("pos") - 1).alias("pos"), F.col("n").alias("n2"), F.col("token").alias("after")
-    )
-    pair = F.concat_ws(" ", F.coalesce("token", F.lit(FILLER)), F.coalesce("after", F.lit(FILLER)))
-    pairs = (
-        here.join(after, [*ids, "pos"], "full")
-        .filter(F.col("after").isNotNull() | (F.col("pos") < F.col("n") - 1))
-        .filter("pos >= 0")
-        .select(*ids, "pos", pair.alias("token"))
-    )
-    return here.drop("n").unionByName(pairs) if unigrams else pairs
-
-
-def expand_synonyms(
-    tokenized: DataFrame, ids: Sequence[str], groups: DataFrame, with_size: bool = False
-) -> DataFrame:
-    """``(ids, pos, token)`` of token arrays with the terms of matching synonym groups.
-
-    ``groups`` holds ``(group_id, term)``. A term of several words matches a run
-    of tokens and is written word by word from the position where the match
-    starts. A position holds each token once; ``with_size`` adds ``n``, the
-    number of positions of the text. The tokens themselves are not
-    shuffled; only expansions are deduplicated.
+    ``before`` and ``after`` are the text's own neighbours of the position:
+    a token, ``_`` for a removed word, NULL beyond the text.
     """
     parts = F.split("term", r"\s+")
     terms = cut_lineage(
@@ -185,23 +164,70 @@ def expand_synonyms(
     read = terms.select("group_id", "first", F.col("parts").alias("read"))
     write = terms.select(F.col("group_id").alias("g"), F.col("parts").alias("write"))
 
-    windows = _windows(tokenized, ids, width)
+    # One token more than the longest term: the neighbour after its last word.
+    windows = _windows(tokenized, ids, width + 1)
     # Joined on the first word of a term; the others are compared after.
     matched = windows.join(read, windows["w"][0] == read["first"], "inner")
     if width > 1:
         matched = matched.filter(F.slice("w", F.lit(1), F.size("read")) == F.col("read"))
-    expansions = (
+    at = F.col("pos") + F.col("i")
+
+    def neighbour(token: Column, where: Column) -> Column:
+        return F.when((where >= 0) & (where < F.col("n")), F.coalesce(token, F.lit(FILLER)))
+
+    front = F.when(F.col("i") == 0, F.col("before")).otherwise(F.get("w", F.col("i") - 1))
+    return (
         matched.join(write, matched["group_id"] == write["g"], "inner")
-        .select(*ids, "n", "pos", "w", F.posexplode("write").alias("i", "token"))
+        .select(*ids, "n", "pos", "before", "w", F.posexplode("write").alias("i", "token"))
         # Words already at their position are not written again.
         .filter(~F.col("token").eqNullSafe(F.get("w", F.col("i"))))
-        .select(*ids, "n", (F.col("pos") + F.col("i")).alias("pos"), "token")
+        .select(
+            *ids,
+            "n",
+            at.alias("pos"),
+            "token",
+            neighbour(front, at - 1).alias("before"),
+            neighbour(F.get("w", F.col("i") + 1), at + 1).alias("after"),
+        )
         .distinct()
     )
-    sized = [*ids, "n"]
-    own = explode_tokens(tokenized.withColumn("n", F.size("tokens")), sized)
-    every = own.unionByName(expansions)
-    return every if with_size else every.drop("n")
+
+
+def expand_synonyms(tokenized: DataFrame, ids: Sequence[str], groups: DataFrame) -> DataFrame:
+    """``(ids, pos, token)`` of token arrays with the terms of matching synonym groups.
+
+    ``groups`` holds ``(group_id, term)``. A term of several words matches a run
+    of tokens and is written word by word from the position where the match
+    starts. A position holds each token once. The tokens themselves are not
+    shuffled; only expansions are deduplicated. ``ids`` must identify a row.
+    """
+    added = _expansions(tokenized, ids, groups)
+    return explode_tokens(tokenized, ids).unionByName(added.select(*ids, "pos", "token"))
+
+
+def shingle_synonyms(tokenized: DataFrame, ids: Sequence[str], groups: DataFrame) -> DataFrame:
+    """:func:`shingle` of token arrays with synonym groups.
+
+    A position holds its token, or ``_`` for a removed word, and the words that
+    groups add; every item is paired with every item of the next position. The
+    text's own pairs and those with added words come from the row itself, and
+    only added words at neighbouring positions are joined.
+    """
+    # Read three times below.
+    added = cut_lineage(_expansions(tokenized, ids, groups))
+    word = F.col("token")
+    pos = F.col("pos")
+    grams = F.array(
+        F.struct(pos.alias("at"), word.alias("gram")),
+        F.struct(pos - 1, F.when(F.col("before").isNotNull(), F.concat_ws(" ", "before", word))),
+        F.struct(pos, F.when(F.col("after").isNotNull(), F.concat_ws(" ", word, "after"))),
+    )
+    mixed = added.select(*ids, F.inline(grams)).filter("gram IS NOT NULL").select(
+        *ids, F.col("at").alias("pos"), F.col("gram").alias("token")
+    )
+    right = added.select(*ids, (F.col("pos") - 1).alias("pos"), word.alias("next"))
+    both = added.join(right, [*ids, "pos"]).select(*ids, "pos", F.concat_ws(" ", word, "next").alias("token"))
+    return shingle(tokenized, ids).unionByName(mixed).unionByName(both)
 
 
 def analyze(
@@ -215,8 +241,7 @@ def analyze(
     kind = ANALYZERS[analyzer] if isinstance(analyzer, str) else analyzer
     tokenized = tokenize(df, ids, text_col, kind)
     if kind.synonyms and groups is not None:
-        tokens = expand_synonyms(tokenized, ids, groups, with_size=kind.shingles)
-        return shingle_positions(tokens, ids) if kind.shingles else tokens
+        return (shingle_synonyms if kind.shingles else expand_synonyms)(tokenized, ids, groups)
     return shingle(tokenized, ids) if kind.shingles else explode_tokens(tokenized, ids)
 
 

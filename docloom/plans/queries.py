@@ -1050,13 +1050,12 @@ def _synonym_expand(spark, sf):
     "synonym_shingles",
     EXPANDED
     + """,
-    pairs AS (
-      SELECT coalesce(a.doc_id, b.doc_id) AS doc_id, coalesce(a.pos, b.pos - 1) AS pos, a.n, a.token, b.token AS after
-      FROM every_token a FULL JOIN every_token b ON a.doc_id = b.doc_id AND a.pos = b.pos - 1)
+    items AS (
+      SELECT doc_id, pos, coalesce(w, '_') AS item FROM t UNION ALL SELECT doc_id, pos, word FROM e)
     SELECT token, count(*) AS n FROM (
       SELECT token FROM every_token
-      UNION ALL SELECT coalesce(token, '_') || ' ' || coalesce(after, '_') FROM pairs
-      WHERE pos >= 0 AND (after IS NOT NULL OR pos < n - 1))
+      UNION ALL SELECT a.item || ' ' || b.item FROM items a JOIN items b ON a.doc_id = b.doc_id AND a.pos = b.pos - 1
+      WHERE a.item <> '_' OR b.item <> '_')
     GROUP BY token
     """,
 )

@@ -74,7 +74,13 @@ def test_shingles_after_synonyms(spark):
     groups = groups_of(spark, "wp,word press")
     found = tokens(spark, "the wp of", "shingle_analyzer", groups)
     assert found == [
-        (0, "_ word"), (0, "_ wp"), (1, "word"), (1, "word press"), (1, "wp"), (1, "wp press"), (2, "press"),
+        (0, "_ word"), (0, "_ wp"), (1, "word"), (1, "word _"), (1, "word press"), (1, "wp"), (1, "wp _"),
+        (1, "wp press"), (2, "press"),
+    ]
+    # Words added beyond the end, and next to each other.
+    found = tokens(spark, "a wp", "shingle_search", groups_of(spark, "wp,x y z", "wp,q"))
+    assert [t for _, t in found] == [
+        "_ q", "_ wp", "_ x", "q", "q y", "wp", "wp y", "x", "x y", "y", "y z", "z",
     ]
 
 
