@@ -217,10 +217,14 @@ def shingle_synonyms(tokenized: DataFrame, ids: Sequence[str], groups: DataFrame
     added = cut_lineage(_expansions(tokenized, ids, groups))
     word = F.col("token")
     pos = F.col("pos")
+
+    def gram(at: Column, text: Column) -> Column:
+        return F.struct(at.alias("at"), text.alias("gram"))
+
     grams = F.array(
-        F.struct(pos.alias("at"), word.alias("gram")),
-        F.struct(pos - 1, F.when(F.col("before").isNotNull(), F.concat_ws(" ", "before", word))),
-        F.struct(pos, F.when(F.col("after").isNotNull(), F.concat_ws(" ", word, "after"))),
+        gram(pos, word),
+        gram(pos - 1, F.when(F.col("before").isNotNull(), F.concat_ws(" ", "before", word))),
+        gram(pos, F.when(F.col("after").isNotNull(), F.concat_ws(" ", word, "after"))),
     )
     mixed = added.select(*ids, F.inline(grams)).filter("gram IS NOT NULL").select(
         *ids, F.col("at").alias("pos"), F.col("gram").alias("token")
