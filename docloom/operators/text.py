@@ -328,3 +328,33 @@ def mapping_errors(df: DataFrame, mapping: Mapping) -> Column:
         if rule.get("type") == "integer" and name in df.columns
     ]
     return reduce(lambda a, b: F.coalesce(a, b), checks, F.lit(None).cast("string"))
+
+
+def field_tokens(
+    mapped: DataFrame, ids: Sequence[str], mapping: Mapping, groups: DataFrame | None = None
+) -> DataFrame:
+    """``(ids, field, item, pos, token)``: the tokens of every mapped text field.
+
+    Each field goes through its declared ``analyzer`` (``default`` if none is
+    named). Entries of nested fields are numbered by ``item`` and analyzed one
+    by one, ``field`` being ``<nested>.<name>``.
+    """
+    found = []
+
+    def add(df: DataFrame, keys: list[str], field: str, column: str, rule: Mapping) -> None:
+        tokens = analyze(df, keys, column, rule.get("analyzer", "default"), groups)
+        item = F.col("item") if "item" in keys else F.lit(0)
+        found.append(tokens.select(*ids, F.lit(field).alias("field"), item.alias("item"), "pos", "token"))
+
+    for name, rule in _properties(mapping).items():
+        if name not in mapped.columns:
+            continue
+        if rule.get("type") == "text":
+            add(mapped, list(ids), name, name, rule)
+        elif rule.get("type") == "nested":
+            entries = mapped.select(*ids, F.posexplode(name).alias("item", "entry"))
+            for inner, sub in rule["properties"].items():
+                if sub.get("type") == "text":
+                    entry = entries.select(*ids, "item", F.col(f"entry.`{inner}`").alias("text"))
+                    add(entry, [*ids, "item"], f"{name}.{inner}", "text", sub)
+    return reduce(lambda a, b: a.unionByName(b), found)

@@ -19,7 +19,7 @@ from docloom.operators.fold import concat_group, fold_pairs
 from docloom.operators.hierarchy import ancestor_array, ancestors, csv_member_join
 from docloom.operators.loads import dead_letters, load_stats, passes_gate, success_rate
 from docloom.operators.text import (
-    ENGLISH_STOP_WORDS, analyze, apply_mapping, copy_to, lowercase_normal, mapping_errors,
+    ENGLISH_STOP_WORDS, analyze, apply_mapping, copy_to, field_tokens, lowercase_normal, mapping_errors,
     remove_spaces, special_chars_to_space,
 )
 from docloom.operators.versions import alias_actions, stale_versions, version_column
@@ -195,9 +195,9 @@ def _project_filter(spark, sf):
     """
     SELECT event_id, event_type, coalesce(nullif(event_type, 'error'), 'none') AS kind,
            event_type || nullif(props, '') AS joined
-    FROM (SELECT event_id, event_type, CASE WHEN event_id % 3 = 0 THEN NULL WHEN event_id % 3 = 1 THEN '' ELSE props END AS props
+    FROM (SELECT event_id, event_type, CASE event_type WHEN 'view' THEN NULL WHEN 'click' THEN '' ELSE props END AS props
           FROM events)
-    WHERE (props IS NOT NULL OR strlen(props) > 0) AND event_type IN ('click', 'error')
+    WHERE (props IS NOT NULL OR strlen(props) > 0) AND event_type IN ('click', 'error', 'view')
     """,
 )
 def _null_or_length(spark, sf):
@@ -209,8 +209,8 @@ def _null_or_length(spark, sf):
         SELECT event_id, event_type, ifnull(nullif(event_type, 'error'), 'none') AS kind,
                concat(event_type, nullif(props, '')) AS joined
         FROM (SELECT event_id, event_type,
-                     CASE event_id % 3 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE props END AS props FROM events)
-        WHERE (props IS NOT NULL OR octet_length(props) > 0) AND event_type IN ('click', 'error')
+                     CASE event_type WHEN 'view' THEN NULL WHEN 'click' THEN '' ELSE props END AS props FROM events)
+        WHERE (props IS NOT NULL OR octet_length(props) > 0) AND event_type IN ('click', 'error', 'view')
         """,
     )
 
@@ -428,17 +428,19 @@ def parsed(documents: DataFrame, shape: str) -> DataFrame:
 @query(
     "json_extract",
     """
-    SELECT event_id, CASE WHEN event_id % 5 = 0 THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS k,
-           CASE WHEN event_id % 5 = 1 THEN props WHEN event_id % 5 = 3 THEN '[' || props END AS field_raw
+    SELECT event_id, CASE WHEN event_type IN ('view', 'click') THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS k,
+           CASE event_type WHEN 'error' THEN props WHEN 'signup' THEN '[' || props END AS field_raw
     FROM events
     """,
 )
 def _json_extract(spark, sf):
+    # By event type: arrays, an object, broken text, and empty text.
+    kind = F.col("event_type")
     text = (
-        F.when(F.col("event_id") % 5 == 0, F.concat(F.lit("["), "props", F.lit("]")))
-        .when(F.col("event_id") % 5 == 1, F.col("props"))
-        .when(F.col("event_id") % 5 == 2, F.lit(""))
-        .when(F.col("event_id") % 5 == 3, F.concat(F.lit("["), "props"))
+        F.when(kind.isin("view", "click"), F.concat(F.lit("["), "props", F.lit("]")))
+        .when(kind == "error", F.col("props"))
+        .when(kind == "signup", F.concat(F.lit("["), "props"))
+        .otherwise("")
     )
     rows = table(spark, sf, "events").select("event_id", text.alias("field"))
     decoded = decode_json_fields(rows, {"field": "array<struct<k: bigint>>"})
@@ -870,8 +872,8 @@ def _version_name(spark, sf):
 
 
 def _part_versions(spark: SparkSession, sf: str) -> DataFrame:
-    """Parts as versions, the brand as alias; every seventh has a dot-name."""
-    dot = F.when(F.col("p_partkey") % 7 == 0, F.lit(".")).otherwise(F.lit(""))
+    """Parts as versions, the brand as alias; promotional ones have dot-names."""
+    dot = F.when(F.col("p_type") == "PROMO", F.lit(".")).otherwise(F.lit(""))
     return table(spark, sf, "part").select(
         F.concat(dot, F.lit("v"), F.lpad(F.col("p_partkey").cast("string"), 12, "0")).alias("version"),
         F.col("p_brand").alias("alias"),
@@ -879,7 +881,7 @@ def _part_versions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _PART_VERSIONS = """
-    SELECT CASE WHEN p_partkey % 7 = 0 THEN '.' ELSE '' END || 'v' || lpad(CAST(p_partkey AS VARCHAR), 12, '0')
+    SELECT CASE WHEN p_type = 'PROMO' THEN '.' ELSE '' END || 'v' || lpad(CAST(p_partkey AS VARCHAR), 12, '0')
            AS version, p_brand AS alias FROM part
 """
 
@@ -1079,6 +1081,44 @@ def _copy_to(spark, sf):
     return copy_to(part, ["p_name", "p_size"], "p_brand").select("p_partkey", "search_words", "p_brand")
 
 
+FIELDS = {
+    "properties": {
+        "title": {"type": "text", "analyzer": "shingle_analyzer", "copy_to": ["words"]},
+        "kind": {"type": "text", "copy_to": ["words"]},
+        "labels": {"type": "nested", "properties": {"brand": {"type": "text"}, "size": {"type": "integer"}}},
+        "words": {"type": "text", "analyzer": "default"},
+    }
+}
+
+
+@query(
+    "field_tokens",
+    """
+    WITH texts AS (
+      SELECT p_partkey, 'title' AS field, p_name AS t FROM part
+      UNION ALL SELECT p_partkey, 'kind', p_type FROM part
+      UNION ALL SELECT p_partkey, 'labels.brand', p_brand FROM part
+      UNION ALL SELECT p_partkey, 'words', p_name || ' ' || p_type FROM part),
+    tokens AS (
+      SELECT p_partkey, field, unnest(ws) AS token, generate_subscripts(ws, 1) AS i, len(ws) AS n FROM (
+        SELECT p_partkey, field, list_transform(regexp_extract_all(t, '\\p{L}+'), lambda x: lower(x)) AS ws FROM texts))
+    SELECT p_partkey, field, CAST(0 AS BIGINT) AS item, CAST(i - 1 AS BIGINT) AS pos, token FROM tokens
+    UNION ALL
+    SELECT a.p_partkey, a.field, 0, a.i - 1, a.token || ' ' || b.token FROM tokens a
+    JOIN tokens b ON a.p_partkey = b.p_partkey AND a.field = b.field AND a.i = b.i - 1 WHERE a.field = 'title'
+    """,
+)
+def _field_tokens(spark, sf):
+    rows = table(spark, sf, "part").select(
+        "p_partkey",
+        F.col("p_name").alias("title"),
+        F.col("p_type").alias("kind"),
+        F.array(F.struct(F.col("p_brand").alias("brand"), F.col("p_size").alias("size"))).alias("labels"),
+    )
+    found = field_tokens(apply_mapping(rows, FIELDS, keep=["p_partkey"]), ["p_partkey"], FIELDS)
+    return found.select("p_partkey", "field", *[F.col(c).cast("long").alias(c) for c in ("item", "pos")], "token")
+
+
 MAPPING = {
     "dynamic": "false",
     "properties": {

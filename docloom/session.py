@@ -27,6 +27,8 @@ def build_session(app: str = "docloom", master: str | None = None, **conf) -> Sp
         # A skewed join is split even when that costs one more exchange.
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Checkpoint files go when nothing refers to them any more.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     for name, value in {**defaults, **conf}.items():
         builder = builder.config(name, value)

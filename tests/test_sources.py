@@ -84,6 +84,22 @@ def test_csv_source_options(spark, tmp_path):
     assert rows(extract(spark, source, "SELECT name FROM a WHERE id = 2")) == [("y",)]
 
 
+def test_common_table_expressions_and_windows_pass_through(spark):
+    source = Source("s", "files", tables={"orders": f"{DATA}/orders.parquet"})
+    found = extract(
+        spark,
+        source,
+        """
+        WITH ranked AS (
+          SELECT o_custkey, rank() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS r,
+                 avg(o_totalprice) OVER (PARTITION BY o_custkey ROWS BETWEEN 1 PRECEDING AND CURRENT ROW) AS a
+          FROM orders)
+        SELECT o_custkey, r FROM ranked WHERE r = 1 AND a IS NOT NULL
+        """,
+    )
+    assert found.count() == spark.read.parquet(f"{DATA}/orders.parquet").select("o_custkey").distinct().count()
+
+
 def test_unknown_kind(spark):
     with pytest.raises(ValueError):
         extract(spark, Source("s", "queue"), "SELECT 1")
