@@ -24,7 +24,7 @@ from docloom.operators.text import (
 )
 from docloom.operators.versions import alias_actions, stale_versions, version_column
 from docloom.operators.windows import running_window
-from docloom.session import spread
+from docloom.session import broadcast_if_small, spread
 from docloom.sinks.schema import normalize_schema
 from docloom.sources.named import extract, synonym_groups
 from docloom.sources.ranges import WIDTH, chunk_of, key_bounds, key_ranges
@@ -593,13 +593,27 @@ def assemble_documents(spark: SparkSession, sf: str) -> DataFrame:
 
     Metadata and chains are folded before the join, so the join adds no rows
     but the further parts of oversized documents. Owners and their chains are
-    joined first: the documents meet them once.
+    joined first: the documents meet them once, without a shuffle if they are few.
     """
-    lines = wide(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_partkey").select(
+    lines = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", F.concat(F.lit("line"), "l_linenumber").alias("k"), "l_partkey"
     )
+    owners = table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("owner"),
+        (F.col("c_custkey") + 10000).alias("cat_id"),
+        F.col("c_name").alias("cat_name"),
+    )
+    cates = ancestor_array(
+        taxonomy(spark, sf),
+        "term_id",
+        "parent",
+        {"term_id": "catId", "name": "catName", "parent": "parent"},
+        where="taxonomy = 'product_cat'",
+    ).select(F.col("leaf").alias("cat_id"), F.col("part").alias("chain_part"), "categories")
     views = {
-        "posts": table(spark, sf, "orders").select(
+        "posts": wide(
+            spark, sf, "orders", "o_orderkey", "o_orderpriority", "o_orderdate", "o_orderstatus", "o_custkey"
+        ).select(
             F.col("o_orderkey").alias("ID"),
             F.col("o_orderpriority").alias("post_title"),
             F.col("o_orderdate").alias("post_date"),
@@ -609,28 +623,17 @@ def assemble_documents(spark: SparkSession, sf: str) -> DataFrame:
         "post_meta": fold_pairs(
             lines, "l_orderkey", "k", "l_partkey", ["l_linenumber"], out="metaArrayJson"
         ).withColumnRenamed("l_orderkey", "ID"),
-        "post_cates": table(spark, sf, "customer").select(
-            F.col("c_custkey").alias("owner"),
-            (F.col("c_custkey") + 10000).alias("cat_id"),
-            F.col("c_name").alias("cat_name"),
-        ),
-        "cates": ancestor_array(
-            taxonomy(spark, sf),
-            "term_id",
-            "parent",
-            {"term_id": "catId", "name": "catName", "parent": "parent"},
-            where="taxonomy = 'product_cat'",
-        ).select(F.col("leaf").alias("cat_id"), F.col("part").alias("chain_part"), "categories"),
+        "post_cates": broadcast_if_small(owners.join(cates, "cat_id")),
     }
     for name, view in views.items():
         view.createOrReplaceTempView(name)
     documents = spark.sql(
         """
         SELECT wp.ID, wp.post_title, wp.post_date, wp.post_status, pc.cat_id, pc.cat_name,
-               pm.metaArrayJson, c.categories, pm.part, c.chain_part
+               pm.metaArrayJson, pc.categories, pm.part, pc.chain_part
         FROM posts wp
         JOIN post_meta pm ON wp.ID = pm.ID
-        JOIN (post_cates pc JOIN cates c ON pc.cat_id = c.cat_id) ON wp.owner = pc.owner
+        JOIN post_cates pc ON wp.owner = pc.owner
         """
     )
     for name in views:
