@@ -139,6 +139,8 @@ def line_breaks(col: Column | str) -> Column:
 
 
 def compact_time(ts: Column | str, time_zone: str | None = None) -> Column:
-    """``yyyyMMddHHmmss`` of a UTC timestamp in ``time_zone`` (as it is without)."""
-    moment = F.from_utc_timestamp(ts, time_zone) if time_zone else F.col(ts) if isinstance(ts, str) else ts
+    """``yyyyMMddHHmmss`` of a UTC wall-clock timestamp in ``time_zone`` (as it is without)."""
+    moment = F.col(ts) if isinstance(ts, str) else ts
+    if time_zone:
+        moment = F.convert_timezone(F.lit("UTC"), F.lit(time_zone), moment)
     return F.date_format(moment, "yyyyMMddHHmmss")

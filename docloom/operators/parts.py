@@ -60,7 +60,7 @@ def split_by_size(
 def slice_in_order(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int
 ) -> DataFrame:
-    """Merge equal rows (``copies``) and add ``slice``: the number of the range
+    """Merge equal rows (``_copies``) and add ``_slice``: the number of the range
     partition of ``(keys, order, other columns)`` a row falls into.
 
     Within a key, slice order is row order. Equal rows are merged first, so
@@ -68,34 +68,34 @@ def slice_in_order(
     The result is materialized: slice numbers never change on a retry.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
-    merged = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"))
+    merged = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
     ranged = merged.repartitionByRange(slices, *keys, *order, *rest)
-    return cut_lineage(ranged.withColumn("slice", F.spark_partition_id()))
+    return cut_lineage(ranged.withColumn("_slice", F.spark_partition_id()))
 
 
 def add_start(sliced: DataFrame, keys: Sequence[str], order: Sequence[str], weight: Column) -> DataFrame:
-    """Add ``start``: the summed weight of all earlier rows of the key.
+    """Add ``_start``: the summed weight of all earlier rows of the key.
 
-    Ordering happens inside ``(key, slice)``; across slices only one total per
+    Ordering happens inside ``(key, _slice)``; across slices only one total per
     slice and key is ordered, at most as many rows as there are slices.
     """
     before = (Window.unboundedPreceding, -1)
-    tie = [c for c in sliced.columns if c not in keys and c not in order and c not in ("slice", "copies")]
-    inside = Window.partitionBy(*keys, "slice").orderBy(*order, *tie).rowsBetween(*before)
-    across = Window.partitionBy(*keys).orderBy("slice").rowsBetween(*before)
-    spread = weight * F.col("copies")
+    tie = [c for c in sliced.columns if c not in keys and c not in order and c not in ("_slice", "_copies")]
+    inside = Window.partitionBy(*keys, "_slice").orderBy(*order, *tie).rowsBetween(*before)
+    across = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(*before)
+    spread = weight * F.col("_copies")
     offsets = (
-        sliced.groupBy(*keys, "slice")
-        .agg(F.sum(spread).alias("slice_weight"))
-        .withColumn("offset", F.coalesce(F.sum("slice_weight").over(across), F.lit(0)))
-        .drop("slice_weight")
+        sliced.groupBy(*keys, "_slice")
+        .agg(F.sum(spread).alias("_slice_weight"))
+        .withColumn("_offset", F.coalesce(F.sum("_slice_weight").over(across), F.lit(0)))
+        .drop("_slice_weight")
     )
-    local = sliced.withColumn("start", F.coalesce(F.sum(spread).over(inside), F.lit(0)))
+    local = sliced.withColumn("_start", F.coalesce(F.sum(spread).over(inside), F.lit(0)))
     joined = local.join(
-        offsets, _same(local, offsets, keys) & (local["slice"] == offsets["slice"]), "inner"
+        offsets, _same(local, offsets, keys) & (local["_slice"] == offsets["_slice"]), "inner"
     )
     return joined.select(
-        *[local[c] for c in sliced.columns], (F.col("start") + F.col("offset")).alias("start")
+        *[local[c] for c in sliced.columns], (F.col("_start") + F.col("_offset")).alias("_start")
     )
 
 
@@ -122,22 +122,22 @@ def bounded_parts(
     slices = max(1, min(MAX_SLICES, 2 * (total // limit + 1)))
     placed = add_start(slice_in_order(hot, keys, order, slices), keys, order, weight)
     size = weight.cast("long")
-    first = F.floor(F.col("start") / limit).cast("long")
-    last = F.floor((F.col("start") + (F.col("copies") - 1) * size) / limit).cast("long")
+    first = F.floor(F.col("_start") / limit).cast("long")
+    last = F.floor((F.col("_start") + (F.col("_copies") - 1) * size) / limit).cast("long")
 
     def copies_before(bound: Column) -> Column:
         # Copies start at start, start + size, ...: those below the bound.
-        reached = F.ceil((bound - F.col("start")) / size).cast("long")
-        return F.least(F.col("copies"), F.greatest(F.lit(0).cast("long"), reached))
+        reached = F.ceil((bound - F.col("_start")) / size).cast("long")
+        return F.least(F.col("_copies"), F.greatest(F.lit(0).cast("long"), reached))
 
     part = F.col("part")
     cut = (
         placed.withColumn("part", F.explode(F.sequence(first, last)))
-        .withColumn("n", copies_before((part + 1) * limit) - copies_before(part * limit))
+        .withColumn("_n", copies_before((part + 1) * limit) - copies_before(part * limit))
         # Copies are spread over the parts before they are written out.
         .repartition(*keys, "part")
-        .filter("n > 0")
-        .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+        .filter("_n > 0")
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
     )
     return rest, cut.select(*df.columns, "part")
 

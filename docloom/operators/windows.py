@@ -47,24 +47,24 @@ def running_window(
         return plain
     slices = max(1, min(MAX_SLICES, 2 * (total // limit + 1)))
     sliced = slice_in_order(hot, keys, order, slices)
-    copies = sliced.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
-    local = _plain(copies.drop("copies"), [*keys, "slice"], [*order, "copy"], lag, running)
+    copies = sliced.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies")))
+    local = _plain(copies.drop("_copies"), [*keys, "_slice"], [*order, "_copy"], lag, running)
     # What a slice hands on: its row count, its sums, its last values.
     newest = F.struct(*order)
-    totals = sliced.groupBy(*keys, "slice").agg(
-        F.sum("copies").alias("t_rn"),
-        *[F.sum(F.col(c) * F.col("copies")).alias(f"t_{n}") for n, c in running.items()],
+    totals = sliced.groupBy(*keys, "_slice").agg(
+        F.sum("_copies").alias("t_rn"),
+        *[F.sum(F.col(c) * F.col("_copies")).alias(f"t_{n}") for n, c in running.items()],
         *[F.max_by(c, newest).alias(f"t_{n}") for n, c in lag.items()],
     )
-    across = Window.partitionBy(*keys).orderBy("slice")
+    across = Window.partitionBy(*keys).orderBy("_slice")
     before = across.rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.select(
         *[F.col(k).alias(f"k_{k}") for k in keys],
-        F.col("slice").alias("k_slice"),
+        F.col("_slice").alias("k_slice"),
         *[F.coalesce(F.sum(f"t_{n}").over(before), F.lit(0)).alias(f"c_{n}") for n in ["rn", *running]],
         *[F.lag(f"t_{n}").over(across).alias(f"c_{n}") for n in lag],
     )
-    same = [local[k].eqNullSafe(carried[f"k_{k}"]) for k in keys] + [local["slice"] == carried["k_slice"]]
+    same = [local[k].eqNullSafe(carried[f"k_{k}"]) for k in keys] + [local["_slice"] == carried["k_slice"]]
     joined = local.join(carried, reduce(lambda a, b: a & b, same), "inner")
     first = F.col("rn") == 1
     joined = joined.withColumns(
