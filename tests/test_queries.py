@@ -9,10 +9,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from docloom.plans import queries
 from tests.conftest import DATA
 
-QUERIES = entry_points.queries()
-CHECKS = entry_points.oracle_sql()
+QUERIES = queries.QUERIES
+CHECKS = queries.CHECKS
 
 
 @pytest.fixture(scope="module")
@@ -45,6 +46,8 @@ def test_query_matches_sql(spark, database, name):
 
 def test_every_query_has_sql():
     assert set(CHECKS) == set(QUERIES)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert CHECKS.items() <= entry_points.oracle_sql().items()
 
 
 def test_entry_has_rows(spark):
