@@ -95,7 +95,7 @@ def verify(pairs: DataFrame, percent: int = PERCENT, size: int = WORDS) -> DataF
 def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     first = texts.select(F.col("id").alias("u"), F.col("text").alias("text_u"))
     second = texts.select(F.col("id").alias("v"), F.col("text").alias("text_v"))
-    return pairs.join(first, "u").join(second, "v")
+    return pairs.hint("merge").join(first, "u").join(second.hint("merge"), "v")
 
 
 def _agreeing(rows: DataFrame) -> DataFrame:
@@ -133,7 +133,8 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", siz
     component; a null doc_id takes part, but never names a component unless
     nothing else does. An empty table gives an empty result.
 
-    Only class representatives are linked; copies follow by their set.
+    Only class representatives are linked; copies follow by their set. Joins that
+    carry texts are sort-merge joins at every size.
     """
     scratch = Scratch(docs.sparkSession, "near")
     rows = scratch.table(sketches(docs, doc_id, text, size), "sketches")
@@ -145,7 +146,7 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", siz
     buckets = scratch.table(buckets, "buckets")
     hubs = met.join(buckets, "bucket").groupBy("id").agg(F.min("hub").alias("hub"))
     hubs = scratch.table(hubs, "hubs")
-    texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).join(hubs, "id")
+    texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).join(hubs.hint("merge"), "id")
     texts = scratch.table(texts, "texts")
     stars = texts.where("hub < id").select(F.col("id").alias("u"), F.col("hub").alias("v"), F.col("text").alias("text_u"))
     hub_texts = texts.select(F.col("id").alias("v"), F.col("text").alias("text_v"))
@@ -188,5 +189,5 @@ def drop_near(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size:
     """The rows of ``docs`` that carry their component's id, with all their columns."""
     scratch = Scratch(docs.sparkSession, "near")
     dropped = near_groups(docs, doc_id, text, size, percent).where("NOT kept").select(F.col("doc_id").alias("_id")).distinct()
-    dropped = scratch.table(dropped, "dropped")
+    dropped = scratch.table(dropped, "dropped").hint("merge")
     return docs.join(dropped, docs[doc_id].eqNullSafe(dropped["_id"]), "left_anti")

@@ -172,7 +172,7 @@ def keep_good(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host:
     """The rows of ``docs`` that ``quality`` keeps, with all their columns."""
     judged = quality(docs, doc_id, text, host).where(~F.col("kept"))
     bad = judged.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    bad = Scratch(docs.sparkSession, "quality").table(bad, "bad")
+    bad = Scratch(docs.sparkSession, "quality").table(bad, "bad").hint("merge")
     return docs.join(
         bad,
         docs[doc_id].eqNullSafe(bad["_id"]) & (F.xxhash64(F.coalesce(docs[text], F.lit(""))) == bad["_hash"]),

@@ -218,7 +218,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.collect_set(F.struct("anchor", "segment", "place", "differs")).alias("cuts")
     )
     cuts = scratch.table(cuts, "cuts")
-    right = cuts.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "cuts")
+    right = cuts.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "cuts").hint("merge")
     marked = texts.join(right, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left").drop("_id", "_hash")
     marked = scratch.table(marked, "marked")
 
@@ -244,7 +244,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         .groupBy(*ID)
         .agg(F.flatten(F.collect_list("spans")).alias("found"))
     )
-    by_text = scratch.table(by_text, "spans").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "found")
+    by_text = scratch.table(by_text, "spans").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "found").hint("merge")
     equal = F.transform(
         F.filter("cuts", lambda c: ~c["differs"]),
         lambda c: _span(F.floor(c["place"] / PLACE), F.pmod(c["place"], F.lit(PLACE))),
