@@ -65,7 +65,7 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ca
             )
         )
         groups = scratch.table(groups, f"groups{number}")
-        split = cut.withColumn("_sha", F.sha2(normal, 256)).join(groups, ["_group", "_part"], "left").select(
+        split = cut.withColumn("_sha", F.sha2(normal, 256)).join(groups.hint("merge"), ["_group", "_part"], "left").select(
             "doc_id", "_chars", F.col("_next").alias("_group"), "_sha", "group_size", "keep_id",
             F.coalesce("_ended", F.lit(True)).alias("_ended"),
             *extra,
