@@ -5,7 +5,8 @@ Documents with one shingle set form a class. Classes meet in the buckets of
 probability 5e-8. First each class is verified against the smallest id it
 meets, which joins most groups with one comparison per document. Buckets that
 then still hold several components are searched in blocks for pairs whose
-sketches agree, and these are verified too. Links are decided on full sets.
+sketches agree: first the best partner of each class is verified, then every
+pair that still lies in different components. Links are decided on full sets.
 """
 
 from __future__ import annotations
@@ -28,6 +29,9 @@ PERCENT = 80
 MIN_EQUAL = 80
 #: Classes of a bucket compared in one go.
 BLOCK = 2_048
+#: Rounds that verify the best partner of each class before all are verified:
+#: they join what is left of large groups with few comparisons.
+BEST_ROUNDS = 1
 DOCS_AT_ONCE = 64
 
 
@@ -98,12 +102,13 @@ def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.hint("merge").join(first, "u").join(second.hint("merge"), "v")
 
 
-def _agreeing(rows: DataFrame) -> DataFrame:
+def _agreeing(rows: DataFrame, best: bool) -> DataFrame:
     """Pairs ``(u, v)`` of different roots in one block cell whose sketches agree on MIN_EQUAL values.
 
-    ``rows`` is ``(bucket, left, right, side, id, root, sketch)``: a cell
+    ``rows`` is ``(bucket, band, left, right, side, id, root, sketch)``: a cell
     ``(bucket, left, right)`` compares its block ``left`` with ``right`` and
-    holds at most two blocks.
+    holds at most two blocks. A pair is given in the first band it shares
+    alone; with ``best`` only the best partner of each row in the cell is.
     """
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
@@ -113,9 +118,16 @@ def _agreeing(rows: DataFrame) -> DataFrame:
         side = cell.column("side").to_numpy()
         left, right = np.flatnonzero(side == key[1].as_py()), np.flatnonzero(side == key[2].as_py())
         found = [np.zeros((0, 2), np.int64)]
+        band = cell.column("band")[0].as_py()
         for at in left:
-            equal = (values[right] == values[at]).sum(1) >= MIN_EQUAL
-            others = right[equal & (roots[right] != roots[at])]
+            others = right[roots[right] != roots[at]]
+            same = values[others] == values[at]
+            equal = same.sum(1)
+            first = same.reshape(-1, BINS // BAND, BAND).all(2).argmax(1) == band
+            fits = np.flatnonzero((equal >= MIN_EQUAL) & first)
+            if best and len(fits):
+                fits = fits[[equal[fits].argmax()]]
+            others = others[fits]
             if len(others):
                 found.append(np.stack([np.maximum(ids[others], ids[at]), np.minimum(ids[others], ids[at])], axis=1))
         pairs = np.unique(np.concatenate(found), axis=0)
@@ -153,26 +165,28 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", siz
     first = scratch.table(verify(stars.join(hub_texts, "v"), percent, size).distinct(), "links1")
     roots = components(first, Scratch(docs.sparkSession, "near1"))
 
-    rooted = classes.select("id", "bands", "sketch").join(hubs.select("id"), "id", "left_semi").join(
-        roots.select(F.col("node").alias("id"), "root"), "id", "left"
-    ).withColumn("root", F.coalesce("root", "id"))
-    rooted = scratch.table(rooted, "rooted")
-    mixed_buckets = (
-        rooted.select("root", F.explode("bands").alias("bucket"))
-        .groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count(F.lit(1)).alias("n"))
-        .where("a <> b").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    )
-    mixed_buckets = scratch.table(mixed_buckets, "mixed")
-    blocked = (
-        rooted.select("id", "root", "sketch", F.explode("bands").alias("bucket"))
-        .join(mixed_buckets, "bucket")
-        .withColumn("side", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("bucket", F.least("side", "other").alias("left"), F.greatest("side", "other").alias("right"), "side", "id", "root", "sketch")
-    )
-    pairs = scratch.table(_agreeing(blocked).distinct(), "pairs")
-    second = scratch.table(verify(_with_texts(pairs, texts.select("id", "text")), percent, size).distinct(), "links2")
-    roots = components(first.unionByName(second), Scratch(docs.sparkSession, "near2"))
+    links = first
+    met_classes = scratch.table(classes.select("id", "bands", "sketch").join(hubs.select("id"), "id", "left_semi"), "met")
+    for number in range(BEST_ROUNDS + 1):
+        rooted = met_classes.join(roots.select(F.col("node").alias("id"), "root"), "id", "left")
+        rooted = scratch.table(rooted.withColumn("root", F.coalesce("root", "id")), f"rooted{number}")
+        several = (
+            rooted.select("root", F.explode("bands").alias("bucket"))
+            .groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count(F.lit(1)).alias("n"))
+            .where("a <> b").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+        )
+        several = scratch.table(several, f"several{number}")
+        blocked = (
+            rooted.select("id", "root", "sketch", F.posexplode("bands").alias("band", "bucket"))
+            .join(several, "bucket")
+            .withColumn("side", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select("bucket", "band", F.least("side", "other").alias("left"), F.greatest("side", "other").alias("right"), "side", "id", "root", "sketch")
+        )
+        pairs = scratch.table(_agreeing(blocked, best=number < BEST_ROUNDS).distinct(), f"pairs{number}")
+        found = verify(_with_texts(pairs, texts.select("id", "text")), percent, size).distinct()
+        links = links.unionByName(scratch.table(found, f"found{number}"))
+        roots = components(links, Scratch(docs.sparkSession, "near2"))
 
     member = classes.select("set_key", "id").join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select(
         "set_key", F.coalesce("root", "id").alias("root")
