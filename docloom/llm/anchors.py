@@ -26,7 +26,7 @@ def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(n - 1, 1 << 21).bit_length()
+    size = 1 << max(n - 1, 1 << 20).bit_length()
     return _tables(size)
 
 

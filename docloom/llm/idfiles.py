@@ -123,7 +123,7 @@ def write_ids(
         content = sent.value
         digest, part = hashlib.sha256(content).digest(), TaskContext.get().partitionId()
         compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(content))
-        to_ids = encoder(tokenizer).encode
+        to_ids = encoder(tokenizer).encode_batch
         rows, held, start, first = [], 0, 0, 0
 
         def block() -> pa.RecordBatch:
@@ -131,8 +131,9 @@ def write_ids(
             return pa.RecordBatch.from_pylist([{"part": part, "first": first, "n": start - first, "value": value}], schema)
 
         for batch in batches:
-            for key, body in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = to_ids(body.as_py()) + end
+            texts = (body.as_py() for body in batch.column(1))
+            for key, ids in zip(batch.column(0).to_pylist(), to_ids(texts)):
+                ids += end
                 rows.append((key, start, ids))
                 start += len(ids) // 4
                 held += len(ids)

@@ -20,11 +20,11 @@ from docloom.llm.anchors import PLACE, WINDOW, segments
 from docloom.llm.bwt import repeated_places
 from docloom.llm.common import Scratch, spread_input, text_or_empty
 
-BYTES_AT_ONCE = 2 << 20
+BYTES_AT_ONCE = 1 << 20
 #: Segments of one anchor merged in a task (at most 1.5 MB). The windows of an
 #: anchor with more are counted one by one by their hashes instead.
 ANCHOR_SEGMENTS = 4_096
-MERGE_BYTES = 4 << 20
+MERGE_BYTES = 1 << 20
 
 ID = ["doc_id", "text_hash"]
 
