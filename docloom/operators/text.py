@@ -72,7 +72,7 @@ def tokens_of(text: Column | str, analyzer: Analyzer) -> Column:
         # Maximal runs of letters.
         tokens = F.regexp_extract_all(column, F.lit(r"(\p{L}+)"), F.lit(1))
     elif analyzer.tokenizer == "whitespace":
-        tokens = F.regexp_extract_all(column, F.lit(r"(\S+)"), F.lit(1))
+        tokens = F.regexp_extract_all(column, F.lit(r"(?U)(\S+)"), F.lit(1))
     elif analyzer.tokenizer == "comma":
         tokens = F.regexp_extract_all(column, F.lit(r"([^,]+)"), F.lit(1))
     elif analyzer.tokenizer == "keyword":

@@ -61,7 +61,8 @@ def running_window(
     carried = totals.select(
         *[F.col(k).alias(f"k_{k}") for k in keys],
         F.col("_slice").alias("k_slice"),
-        *[F.coalesce(F.sum(f"t_{n}").over(before), F.lit(0)).alias(f"c_{n}") for n in ["rn", *running]],
+        F.coalesce(F.sum("t_rn").over(before), F.lit(0)).alias("c_rn"),
+        *[F.sum(f"t_{n}").over(before).alias(f"c_{n}") for n in running],
         *[F.lag(f"t_{n}").over(across).alias(f"c_{n}") for n in lag],
     )
     same = [local[k].eqNullSafe(carried[f"k_{k}"]) for k in keys] + [local["_slice"] == carried["k_slice"]]
@@ -70,7 +71,9 @@ def running_window(
     joined = joined.withColumns(
         {
             **{n: F.when(first, F.col(f"c_{n}")).otherwise(F.col(n)) for n in lag},
-            **{n: F.col(n) + F.col(f"c_{n}") for n in ["rn", *running]},
+            "rn": F.col("rn") + F.col("c_rn"),
+            # NULL only while neither this slice nor one before it has a value.
+            **{n: F.coalesce(F.col(n) + F.col(f"c_{n}"), F.col(n), F.col(f"c_{n}")) for n in running},
         }
     )
     return plain.unionByName(joined.select(*plain.columns))

@@ -115,7 +115,9 @@ def shape(df: DataFrame, spec: PipelineSpec) -> DataFrame:
     encoded = to_document_json(
         ranked, spec.id_key, json_columns, raw, exclude=extra, keep=extra, parts=parts
     )
-    last = keep_last(encoded, "doc_id", extra[:-1])
+    # Rows without an id replace nothing: each is an error of its own.
+    last = keep_last(encoded.where(F.col("doc_id").isNotNull()), "doc_id", extra[:-1])
+    last = last.unionByName(encoded.where(F.col("doc_id").isNull()).select(*last.columns))
     fault = F.when(F.col("doc_id").isNull(), F.lit("document without id")).when(
         F.col("wrong_field").isNotNull(),
         F.concat(F.lit("no whole number in field "), F.col("wrong_field")),

@@ -21,7 +21,9 @@ def key_bounds(df: DataFrame, key: str) -> DataFrame:
 def chunk_of(key: Column | str, lo: int, width: int = WIDTH) -> Column:
     """Number of the range of ``width`` keys, counted from ``lo``, that holds ``key``."""
     column = F.col(key) if isinstance(key, str) else key
-    return F.floor((column - F.lit(lo)) / F.lit(width)).cast("long")
+    offset = F.floor(column) - F.lit(lo)
+    # Integer arithmetic: a double cannot tell large keys apart.
+    return F.call_function("div", offset - F.pmod(offset, F.lit(width)), F.lit(width)).cast("long")
 
 
 def key_ranges(df: DataFrame, key: str, width: int = WIDTH) -> DataFrame:

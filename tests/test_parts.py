@@ -118,3 +118,13 @@ def test_concat_of_an_oversized_key_with_many_nulls(spark):
     assert [(r["part"], r["text"]) for r in found if r["k"] == 2] == [(0, None)]
     cut = concat_group(df, ["k"], "v", order=["o"], limit=100, max_len=10)
     assert rows(cut) == [(1, 0, "w00,w01,w0"), (2, 0, None)]
+
+
+def test_running_sums_over_nulls_do_not_depend_on_the_limit(spark):
+    from docloom.operators.windows import running_window
+
+    rows = [("k", i, None if i < 9 or i % 3 else i) for i in range(40)]
+    df = spark.createDataFrame(rows, "key string, at int, v int")
+    whole = running_window(df, ["key"], ["at"], running={"total": "v"}).collect()
+    sliced = running_window(df, ["key"], ["at"], running={"total": "v"}, limit=5).collect()
+    assert {(r["at"], r["total"]) for r in whole} == {(r["at"], r["total"]) for r in sliced}

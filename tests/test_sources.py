@@ -193,3 +193,12 @@ def test_compat_schema(spark):
     assert (row["d"], row["day"], row["ts"], row["a"]) == (2.25, "2024-01-02", "2024-01-02 03:04:05", "[1]")
     with pytest.raises(ValueError):
         normalize_schema(df, "loose")
+
+
+def test_chunk_of_large_keys_is_exact(spark):
+    from docloom.sources.ranges import chunk_of
+
+    keys = [8908900000000000000, 1, 1001, 1002, None]
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    got = {r["k"]: r["c"] for r in df.select("k", chunk_of("k", 1).alias("c")).collect()}
+    assert got == {k: None if k is None else (k - 1) // 1001 for k in keys}

@@ -211,3 +211,14 @@ def test_delivery_and_dead_letters(spark, site, tmp_path):
     dead = spark.read.json(str(tmp_path / "dead" / f"error_{result.version}"))
     found = {r["doc_id"]: (r["status"], r["body"] is not None) for r in dead.collect()}
     assert found == {"2": (400, True), None: (400, True)}
+
+
+def test_every_row_without_an_id_is_an_error_of_its_own(spark):
+    from docloom.plans.sync import shape
+    from docloom.spec import PipelineSpec
+
+    spec = PipelineSpec("s", [], [], [], id_key="id", index_name="x", database="d")
+    df = spark.createDataFrame([(k if k < 3 else None, "v") for k in range(8)], "id int, v string")
+    df = df.selectExpr("*", "0 AS statement")
+    got = shape(df, spec).collect()
+    assert sum(r["doc_id"] is None for r in got) == 5 and len(got) == 8
