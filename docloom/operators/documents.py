@@ -80,6 +80,7 @@ def _batches(
     for frame in frames:
         shards = frame[shard] if shard else [None] * len(frame)
         for where, doc_id, line in zip(shards, frame["doc_id"], frame["value"]):
+            where = None if where is None or where != where else int(where)
             if where != current:
                 if ids:
                     yield flush()
@@ -111,11 +112,14 @@ def bulk_batches(
     ``shard`` is NULL. With ``shard`` (a long column) the lines are
     partitioned by it and batched in ``order`` within it, which makes batch
     numbers reproducible; choose shards of bounded size, such as key ranges.
+    Lines of the shard NULL are spread over tasks, each numbering its own batches.
     State is one open batch per task.
     """
     rows = lines
     if shard:
-        rows = rows.repartition(partitions, shard) if partitions else rows.repartition(shard)
+        # A shard of its own hash for each line without one.
+        dealt = F.coalesce(F.col(shard), F.xxhash64("doc_id", "value"))
+        rows = rows.repartition(partitions, dealt) if partitions else rows.repartition(dealt)
         rows = rows.sortWithinPartitions(shard, *order).select(shard, "doc_id", "value")
     else:
         rows = rows.select("doc_id", "value")

@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from docloom.operators.parts import PART_BYTES, bounded_parts
+from docloom.operators.parts import bounded_parts
 
 
 def fold_rows(
@@ -16,15 +16,16 @@ def fold_rows(
     make: Callable[[Column], Column],
     weight: Column,
     out: str,
-    limit: int = PART_BYTES,
+    limit: int | None = None,
 ) -> DataFrame:
     """``(keys, part, out)``: the rows of each key as an array sorted by ``columns``.
 
     ``make`` turns one collected row, a struct of ``columns``, into an element.
-    ``part`` is 0 except for groups heavier than ``limit``, which continue in
-    parts 1, 2, ...; see :mod:`docloom.operators.parts`.
+    Without ``limit`` a key is one row, of ``part`` 0, whatever its size. With it
+    groups heavier than ``limit`` continue in parts 1, 2, ...; see
+    :mod:`docloom.operators.parts`.
     """
-    rest, cut = bounded_parts(df, keys, columns, weight, limit)
+    rest, cut = (df, None) if limit is None else bounded_parts(df, keys, columns, weight, limit)
     items = F.sort_array(F.collect_list(F.struct(*columns)))
     value = F.transform(items, make).alias(out)
     # Grouped by the keys alone, so that a join on them needs no other shuffle.
@@ -40,7 +41,7 @@ def fold_pairs(
     v: str,
     order: Sequence[str] = (),
     out: str = "pairs",
-    limit: int = PART_BYTES,
+    limit: int | None = None,
 ) -> DataFrame:
     """``(key, part, out)`` with ``out`` an array of one-pair maps ``{k: v}``.
 
@@ -70,7 +71,7 @@ def concat_group(
     order: Sequence[str] = (),
     max_len: int | None = None,
     out: str = "text",
-    limit: int = PART_BYTES,
+    limit: int | None = None,
 ) -> DataFrame:
     """``(keys, part, out)``: GROUP_CONCAT with a stated order.
 
@@ -94,11 +95,11 @@ def concat_group(
         return hot.filter("item IS NOT NULL").unionByName(void, allowMissingColumns=True)
 
     weight = (F.coalesce(F.octet_length("item"), F.lit(0)) + F.lit(8)).cast("long")
-    if max_len is not None:
+    if max_len is not None and limit is not None:
         # A weight is at most 8 times the characters an item adds (4 bytes
         # each, one separator), so part 0 covers the first max_len.
         limit = max(limit, 8 * (max_len + 1))
-    rest, cut = bounded_parts(rows, keys, [*order, "item"], weight, limit, one_null)
+    rest, cut = (rows, None) if limit is None else bounded_parts(rows, keys, [*order, "item"], weight, limit, one_null)
     items = F.sort_array(F.collect_list(F.when(F.col("item").isNotNull(), F.struct(*order, "item"))))
     text = F.array_join(F.transform(items, lambda row: row["item"]), sep)
     if max_len is not None:

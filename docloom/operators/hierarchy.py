@@ -39,42 +39,44 @@ def _rows(nodes, id_col, parent_col, payload, where) -> tuple[DataFrame, bool]:
     return rows, repeated.isEmpty()
 
 
-def _climb(rows: DataFrame, payload: Sequence[str], max_depth: int, root: object, single: bool):
+def _climb(rows: DataFrame, payload: Sequence[str], max_depth: int | None, root: object, single: bool):
     """``(edges, climbed)``: the parent edges of the taken rows, and the chain
     ``(head, id, *payload, parent, depth)`` of every id that occurs as a parent,
     which itself has depth 2.
 
     Only parents are climbed, not all leaves: these are far fewer in a category
-    tree, and a popular parent is climbed once instead of once per child.
+    tree, and a popular parent is climbed once instead of once per child. Each
+    round doubles the reach: the ends of the longest ways found so far go on by
+    every way known, so a chain of n takes log n rounds. An ancestor reached
+    again over a cycle keeps its least depth and is not an end any more.
     """
     kept = rows.filter("taken").drop("taken")
     edges = kept.filter(F.col("parent").isNotNull() & (F.col("parent") != F.lit(root))).select(
         "id", "parent"
     )
     edges = edges if single else edges.distinct()
-    steps = broadcast_if_small(edges)
-    frontier = edges.select(F.col("parent").alias("head"), F.col("parent").alias("at")).distinct()
-    levels = []
-    for depth in range(2, max_depth + 1):
-        levels.append(frontier.withColumn("depth", F.lit(depth)))
-        if depth == max_depth:
-            break
-        step = frontier.join(steps, frontier["at"] == steps["id"], "inner").select(
-            "head", F.col("parent").alias("at")
+    heads = edges.select(F.col("parent").alias("head")).distinct()
+    near = heads.select("head", F.col("head").alias("at"), F.lit(0).alias("steps"))
+    ways, reach = near, 1
+    if max_depth is None or max_depth > 2:
+        up = heads.join(edges, heads["head"] == edges["id"], "inner")
+        one = up.select("head", F.col("parent").alias("at"), F.lit(1).alias("steps")).filter("head <> at")
+        ways = near.unionByName(one)
+    ways = cut_lineage(ways)
+    while (max_depth is None or reach < max_depth - 2) and not (far := ways.filter(F.col("steps") == reach)).isEmpty():
+        on = ways.filter("steps > 0").select(
+            F.col("head").alias("from"), F.col("at").alias("to"), F.col("steps").alias("more")
         )
-        # With one parent per id a head has one way up: nothing to merge.
-        frontier = cut_lineage(step if single else step.distinct())
-        if frontier.isEmpty():
-            break
-    climbed = levels[0]
-    for level in levels[1:]:
-        climbed = climbed.unionByName(level)
-    # A cycle returns to the same ancestor at a greater depth.
-    climbed = climbed.groupBy("head", "at").agg(F.min("depth").alias("depth"))
+        longer = far.join(broadcast_if_small(on), far["at"] == on["from"], "inner").select(
+            "head", F.col("to").alias("at"), (F.col("steps") + F.col("more")).alias("steps")
+        )
+        ways = ways.unionByName(longer).groupBy("head", "at").agg(F.min("steps").alias("steps"))
+        ways, reach = cut_lineage(ways), 2 * reach
+    ways = ways.withColumn("depth", F.col("steps") + 2).drop("steps")
+    if max_depth is not None:
+        ways = ways.filter(F.col("depth") <= max_depth)
     # The payload is attached to the few inner nodes, not to every leaf row.
-    climbed = climbed.join(kept, climbed["at"] == kept["id"], "inner").select(
-        "head", "id", *payload, "parent", "depth"
-    )
+    climbed = ways.join(kept, ways["at"] == kept["id"], "inner").select("head", "id", *payload, "parent", "depth")
     return edges, cut_lineage(climbed)
 
 
@@ -83,14 +85,14 @@ def ancestors(
     id_col: str,
     parent_col: str,
     payload: Sequence[str] = (),
-    max_depth: int = 10,
+    max_depth: int | None = None,
     where: Column | str | None = None,
     root: object = 0,
 ) -> DataFrame:
     """Ancestor closure: ``(leaf, id, *payload, parent, depth)``.
 
     Every node is a leaf; the leaf itself has depth 1, its parents depth 2 and
-    so on up to ``max_depth``. Parents that are NULL, ``root`` or not a node
+    so on, up to ``max_depth`` if that is given. Parents that are NULL, ``root`` or not a node
     end the climb, each ancestor appears once at its least depth (cycles
     included), and ``where`` restricts the nodes that take part.
     """
@@ -102,7 +104,7 @@ def _closure(rows, single, payload, max_depth, root) -> DataFrame:
     own = rows.filter("taken").select(
         F.col("id").alias("leaf"), "id", *payload, "parent", F.lit(1).alias("depth")
     )
-    if max_depth < 2:
+    if max_depth is not None and max_depth < 2:
         return own
     edges, climbed = _climb(rows, payload, max_depth, root, single)
     chains = broadcast_if_small(climbed)
@@ -122,23 +124,23 @@ def ancestor_array(
     id_col: str,
     parent_col: str,
     payload: Mapping[str, str],
-    max_depth: int = 10,
+    max_depth: int | None = None,
     where: Column | str | None = None,
     root: object = 0,
     out: str = "categories",
+    limit: int | None = None,
 ) -> DataFrame:
     """``(leaf, part, out)``: each node's chain as an array of structs, leaf first.
 
     ``payload`` maps node columns, the id and parent among them, to struct
-    fields. Nodes that ``where`` excludes get an empty array. In a tree a chain
-    has at most ``max_depth`` entries and part is 0; where ids have many
-    parents, an oversized chain continues in further parts.
+    fields. Nodes that ``where`` excludes get an empty array. ``limit`` cuts the
+    chains of ids with several parents into parts of so many bytes; else part is 0.
     """
     names = {id_col: "id", parent_col: "parent"}
     extra = [c for c in payload if c not in names]
     entry = F.struct(*[F.col(names.get(c, c)).alias(field) for c, field in payload.items()])
     rows, single = _rows(nodes, id_col, parent_col, extra, where)
-    if single and max_depth > 1:
+    if single and (max_depth is None or max_depth > 1):
         # Chains of parents are short and few: folded once, then one join.
         _, climbed = _climb(rows, extra, max_depth, root, single)
         chains = climbed.groupBy("head").agg(
@@ -159,7 +161,7 @@ def ancestor_array(
     for column in extra:
         size = size + F.coalesce(F.octet_length(F.col(column).cast("string")), F.lit(0))
     element = lambda row: F.struct(*[row[names.get(c, c)].alias(f) for c, f in payload.items()])
-    folded = fold_rows(closure, ["leaf"], order, element, size, out)
+    folded = fold_rows(closure, ["leaf"], order, element, size, out, limit)
     leaves = rows.select(F.col("id").alias("leaf")).distinct()
     return leaves.join(folded, "leaf", "left").select(
         "leaf",

@@ -4,7 +4,8 @@ Folding a group into one array or one string needs the group in one row. That
 is fine for almost every key, but one key may hold a large share of all rows.
 ``ordered_parts`` numbers the rows of such keys ``part`` 0, 1, 2, ... so that
 every ``(key, part)`` is bounded and the parts, read in order, are the whole
-group. All other keys get part 0 and pay only for the size check.
+group. All other keys get part 0 and pay only for the size check. Nothing is
+split unless the caller names a limit.
 """
 
 from __future__ import annotations
@@ -15,10 +16,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from docloom.session import broadcast_if_small, cut_lineage
 
-# The text size at which the source's own GROUP_CONCAT stops (10 MB): groups up
-# to it are folded whole, larger ones continue in further parts.
-PART_BYTES = 10_485_760
-
 # Range partitions used to order the rows of oversized keys.
 MAX_SLICES = 20_000
 
@@ -104,7 +101,7 @@ def bounded_parts(
     keys: Sequence[str],
     order: Sequence[str],
     weight: Column,
-    limit: int = PART_BYTES,
+    limit: int,
     reduce_hot: Callable[[DataFrame], DataFrame] = lambda hot: hot,
 ) -> tuple[DataFrame, DataFrame | None]:
     """``(rest, cut)``: the rows of keys within ``limit``, and, if there are
@@ -147,7 +144,7 @@ def ordered_parts(
     keys: Sequence[str],
     order: Sequence[str],
     weight: Column,
-    limit: int = PART_BYTES,
+    limit: int,
 ) -> DataFrame:
     """``df`` plus ``part``, see :func:`bounded_parts`."""
     rest, cut = bounded_parts(df, keys, order, weight, limit)

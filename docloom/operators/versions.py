@@ -5,26 +5,29 @@ from __future__ import annotations
 from datetime import datetime, timezone
 from zoneinfo import ZoneInfo, ZoneInfoNotFoundError
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from docloom.functions.shaping import compact_time
 
 
+def _zone(name: str | None) -> ZoneInfo | None:
+    try:
+        return ZoneInfo(name) if name else None
+    except (ZoneInfoNotFoundError, ValueError):
+        return None
+
+
 def version_column(prefix: Column, ts: Column | str, time_zone: str | None = None) -> Column:
-    """``<prefix>_<yyyyMMddHHmmss>`` of a UTC timestamp column in ``time_zone``."""
+    """``<prefix>_<yyyyMMddHHmmss>`` of a UTC timestamp column; an unknown ``time_zone`` falls back to local time."""
+    if time_zone and _zone(time_zone) is None:
+        time_zone = SparkSession.active().conf.get("spark.sql.session.timeZone")
     return F.concat(prefix, F.lit("_"), compact_time(ts, time_zone))
 
 
 def version_name(prefix: str, moment: datetime | None = None, time_zone: str | None = None) -> str:
     """Name of a new version; an unknown ``time_zone`` falls back to local time."""
     moment = moment or datetime.now(timezone.utc)
-    zone = None
-    if time_zone:
-        try:
-            zone = ZoneInfo(time_zone)
-        except (ZoneInfoNotFoundError, ValueError):
-            pass
-    return f"{prefix}_{moment.astimezone(zone):%Y%m%d%H%M%S}"
+    return f"{prefix}_{moment.astimezone(_zone(time_zone)):%Y%m%d%H%M%S}"
 
 
 def hidden(name: Column | str) -> Column:
@@ -51,8 +54,12 @@ def alias_actions(registry: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def stale_versions(versions: DataFrame, aliases: DataFrame, prefix: str = "") -> DataFrame:
-    """``(version)`` under ``prefix`` that no alias points at, dot-names excepted."""
-    candidates = versions.select("version").filter(
-        ~hidden("version") & F.startswith("version", F.lit(prefix))
-    )
+    """``(version)`` that no alias points at, dot-names excepted.
+
+    With ``prefix`` only names of a site's own versions: the prefix, then the
+    14 digits of the time and nothing else.
+    """
+    name = F.col("version")
+    named = F.startswith(name, F.lit(prefix)) & F.substr(name, F.lit(len(prefix) + 1)).rlike(r"\A[0-9]{14}\z")
+    candidates = versions.select("version").filter(~hidden("version") & (named if prefix else F.lit(True)))
     return candidates.join(aliases.select("version"), "version", "left_anti")

@@ -172,8 +172,8 @@ def _normalize_compat(spark, sf):
 @query(
     "project_filter",
     """
-    SELECT o.o_orderkey AS ID, o.o_orderpriority AS post_title, o.o_orderdate AS post_date,
-           o.o_orderstatus || '/' || o.o_orderpriority AS guid
+    SELECT o.o_orderkey AS orderkey, o.o_orderpriority AS priority, o.o_orderdate AS ordered_on,
+           o.o_orderstatus || '/' || o.o_orderpriority AS label
     FROM orders o WHERE o.o_orderstatus IN ('F', 'O') AND o.o_orderpriority IN ('1-URGENT', '2-HIGH', '5-LOW')
     """,
 )
@@ -182,8 +182,8 @@ def _project_filter(spark, sf):
         spark,
         files(sf, "orders"),
         """
-        SELECT o.o_orderkey AS ID, o.o_orderpriority AS post_title, o.o_orderdate AS post_date,
-               concat(o.o_orderstatus, '/', o.o_orderpriority) AS guid
+        SELECT o.o_orderkey AS orderkey, o.o_orderpriority AS priority, o.o_orderdate AS ordered_on,
+               concat(o.o_orderstatus, '/', o.o_orderpriority) AS label
         FROM orders o
         WHERE o.o_orderstatus IN ('F', 'O') AND o.o_orderpriority IN ('1-URGENT', '2-HIGH', '5-LOW')
         """,
@@ -349,7 +349,7 @@ def _category_arrays(spark, sf):
     climb AS (
       SELECT id AS leaf, id, parent, 1 AS depth FROM nodes
       UNION ALL
-      SELECT c.leaf, n.id, n.parent, c.depth + 1 FROM climb c JOIN nodes n ON n.id = c.parent WHERE c.depth < 5)
+      SELECT c.leaf, n.id, n.parent, c.depth + 1 FROM climb c JOIN nodes n ON n.id = c.parent)
     SELECT leaf, id, parent, depth FROM climb
     """,
 )
@@ -358,7 +358,7 @@ def _deep_closure(spark, sf):
     nodes = table(spark, sf, "conversations").select(
         (base + 1).alias("id"), F.when(F.col("turn") == 0, 0).otherwise(base).alias("parent")
     )
-    return ancestors(nodes, "id", "parent", max_depth=5)
+    return ancestors(nodes, "id", "parent")
 
 
 # --- folds -------------------------------------------------------------------------
@@ -417,6 +417,51 @@ def _concat_max_len(spark, sf):
     ).drop("part")
 
 
+# Bytes near the largest groups of the given tables, so that some are cut and most are not.
+FOLD_LIMIT, LIST_LIMIT = 1_400, 240
+
+
+@query(
+    "fold_parts",
+    f"""
+    WITH r AS (SELECT user_id, event_id, CAST(strlen(event_type) + strlen(CAST(event_id AS VARCHAR)) + 8 AS BIGINT) AS w FROM events),
+    s AS (SELECT *, coalesce(sum(w) OVER (PARTITION BY user_id ORDER BY event_id
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
+          sum(w) OVER (PARTITION BY user_id) AS total FROM r)
+    SELECT user_id, CASE WHEN total > {FOLD_LIMIT} THEN CAST(start // {FOLD_LIMIT} AS BIGINT) ELSE 0 END AS part,
+           count(*) AS n, string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY event_id) AS ids
+    FROM s GROUP BY ALL
+    """,
+)
+def _fold_parts(spark, sf):
+    pairs = fold_pairs(
+        table(spark, sf, "events"), "user_id", "event_type", "event_id", ["event_id"], limit=FOLD_LIMIT
+    )
+    values = F.flatten(F.transform("pairs", F.map_values))
+    return pairs.select(
+        "user_id", "part", F.size("pairs").cast("long").alias("n"), F.array_join(values, ",").alias("ids")
+    )
+
+
+@query(
+    "concat_parts",
+    f"""
+    WITH r AS (SELECT o_custkey, o_orderkey, CAST(strlen(CAST(o_orderkey AS VARCHAR)) + 8 AS BIGINT) AS w FROM orders),
+    s AS (SELECT *, coalesce(sum(w) OVER (PARTITION BY o_custkey ORDER BY o_orderkey
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
+          sum(w) OVER (PARTITION BY o_custkey) AS total FROM r)
+    SELECT o_custkey, CASE WHEN total > {LIST_LIMIT} THEN CAST(start // {LIST_LIMIT} AS BIGINT) ELSE 0 END AS part,
+           string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS order_list
+    FROM s GROUP BY ALL
+    """,
+)
+def _concat_parts(spark, sf):
+    return concat_group(
+        table(spark, sf, "orders"), ["o_custkey"], "o_orderkey", order=["o_orderkey"], out="order_list",
+        limit=LIST_LIMIT,
+    )
+
+
 def parsed(documents: DataFrame, shape: str) -> DataFrame:
     """Document bodies parsed back into columns; the generator parses each one once."""
     return documents.select("doc_id", "body", F.inline_outer(F.array(F.from_json("body", shape))))
@@ -718,6 +763,23 @@ def _window_passthrough(spark, sf):
     ).select("user_id", "event_id", "rn", "previous", "running")
 
 
+@query(
+    "window_slices",
+    """
+    SELECT user_id, event_id, row_number() OVER w AS rn, lag(cents) OVER w AS previous,
+           CAST(sum(cents) OVER w AS BIGINT) AS running
+    FROM (SELECT *, CASE WHEN event_type <> 'view' THEN CAST(round(value * 100) AS BIGINT) END AS cents FROM events)
+    WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+    """,
+)
+def _window_slices(spark, sf):
+    cents = F.when(F.col("event_type") != "view", F.round(F.col("value") * 100).cast("long"))
+    events = table(spark, sf, "events").select("user_id", "ts", "event_id", cents.alias("cents"))
+    return running_window(
+        events, ["user_id"], ["ts", "event_id"], lag={"previous": "cents"}, running={"running": "cents"}, limit=80
+    ).select("user_id", "event_id", "rn", "previous", "running")
+
+
 def _order_documents(spark: SparkSession, sf: str) -> DataFrame:
     rows = wide(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     return to_document_json(rows, "o_orderkey", keep=["o_orderkey"])
@@ -875,16 +937,18 @@ def _version_name(spark, sf):
 
 
 def _part_versions(spark: SparkSession, sf: str) -> DataFrame:
-    """Parts as versions, the brand as alias; promotional ones have dot-names."""
+    """Parts as versions, the brand as alias; promotional ones have dot-names, others a second site's."""
     dot = F.when(F.col("p_type") == "PROMO", F.lit(".")).otherwise(F.lit(""))
+    site = F.when(F.col("p_partkey") % 5 == 0, F.lit("v_fr_")).otherwise(F.lit("v_"))
     return table(spark, sf, "part").select(
-        F.concat(dot, F.lit("v"), F.lpad(F.col("p_partkey").cast("string"), 12, "0")).alias("version"),
+        F.concat(dot, site, F.lpad(F.col("p_partkey").cast("string"), 14, "0")).alias("version"),
         F.col("p_brand").alias("alias"),
     )
 
 
 _PART_VERSIONS = """
-    SELECT CASE WHEN p_type = 'PROMO' THEN '.' ELSE '' END || 'v' || lpad(CAST(p_partkey AS VARCHAR), 12, '0')
+    SELECT CASE WHEN p_type = 'PROMO' THEN '.' ELSE '' END || CASE WHEN p_partkey % 5 = 0 THEN 'v_fr_' ELSE 'v_' END
+               || lpad(CAST(p_partkey AS VARCHAR), 14, '0')
            AS version, p_brand AS alias FROM part
 """
 
@@ -911,12 +975,12 @@ def _alias_actions(spark, sf):
     "stale_versions",
     f"""
     WITH r AS ({_PART_VERSIONS}), t AS (SELECT alias, max(version) AS version FROM r GROUP BY alias)
-    SELECT version FROM r WHERE version LIKE 'v%' AND version NOT IN (SELECT version FROM t)
+    SELECT version FROM r WHERE regexp_full_match(version, 'v_[0-9]{{14}}') AND version NOT IN (SELECT version FROM t)
     """,
 )
 def _stale_versions(spark, sf):
     registry = _part_versions(spark, sf)
-    return stale_versions(registry, _newest(registry), "v")
+    return stale_versions(registry, _newest(registry), "v_")
 
 
 # --- text ----------------------------------------------------------------------------------
@@ -1126,13 +1190,13 @@ MAPPING = {
     "dynamic": "false",
     "properties": {
         "id": {"type": "integer"},
-        "cat_id": {"type": "integer"},
-        "title": {"type": "text", "copy_to": ["searchWords"]},
+        "part_no": {"type": "integer"},
+        "title": {"type": "text", "copy_to": ["all_text"]},
         "lines": {
             "type": "nested",
             "properties": {"number": {"type": "integer"}, "flag": {"type": "text"}},
         },
-        "searchWords": {"type": "text"},
+        "all_text": {"type": "text"},
         "absent": {"type": "text"},
     },
 }
@@ -1146,7 +1210,7 @@ def _mapped_rows(spark: SparkSession, sf: str) -> DataFrame:
         F.col("l_orderkey").alias("id"),
         # Numbers, numbers as text, and text that is none.
         F.when(F.col("l_returnflag") == "A", F.col("l_returnflag"))
-        .otherwise(F.col("l_partkey").cast("string")).alias("cat_id"),
+        .otherwise(F.col("l_partkey").cast("string")).alias("part_no"),
         F.col("l_linestatus").alias("title"),
         F.concat(
             F.lit('[{"number":"'), "l_linenumber", F.lit('","flag":"'), "l_returnflag", F.lit('","other":1}]')
@@ -1158,7 +1222,7 @@ def _mapped_rows(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "mapping_projection",
     """
-    SELECT CAST(l_orderkey AS INTEGER) AS id, CASE WHEN l_returnflag <> 'A' THEN CAST(l_partkey AS INTEGER) END AS cat_id,
+    SELECT CAST(l_orderkey AS INTEGER) AS id, CASE WHEN l_returnflag <> 'A' THEN CAST(l_partkey AS INTEGER) END AS part_no,
            l_linestatus AS title, l_linenumber AS number, l_returnflag AS flag, l_linestatus AS search_words
     FROM lineitem
     """,
@@ -1166,7 +1230,7 @@ def _mapped_rows(spark: SparkSession, sf: str) -> DataFrame:
 def _mapping_projection(spark, sf):
     mapped = apply_mapping(_mapped_rows(spark, sf), MAPPING)
     return mapped.select(
-        "id", "cat_id", "title", F.inline_outer("lines"), F.col("searchWords").alias("search_words")
+        "id", "part_no", "title", F.inline_outer("lines"), F.col("all_text").alias("search_words")
     )
 
 

@@ -63,9 +63,12 @@ def run_import(spark: SparkSession, spec: PipelineSpec, on_error: str = "raise")
             df = extract(
                 spark, spec.source(item.source), item.query, item.key, spec.import_limit, spec.params
             )
+            # The rows are staged as read: a transform may scan its input several times.
+            raw = f"{item.name}_raw" if item.transform else item.name
+            staged = tables.stage(normalize_schema(df, spec.schema_mode), spec.database, raw)
             if item.transform:
-                df = item.transform(df)
-            staged = tables.stage(normalize_schema(df, spec.schema_mode), spec.database, item.name)
+                changed = normalize_schema(item.transform(staged), spec.schema_mode)
+                staged = tables.stage(changed, spec.database, item.name)
             rows.append((item.name, "ok", staged.count(), None))
         except Exception as error:
             if on_error != "skip":
@@ -81,7 +84,7 @@ def assemble(spark: SparkSession, spec: PipelineSpec) -> DataFrame:
     try:
         found = []
         for item in spec.assemblies:
-            rows = spark.sql(render(item.query, spec.params))
+            rows = item.query(spark) if callable(item.query) else spark.sql(render(item.query, spec.params))
             if item.kind == "table":
                 tables.stage(rows, spec.database, item.name)
             else:
@@ -169,6 +172,7 @@ def sync(
     moment: datetime | None = None,
     send: Callable | None = None,
     on_error: str = "raise",
+    dead_letter_path: str | None = None,
 ) -> ExportResult | None:
     """Full refresh of a site with phase switches; None if nothing was exported.
 
@@ -183,7 +187,7 @@ def sync(
         run_import(spark, spec, on_error)
     if not do_export:
         return None
-    result = run_export(spark, spec, moment, send)
+    result = run_export(spark, spec, moment, send, dead_letter_path)
     publish.require_success(spec.alias_name, result.rate, spec.min_success)
     if do_alias:
         publish.swap_alias(spark, spec.database, spec.alias_name, result.version)

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docloom.operators.fold import fold_pairs
 from docloom.operators.hierarchy import ancestor_array
@@ -17,6 +15,7 @@ POST_COLUMNS = (
 )
 POST_TYPES = "('post', 'product')"
 TAXONOMIES = "('category', 'product_cat')"
+CHAIN_DEPTH = 10
 PROMOTED = {
     "_wp_attachment_metadata": "wp_attachment_meta_data",
     "_product_attributes": "product_attributes",
@@ -42,93 +41,83 @@ MAPPING = {
 }
 
 
-def _fold_metadata(pairs: DataFrame) -> DataFrame:
-    folded = fold_pairs(pairs, "ID", "meta_key", "meta_value", out="metaArrayJson")
-    return folded.withColumnRenamed("part", "meta_part")
+def _folded_metadata(spark: SparkSession) -> DataFrame:
+    """``(ID, metaArrayJson)``: the metadata of the staged posts."""
+    published = spark.table("posts").select(F.col("ID").alias("post_id"))
+    pairs = spark.table("metadata").join(published, "post_id", "left_semi")
+    folded = fold_pairs(pairs, "post_id", "meta_key", "meta_value", out="metaArrayJson")
+    return folded.select(F.col("post_id").alias("ID"), "metaArrayJson")
 
 
-def _category_chains(terms: DataFrame) -> DataFrame:
+def _chains(spark: SparkSession) -> DataFrame:
+    """``(cat_id, cat_name, categories)``: every category with the chain of those above it."""
+    named = spark.table("taxonomy").join(spark.table("terms"), "term_id")
     chains = ancestor_array(
-        terms,
-        "cat_id",
+        named,
+        "term_id",
         "parent",
-        {"cat_id": "catId", "cat_name": "catName", "parent": "parent"},
+        {"term_id": "catId", "name": "catName", "parent": "parent"},
+        max_depth=CHAIN_DEPTH,
         where="taxonomy = 'product_cat'",
-    ).withColumnRenamed("part", "chain_part")
-    names = terms.select(F.col("cat_id").alias("leaf"), "cat_name").distinct()
-    return chains.join(names, "leaf").withColumnRenamed("leaf", "cat_id")
+    )
+    names = named.select(F.col("term_id").alias("leaf"), F.col("name").alias("cat_name")).distinct()
+    return chains.join(names, "leaf").select(F.col("leaf").alias("cat_id"), "cat_name", "categories")
 
 
 def wordpress_spec(
     source: Source, database: str, site: str = "wordpress", prefix: str = "wp_", **changes
 ) -> PipelineSpec:
-    """The spec of a WordPress site read from ``source``; ``changes`` override its fields."""
-    extracts: Sequence[Extract] = [
+    """The spec of a WordPress site read from ``source``; ``changes`` override its fields.
+
+    Each base table is staged once, as it is; all joins are Spark's. Of a post's
+    several categories the one with the greatest id is the document's, chosen
+    before the wide rows are joined.
+    """
+    extracts = [
         Extract(
             "posts",
-            f"SELECT {POST_COLUMNS} FROM {prefix}posts "
-            f"WHERE post_type IN {POST_TYPES} AND post_status IN ('publish')",
+            f"SELECT {POST_COLUMNS} FROM {prefix}posts WHERE post_type IN {POST_TYPES} AND post_status = 'publish'",
             key="ID",
         ),
         Extract(
-            "post_cates",
-            f"""
-            SELECT p.ID, x.term_id AS cat_id, t.name AS cat_name, x.taxonomy
-            FROM {prefix}posts p
-            LEFT JOIN {prefix}term_relationships r ON r.object_id = p.ID
-            LEFT JOIN {prefix}term_taxonomy x ON x.term_taxonomy_id = r.term_taxonomy_id
-            LEFT JOIN {prefix}terms t ON t.term_id = x.term_id
-            WHERE p.post_type IN ('post', 'product', 'product_cat') AND p.post_status IN ('publish')
-              AND x.taxonomy IN {TAXONOMIES}
-            """,
-            key="ID",
+            "metadata",
+            f"SELECT post_id, meta_key, meta_value FROM {prefix}postmeta WHERE meta_value IS NOT NULL",
+            key="post_id",
         ),
+        Extract("relations", f"SELECT object_id, term_taxonomy_id FROM {prefix}term_relationships", key="object_id"),
         Extract(
-            "post_meta",
-            f"""
-            SELECT p.ID, m.meta_key, m.meta_value
-            FROM {prefix}posts p JOIN {prefix}postmeta m ON m.post_id = p.ID
-            WHERE p.post_type IN {POST_TYPES} AND p.post_status IN ('publish')
-              AND (m.meta_value IS NOT NULL OR LENGTH(m.meta_value) > 0)
-            """,
-            key="ID",
-            transform=_fold_metadata,
+            "taxonomy",
+            f"SELECT term_taxonomy_id, term_id, taxonomy, parent FROM {prefix}term_taxonomy WHERE taxonomy IN {TAXONOMIES}",
+            key="term_taxonomy_id",
         ),
-        Extract(
-            "cates",
-            f"""
-            SELECT x.term_id AS cat_id, t.name AS cat_name, x.parent, x.taxonomy
-            FROM {prefix}term_taxonomy x JOIN {prefix}terms t ON t.term_id = x.term_id
-            WHERE x.taxonomy IN {TAXONOMIES}
+        Extract("terms", f"SELECT term_id, name FROM {prefix}terms", key="term_id"),
+    ]
+    assemblies = [
+        Assembly("folded", _folded_metadata, kind="table"),
+        Assembly("chains", _chains, kind="table"),
+        Assembly(
+            "documents",
+            """
+            WITH chosen AS (
+              SELECT object_id AS ID, max(term_id) AS cat_id
+              FROM relations JOIN taxonomy USING (term_taxonomy_id) JOIN terms USING (term_id)
+              GROUP BY object_id)
+            SELECT posts.*, cat_id, cat_name, metaArrayJson, categories
+            FROM chosen JOIN chains USING (cat_id) JOIN posts USING (ID) JOIN folded USING (ID)
             """,
-            key="cat_id",
-            transform=_category_chains,
         ),
     ]
-    documents = Assembly(
-        "documents",
-        """
-        SELECT p.*, k.cat_id, k.cat_name, m.metaArrayJson, k.categories, m.meta_part, k.chain_part
-        FROM posts p
-        JOIN post_meta m ON m.ID = p.ID
-        JOIN (SELECT pc.ID, pc.cat_id, pc.cat_name, c.categories, c.chain_part
-              FROM post_cates pc JOIN cates c ON c.cat_id = pc.cat_id) k ON k.ID = p.ID
-        """,
-    )
     fields = dict(
         site=site,
         sources=[source],
         extracts=extracts,
-        assemblies=[documents],
+        assemblies=assemblies,
         id_key="ID",
         index_name=site,
         database=database,
         lang="en",
         meta_field="metaArrayJson",
         promoted=PROMOTED,
-        part_columns=["meta_part", "chain_part"],
-        # Of several categories the greatest id is the document's.
-        order=["cat_id"],
         mapping=MAPPING,
     )
     return PipelineSpec(**{**fields, **changes})

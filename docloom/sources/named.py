@@ -12,24 +12,36 @@ from docloom.sources.ranges import MAX_RANGES, THRESHOLD, WIDTH, range_predicate
 from docloom.spec import Source, render
 
 
+# Rows a database sends at a time, unless the source says otherwise.
+FETCH_ROWS = "10000"
+
+# Databases whose SQL has LIMIT.
+LIMIT_DIALECTS = r"jdbc:(mysql|mariadb|postgresql|sqlite|h2|duckdb)\b"
+
+
 def _jdbc_reader(spark: SparkSession, source: Source):
-    return spark.read.format("jdbc").options(**source.options)
+    return spark.read.format("jdbc").options(**{"fetchsize": FETCH_ROWS, **source.options})
 
 
-def _derived(query: str) -> str:
+def _derived(query: str, limit: int = 0) -> str:
     # The range filter stays outside the query, whatever clauses it has.
-    return f"({query.strip().rstrip(';')}\n) q"
+    inner = f"({query.strip().rstrip(';')}\n) q"
+    return f"(SELECT * FROM {inner} LIMIT {limit}) l" if limit else inner
 
 
 def scan_tables(spark: SparkSession, source: Source, query: str, params: Mapping | None = None) -> DataFrame:
     """Run ``query`` with the file tables of ``source`` visible by name.
 
     ``spark.sql`` resolves names at once, so the views can go afterwards and
-    two sources may use the same table name.
+    two sources may use the same table name. Views of the caller with such a
+    name are set aside and come back.
     """
     used = {t: p for t, p in source.tables.items() if re.search(rf"\b{re.escape(t)}\b", query)}
     options = dict(source.options)
     form = options.pop("format", "parquet")
+    own = {
+        t: spark.table(t) for t in used if spark.catalog.tableExists(t) and spark.catalog.getTable(t).isTemporary
+    }
     try:
         for table, path in used.items():
             spark.read.format(form).options(**options).load(path).createOrReplaceTempView(table)
@@ -37,6 +49,8 @@ def scan_tables(spark: SparkSession, source: Source, query: str, params: Mapping
     finally:
         for table in used:
             spark.catalog.dropTempView(table)
+        for table, view in own.items():
+            view.createOrReplaceTempView(table)
 
 
 def range_scan(
@@ -59,7 +73,7 @@ def range_scan(
     bounds = _jdbc_reader(spark, source).option("dbtable", probe).load().first()
     lo, hi = (None if bounds[i] is None else int(bounds[i]) for i in (0, 1))
     ranges = range_predicates(key, lo, hi, threshold, width, max_ranges)
-    options = {k: v for k, v in source.options.items() if k != "url"}
+    options = {"fetchsize": FETCH_ROWS, **{k: v for k, v in source.options.items() if k != "url"}}
     return spark.read.jdbc(source.options["url"], inner, predicates=ranges, properties=options)
 
 
@@ -85,7 +99,9 @@ def extract(
         if key and not limit:
             df = range_scan(spark, source, query, key)
         else:
-            df = _jdbc_reader(spark, source).option("dbtable", _derived(query)).load()
+            # Where the database knows LIMIT, it returns no more than is asked for.
+            asked = limit if re.match(LIMIT_DIALECTS, source.options.get("url", "")) else 0
+            df = _jdbc_reader(spark, source).option("dbtable", _derived(query, asked)).load()
     elif source.kind in ("files", "catalog"):
         df = scan_tables(spark, source, query, args)
     else:

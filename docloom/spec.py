@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 @dataclass(frozen=True)
@@ -28,7 +28,8 @@ class Extract:
     """One staging table: ``query`` runs on ``source`` and is staged as ``name``.
 
     ``key`` is a numeric column of the query's result used to split the read.
-    ``transform`` is applied to the rows read, e.g. a fold or an ancestor closure.
+    ``transform`` is applied to the staged rows, e.g. a fold or an ancestor
+    closure, and replaces them; the source is read once.
     """
 
     name: str
@@ -43,11 +44,12 @@ class Assembly:
     """One assembly statement over the staging tables.
 
     ``kind="documents"`` feeds the new version; ``kind="table"`` makes a helper
-    table ``name`` that later statements can read.
+    table ``name`` that later statements can read. ``query`` is Spark SQL, or a
+    function of the session, for steps of the DataFrame API.
     """
 
     name: str
-    query: str
+    query: str | Callable[[SparkSession], DataFrame]
     kind: str = "documents"
 
 

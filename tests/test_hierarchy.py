@@ -103,3 +103,9 @@ def test_csv_members(spark):
     right = spark.createDataFrame([(1, "a"), (3, "c"), (13, "m")], "k int, name string")
     found = csv_member_join(left, "csv", right, "k").select("id", "name")
     assert rows(found) == [(1, "a"), (1, "c"), (4, "m")]
+
+
+def test_long_chains_and_cycles_are_climbed_whole(spark):
+    chain = [(i, i - 1, "t") for i in range(1, 40)] + [(100, 101, "t"), (101, 102, "t"), (102, 101, "t")]
+    assert rows(ancestors(terms(spark, chain), "term_id", "parent", ["name"])) == brute(chain, 200)
+    assert rows(ancestors(terms(spark, chain), "term_id", "parent", ["name"], max_depth=7)) == brute(chain, 7)

@@ -100,15 +100,40 @@ def test_common_table_expressions_and_windows_pass_through(spark):
     assert found.count() == spark.read.parquet(f"{DATA}/orders.parquet").select("o_custkey").distinct().count()
 
 
+def test_a_view_of_the_caller_survives(spark):
+    spark.range(3).createOrReplaceTempView("orders")
+    source = Source("s", "files", tables={"orders": f"{DATA}/orders.parquet"})
+    assert extract(spark, source, "SELECT o_orderkey FROM orders").count() > 3
+    assert spark.table("orders").count() == 3
+    spark.catalog.dropTempView("orders")
+
+
+@pytest.mark.parametrize("url, in_source", [("jdbc:mysql://h/d", True), ("jdbc:oracle:thin:@h", False)])
+def test_limit_reaches_the_database(spark, monkeypatch, url, in_source):
+    asked = {}
+
+    class Reader:
+        def option(self, name, value):
+            asked[name] = value
+            return self
+
+        def load(self):
+            return spark.range(20)
+
+    monkeypatch.setattr("docloom.sources.named._jdbc_reader", lambda *_: Reader())
+    assert extract(spark, Source("db", "jdbc", {"url": url}), "SELECT id FROM a;", "id", limit=7).count() == 7
+    assert asked["dbtable"].endswith("LIMIT 7) l") == in_source
+
+
 def test_unknown_kind(spark):
     with pytest.raises(ValueError):
         extract(spark, Source("s", "queue"), "SELECT 1")
 
 
 def test_render_replaces_known_names_only():
-    text = '{"path": "{host}/synonym/{site}/{lang}", "other": {}}'
+    text = '{"path": "{site}-{lang}.{host}.txt", "other": {}}'
     done = render(text, {"host": "h", "site": "s", "lang": "en"})
-    assert done == '{"path": "h/synonym/s/en", "other": {}}'
+    assert done == '{"path": "s-en.h.txt", "other": {}}'
 
 
 def test_jdbc_options(spark, monkeypatch):
@@ -151,11 +176,11 @@ def test_jdbc_options(spark, monkeypatch):
 
 def test_synonym_file(spark, tmp_path):
     path = tmp_path / "synonym.txt"
-    path.write_text("WP,Word Press , wordpress\\na, b,\n\n")
+    path.write_text("TV,Tele Set , teleset\\na, b,\n\n")
     groups = {}
     for row in read_synonyms(spark, str(path)).collect():
         groups.setdefault(row["group_id"], set()).add(row["term"])
-    assert sorted(map(sorted, groups.values())) == [["a", "b"], ["word press", "wordpress", "wp"]]
+    assert sorted(map(sorted, groups.values())) == [["a", "b"], ["tele set", "teleset", "tv"]]
 
 
 def test_line_breaks(spark):

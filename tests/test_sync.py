@@ -106,31 +106,35 @@ def test_full_sync(spark, site):
 
 def test_staged_columns_and_helper_tables(spark, site):
     empty = Extract("nothing", "SELECT * FROM wp_posts WHERE false")
-    helper = Assembly("chosen", "SELECT * FROM post_cates WHERE cat_id > 10", kind="table")
+    helper = Assembly("chosen", "SELECT * FROM taxonomy WHERE term_id > 10", kind="table")
     count = Assembly("documents", "SELECT count(*) AS ID, '{lang}' AS lang FROM chosen")
     run_import(spark, replaced(site, extracts=[*site.extracts, empty]))
     assert spark.table("site_test.nothing").count() == 0
-    assert rows(spark.table("site_test.cates").selectExpr("cat_id", "size(categories)")) == [
+    run_export(spark, site, MOMENT + timedelta(days=1))
+    assert rows(spark.table("site_test.chains").selectExpr("cat_id", "size(categories)")) == [
         (10, 0), (20, 1), (21, 2), (22, 3),
     ]
     result = run_export(spark, replaced(site, assemblies=[helper, count]), MOMENT)
     assert [r["doc_id"] for r in spark.table(f"site_test.{result.version}").collect()] == ["2"]
 
 
-def test_oversized_documents_continue(spark, site, monkeypatch):
-    import docloom.plans.wordpress as wordpress
-
-    small = lambda pairs: wordpress.fold_pairs(
-        pairs, "ID", "meta_key", "meta_value", out="metaArrayJson", limit=30
-    ).withColumnRenamed("part", "meta_part")
-    cut = [replace(e, transform=small) if e.name == "post_meta" else e for e in site.extracts]
-    result = sync(spark, replaced(site, extracts=cut), moment=MOMENT)
-    docs = {r["doc_id"]: json.loads(r["body"]) for r in spark.table(f"site_test.{result.version}").collect()}
-    assert "2" in docs and any(i.startswith("2#") for i in docs)
-    assert all(d["ID"] == 2 for i, d in docs.items() if i.startswith("2"))
-    pairs = [m for i, d in docs.items() if i.startswith("2") for m in d["metaArrayJson"]]
-    assert pairs == [{"size": "9"}]
-    assert [d["product_attributes"] for i, d in docs.items() if d["product_attributes"]] == [{"width": 3}]
+def test_a_transform_reads_the_staged_rows(spark, site):
+    seen = []
+
+    def twice(rows):
+        seen.append(rows.inputFiles())
+        return rows.unionByName(rows)
+
+    terms = replace(next(e for e in site.extracts if e.name == "terms"), transform=twice)
+    run_import(spark, replaced(site, extracts=[terms]))
+    assert all("terms_raw" in path for path in seen[0]) and seen[0]
+    assert spark.table("site_test.terms").count() == 2 * len(TERMS)
+
+
+def test_large_metadata_stays_one_document(spark, site):
+    result = sync(spark, site, moment=MOMENT)
+    ids = [r["doc_id"] for r in spark.table(f"site_test.{result.version}").collect()]
+    assert sorted(ids) == ["1", "2"]
 
 
 def test_phases(spark, site):

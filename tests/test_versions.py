@@ -24,6 +24,8 @@ def test_version_names():
 def test_version_column(spark):
     df = spark.sql("SELECT TIMESTAMP_NTZ '2024-12-31 20:30:05' AS ts")
     assert df.select(version_column(F.lit("d"), "ts", "Asia/Shanghai")).first()[0] == "d_20250101043005"
+    # As for version names, an unknown zone is the local one.
+    assert df.select(version_column(F.lit("d"), "ts", "No/Zone")).first()[0].startswith("d_2024123")
 
 
 REGISTRY = [("a_1", "a"), ("a_2", "a"), ("a_3", "b"), (".sys", "a")]
@@ -39,10 +41,14 @@ def test_all_old_versions_of_an_alias_go(spark):
 
 
 def test_stale_versions(spark):
-    versions = spark.createDataFrame([("a_1",), ("a_2",), ("a_3",), (".a_4",), ("b_1",)], "version string")
-    aliases = spark.createDataFrame([("a_2", "a"), ("a_2", "b")], "version string, alias string")
-    assert rows(stale_versions(versions, aliases)) == [("a_1",), ("a_3",), ("b_1",)]
-    assert rows(stale_versions(versions, aliases, "a_")) == [("a_1",), ("a_3",)]
+    day, other = "20240101000000", "20250101000000"
+    names = [f"a_{day}", f"a_{other}", f".a_{day}", f"b_{day}", f"a_fr_{day}", "a_notes__2024", f"a_{day}_raw"]
+    versions = spark.createDataFrame([(n,) for n in names], "version string")
+    aliases = spark.createDataFrame([(f"a_{other}", "a"), (f"a_{other}", "b")], "version string, alias string")
+    left = sorted(n for n in names if n not in (f"a_{other}", f".a_{day}"))
+    assert rows(stale_versions(versions, aliases)) == [(n,) for n in left]
+    # Neither another site's version nor another table under the prefix.
+    assert rows(stale_versions(versions, aliases, "a_")) == [(f"a_{day}",)]
 
 
 @pytest.fixture
@@ -61,20 +67,20 @@ def documents(spark, *items):
 
 
 def test_publish_swap_and_cleanup(spark, database):
-    for version, body in (("docs_1", "one"), ("docs_2", "two"), ("other_1", "x")):
+    for version, body in (("docs_20240101000001", "one"), ("docs_20240101000002", "two"), ("other_1", "x")):
         publish.write_documents(documents(spark, ("1", body, 201), ("2", body, 400)), database, version)
-    publish.publish(spark, database, "docs", "docs_1", 80)
+    publish.publish(spark, database, "docs", "docs_20240101000001", 80)
     assert rows(spark.table(f"{database}.docs")) == [("1", "one")]
     with pytest.raises(publish.PublishRefused):
-        publish.publish(spark, database, "docs", "docs_2", 79)
-    assert rows(tables.registry(spark, database)) == [("docs_1", "docs")]
-    publish.publish(spark, database, "docs", "docs_2", 100)
+        publish.publish(spark, database, "docs", "docs_20240101000002", 79)
+    assert rows(tables.registry(spark, database)) == [("docs_20240101000001", "docs")]
+    publish.publish(spark, database, "docs", "docs_20240101000002", 100)
     assert rows(spark.table(f"{database}.docs")) == [("1", "two")]
-    assert rows(publish.find_stale(spark, database, "docs_")) == [("docs_1",)]
-    assert publish.drop_stale(spark, database, "docs_") == ["docs_1"]
-    assert rows(tables.versions(spark, database)) == [("docs_2",), ("other_1",)]
+    assert rows(publish.find_stale(spark, database, "docs_")) == [("docs_20240101000001",)]
+    assert publish.drop_stale(spark, database, "docs_") == ["docs_20240101000001"]
+    assert rows(tables.versions(spark, database)) == [("docs_20240101000002",), ("other_1",)]
     with pytest.raises(ValueError):
-        publish.swap_alias(spark, database, "docs", "docs_1")
+        publish.swap_alias(spark, database, "docs", "docs_20240101000001")
 
 
 def test_stage_replaces_and_keeps_empty_tables(spark, database):
