@@ -74,12 +74,16 @@ _AS_TEXT = (T.BinaryType, T.DateType, T.TimestampType, T.TimestampNTZType)
 def _changes(kind: T.DataType) -> bool:
     if isinstance(kind, T.ArrayType):
         return _changes(kind.elementType)
+    if isinstance(kind, T.MapType):
+        return _changes(kind.valueType)
     return isinstance(kind, (T.StructType, *_AS_TEXT))
 
 
 def _document_value(col: Column, kind: T.DataType) -> Column:
     """``col`` as documents have it: struct fields in name order at every level,
     dates, times (``yyyy-MM-dd HH:mm:ss``) and binary values as text."""
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.date_format(col, "yyyy-MM-dd HH:mm:ss")
     if isinstance(kind, _AS_TEXT):
         return col.cast("string")
     if isinstance(kind, T.StructType):
@@ -88,6 +92,8 @@ def _document_value(col: Column, kind: T.DataType) -> Column:
         return F.when(col.isNotNull(), made)
     if isinstance(kind, T.ArrayType) and _changes(kind):
         return F.transform(col, lambda e: _document_value(e, kind.elementType))
+    if isinstance(kind, T.MapType) and _changes(kind):
+        return F.transform_values(col, lambda _, v: _document_value(v, kind.valueType))
     return col
 
 

@@ -106,3 +106,13 @@ def test_missing_status_is_an_error(spark):
     df = spark.createDataFrame([(200,), (201,), (202,), (None,)], "status int")
     assert rows(load_stats(df)) == [(2, 2)]
     assert rows(load_stats(df.limit(0))) == [(0, 0)]
+
+
+def test_lines_without_a_shard_share_batches(spark):
+    lines = spark.createDataFrame(
+        [(None, str(i), "x") for i in range(40)] + [(7, "s", "x")], "shard long, doc_id string, value string"
+    )
+    found = bulk_batches(lines, shard="shard", order=["doc_id"], partitions=2).collect()
+    free = [r for r in found if r["shard"] is None]
+    assert len(free) <= 2 and sorted(i for r in free for i in r["doc_ids"]) == sorted(map(str, range(40)))
+    assert [r["doc_ids"] for r in found if r["shard"] == 7] == [["s"]]

@@ -158,3 +158,16 @@ def test_json_embedding_of_null_and_bad_text(spark):
     bodies = [json.loads(r["body"]) for r in to_document_json(df, "ID", json_columns=["j"]).collect()]
     assert [b["j"] for b in bodies] == [None, None]
     assert not math.isnan(bodies[0]["ID"])
+
+
+def test_times_and_binary_values_in_maps_are_text(spark):
+    df = spark.sql(
+        """
+        SELECT 1 AS id, TIMESTAMP_NTZ '2024-01-02 03:04:05.678' AS at,
+               map('a', TIMESTAMP_NTZ '2024-01-02 03:04:05.5', 'b', NULL) AS times,
+               array(map('x', struct(CAST('q' AS BINARY) AS raw))) AS nested
+        """
+    )
+    body = json.loads(to_document_json(df, "id").first()["body"])
+    stamp = "2024-01-02 03:04:05"
+    assert body == {"id": 1, "at": stamp, "times": {"a": stamp, "b": None}, "nested": [{"x": {"raw": "q"}}]}
