@@ -117,6 +117,39 @@ def frequent_lines(lines: DataFrame, limit: int = LINE_LIMIT) -> DataFrame:
     )
 
 
+TWIN = ["_id", "_hash", "_host"]
+
+
+def _same(docs_id: Column, docs_hash: Column, docs_host: Column) -> Column:
+    return docs_id.eqNullSafe(F.col("_id")) & (docs_hash == F.col("_hash")) & docs_host.eqNullSafe(F.col("_host"))
+
+
+def frequent_places(lines: DataFrame, frequent: DataFrame) -> DataFrame:
+    """``(_id, _hash, _host, n_line_words, at)``: the frequent lines of each document and their positions.
+
+    Repeated rows fold into one.
+    """
+    lines, frequent = lines.alias("l"), frequent.alias("f")
+    return (
+        lines.join(frequent, (F.col("l.line") == F.col("f.line")) & F.col("l.host").eqNullSafe(F.col("f.host")))
+        .select(
+            F.col("l.doc_id").alias("_id"), F.col("l.text_hash").alias("_hash"), F.col("l.host").alias("_host"),
+            "l.pos", "l.n_words",
+        )
+        .groupBy(*TWIN, "pos")
+        .agg(F.max("n_words").alias("n_words"))
+        .groupBy(*TWIN)
+        .agg(F.sum("n_words").alias("n_line_words"), F.collect_list("pos").alias("at"))
+    )
+
+
+def without_lines(text: Column, at: Column) -> Column:
+    """``text`` without its lines at the positions ``at``; the other lines stay as they are."""
+    lines = F.split(text, "\n")
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), at)
+    return F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
+
+
 def quality(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -136,25 +169,20 @@ def quality(
     read. An empty table gives an empty result.
     """
     scratch = Scratch(docs.sparkSession, "quality")
+    return _judged(docs, scratch, doc_id, text, host, limit, min_left_percent).drop("at")
+
+
+def _judged(
+    docs: DataFrame, scratch: Scratch, doc_id: str, text: str, host: str, limit: int, min_left_percent: int
+) -> DataFrame:
+    """``quality`` with the positions ``at`` of the frequent lines."""
     lines = lines_of(docs, doc_id, text, host)
-    frequent = scratch.table(frequent_lines(lines, limit), "frequent").alias("f")
-    lines = lines.alias("l")
-    twin = ["_id", "_hash", "_host"]
-    removed = (
-        lines.join(frequent, (F.col("l.line") == F.col("f.line")) & F.col("l.host").eqNullSafe(F.col("f.host")))
-        .select(
-            F.col("l.doc_id").alias("_id"), F.col("l.text_hash").alias("_hash"), F.col("l.host").alias("_host"),
-            "l.pos", "l.n_words",
-        )
-        .groupBy(*twin, "pos")  # repeated rows fold into one here
-        .agg(F.max("n_words").alias("n_words"))
-        .groupBy(*twin)
-        .agg(F.sum("n_words").alias("n_line_words"))
-    )
+    frequent = scratch.table(frequent_lines(lines, limit), "frequent")
+    places = scratch.table(frequent_places(lines, frequent), "places")
     features = document_features(docs, doc_id, text, host)
     joined = features.join(
-        scratch.table(removed, "removed"),
-        F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")) & F.col("host").eqNullSafe(F.col("_host")),
+        places,
+        _same(F.col("doc_id"), F.col("text_hash"), F.col("host")),
         "left",
     ).withColumn("n_line_words", F.coalesce("n_line_words", F.lit(0)).cast("long"))
     left = F.col("n_words") - F.col("n_line_words")
@@ -164,17 +192,26 @@ def quality(
     depleted = (left < MIN_WORDS) | (100 * left < min_left_percent * F.col("n_words"))
     return joined.select(
         "doc_id", "text_hash", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_line_words",
-        failed.alias("base_failed"), (~failed & ~depleted).alias("kept"),
+        failed.alias("base_failed"), (~failed & ~depleted).alias("kept"), "at",
     )
 
 
-def keep_good(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
-    """The rows of ``docs`` that ``quality`` keeps, with all their columns."""
-    judged = quality(docs, doc_id, text, host).where(~F.col("kept"))
-    bad = judged.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    bad = Scratch(docs.sparkSession, "quality").table(bad, "bad").hint("merge")
-    return docs.join(
-        bad,
-        docs[doc_id].eqNullSafe(bad["_id"]) & (F.xxhash64(F.coalesce(docs[text], F.lit(""))) == bad["_hash"]),
-        "left_anti",
+def keep_good(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", limit: int = LINE_LIMIT
+) -> DataFrame:
+    """The rows of ``docs`` that ``quality`` keeps, with all their columns and ``text`` without its host's frequent lines.
+
+    A text that holds no frequent line stays as it is.
+    """
+    scratch = Scratch(docs.sparkSession, "quality")
+    judged = _judged(docs, scratch, doc_id, text, host, limit, MIN_LEFT_PERCENT).where(~F.col("kept") | F.col("at").isNotNull())
+    marks = judged.select(
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("host").alias("_host"),
+        F.struct("kept", "at").alias("_mark"),
     )
+    marks = scratch.table(marks.dropDuplicates(TWIN), "marks").hint("merge")
+    body = F.coalesce(docs[text], F.lit(""))
+    mark = marks["_mark"]
+    kept = docs.join(marks, _same(docs[doc_id], F.xxhash64(body), docs[host]), "left").where(mark.isNull() | mark["kept"])
+    cleaned = F.when(mark["at"].isNotNull(), without_lines(docs[text], mark["at"])).otherwise(docs[text])
+    return kept.select(*[cleaned.alias(c) if c == text else docs[c] for c in docs.columns])

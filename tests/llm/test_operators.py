@@ -481,6 +481,19 @@ def test_keep_good_keeps_columns(messy):
     assert kept.count() == good.count()
 
 
+def test_keep_good_removes_frequent_lines(spark):
+    common = "Read our terms of use before you go on from this page today"
+    tail = f"  {prose(40, 5)}\n\n" + prose(41, 30)
+    rows = [(k, f"{common}\n{prose(k, 30)}\n{common.upper()}", "h", k) for k in range(12)]
+    rows += [(20, f"{tail}\n{common}\n", "h", 20), (21, f"{common}\nfew", "h", 21), (22, tail, "h", 22), (22, f"{common}\n{tail}", None, 23)]
+    rows += [(None, f"{tail}\r\n  {common.replace(' ', '  ')}", "h", 24)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _at long")
+    got = sorted(map(tuple, keep_good(docs, limit=10).collect()), key=lambda r: r[3])
+    want = [(k, prose(k, 30), "h", k) for k in range(12)]
+    want += [(20, f"{tail}\n", "h", 20), (22, tail, "h", 22), (22, f"{common}\n{tail}", None, 23), (None, f"{tail}\r", "h", 24), (None, f"{tail}\r", "h", 24)]
+    assert got == want
+
+
 # 10 packing
 
 
