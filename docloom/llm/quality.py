@@ -15,8 +15,10 @@ MAX_REPEATED_PERCENT = 30
 WINDOW = 8
 SYMBOLS = r"[#*$%&|<>]"
 
-#: A line in more distinct documents of one host than this is removed.
-LINE_LIMIT = 100
+#: A line is frequent in a host, and removed, if more distinct texts of the host
+#: hold it than LINE_FLOOR and than this share of the host's texts with a word.
+LINE_PERCENT = 5
+LINE_FLOOR = 5
 #: A document is depleted with fewer words left than MIN_WORDS or than this share.
 MIN_LEFT_PERCENT = 20
 
@@ -101,19 +103,37 @@ def lines_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host:
     )
 
 
-def frequent_lines(lines: DataFrame, limit: int = LINE_LIMIT) -> DataFrame:
-    """``(host, line)`` found in more than ``limit`` distinct documents of the host.
+def host_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
+    """``(host, n_texts)``: the distinct texts with a word of each host."""
+    body = _body(docs, doc_id, text, host).where(F.col("_text").rlike(WORD))
+    return (
+        body.select("host", F.xxhash64("_text").alias("text_hash"))
+        .distinct()
+        .groupBy("host")
+        .agg(F.count(F.lit(1)).alias("n_texts"))
+    )
 
-    Copies of one text count once, else a page that was fetched often would
-    lose its own lines. Both aggregations combine before the shuffle.
+
+def frequent_lines(lines: DataFrame, hosts: DataFrame, limit: int = LINE_FLOOR, percent: int = LINE_PERCENT) -> DataFrame:
+    """``(host, line)`` found in more than ``limit`` distinct documents and more than ``percent`` of the host's texts.
+
+    ``hosts`` is ``host_texts``. Copies of one text count once, else a page
+    that was fetched often would lose its own lines. All aggregations combine
+    before the shuffle.
     """
-    return (
+    counted = (
         lines.select("host", "line", "text_hash")
         .distinct()
         .groupBy("host", "line")
         .agg(F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") > limit)
-        .select("host", "line")
+        .alias("c")
+    )
+    hosts = hosts.alias("h")
+    return (
+        counted.join(hosts, F.col("c.host").eqNullSafe(F.col("h.host")))
+        .where(100 * F.col("_n") > percent * F.col("n_texts"))
+        .select("c.host", "line")
     )
 
 
@@ -155,29 +175,33 @@ def quality(
     doc_id: str = "doc_id",
     text: str = "text",
     host: str = "source",
-    limit: int = LINE_LIMIT,
+    limit: int = LINE_FLOOR,
     min_left_percent: int = MIN_LEFT_PERCENT,
+    line_percent: int = LINE_PERCENT,
 ) -> DataFrame:
     """Features, ``n_line_words`` (words in frequent lines), ``base_failed`` and ``kept`` per row of ``docs``.
 
     ``base_failed``: under 20 words, or over 30 % of them in repeated windows.
     Otherwise a document is dropped if removing the frequent lines of its host
     leaves it under 20 words or under ``min_left_percent`` of its words.
+    ``limit`` and ``line_percent`` say which lines are frequent (``frequent_lines``).
 
     Null texts count as empty and fail; a null host is a host of its own; a
     repeated row is judged like its twin. Other columns of ``docs`` are not
     read. An empty table gives an empty result.
     """
     scratch = Scratch(docs.sparkSession, "quality")
-    return _judged(docs, scratch, doc_id, text, host, limit, min_left_percent).drop("at")
+    return _judged(docs, scratch, doc_id, text, host, limit, min_left_percent, line_percent).drop("at")
 
 
 def _judged(
-    docs: DataFrame, scratch: Scratch, doc_id: str, text: str, host: str, limit: int, min_left_percent: int
+    docs: DataFrame, scratch: Scratch, doc_id: str, text: str, host: str, limit: int, min_left_percent: int, line_percent: int
 ) -> DataFrame:
     """``quality`` with the positions ``at`` of the frequent lines."""
     lines = lines_of(docs, doc_id, text, host)
-    frequent = scratch.table(frequent_lines(lines, limit), "frequent")
+    # One row per host: Spark broadcasts the table while its files are small.
+    hosts = scratch.table(host_texts(docs, doc_id, text, host), "hosts")
+    frequent = scratch.table(frequent_lines(lines, hosts, limit, line_percent), "frequent")
     places = scratch.table(frequent_places(lines, frequent), "places")
     features = document_features(docs, doc_id, text, host)
     joined = features.join(
@@ -197,14 +221,20 @@ def _judged(
 
 
 def keep_good(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", limit: int = LINE_LIMIT
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    host: str = "source",
+    limit: int = LINE_FLOOR,
+    line_percent: int = LINE_PERCENT,
 ) -> DataFrame:
     """The rows of ``docs`` that ``quality`` keeps, with all their columns and ``text`` without its host's frequent lines.
 
     A text that holds no frequent line stays as it is.
     """
     scratch = Scratch(docs.sparkSession, "quality")
-    judged = _judged(docs, scratch, doc_id, text, host, limit, MIN_LEFT_PERCENT).where(~F.col("kept") | F.col("at").isNotNull())
+    judged = _judged(docs, scratch, doc_id, text, host, limit, MIN_LEFT_PERCENT, line_percent)
+    judged = judged.where(~F.col("kept") | F.col("at").isNotNull())
     marks = judged.select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("host").alias("_host"),
         F.struct("kept", "at").alias("_mark"),

@@ -494,6 +494,17 @@ def test_keep_good_removes_frequent_lines(spark):
     assert got == want
 
 
+def test_line_rule_is_alike_at_every_host_size(spark):
+    common, short = "Read our terms of use before you go on from this page today", "les."
+    verdicts = {}
+    for n in (400, 4000):
+        rows = [(k, f"own{k}\n" + "\n".join([common] * 5) if k % 5 == 0 else "\n".join([short] * 25) + f"\nown{k} " + " ".join(f"w{k}x{j}" for j in range(10)) if k % 30 == 1 else f"own{k} word", "h") for k in range(n)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+        counted = quality(docs).select("doc_id", "n_line_words", (F.col("n_line_words") >= 60).alias("hit"), (F.col("n_line_words") > 0).alias("any"))
+        verdicts[n] = {(r["doc_id"] % 5 == 0, r["hit"], r["any"]) for r in counted.collect()}
+    assert verdicts[400] == verdicts[4000] == {(True, True, True), (False, False, False)}
+
+
 # 10 packing
 
 
