@@ -39,7 +39,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them, shuffled."""
+    """Documents as often as the mix takes them, shuffled; each written file holds one output shard."""
     return mixed_rows(docs).drop("mix_shard")
 
 

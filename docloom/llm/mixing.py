@@ -22,6 +22,8 @@ BLOCKS = 256
 DOCS_PER_PART = 64
 MAX_REPEATS = 3
 SHARDS = 16
+#: Words of one written partition: some 25 MB of text.
+PART_WORDS = 4_000_000
 CYCLE = (5.0, 2.0, 1.0)
 
 
@@ -251,12 +253,20 @@ def _places(blocks: DataFrame, shards: int, seed: int) -> DataFrame:
     )
 
 
-def mixed_rows(docs: DataFrame, seed: int = 7, **options) -> DataFrame:
-    """The mix itself: rows of ``docs`` as often as they are taken, shuffled within each task.
+def mixed_rows(docs: DataFrame, seed: int = 7, text: str = "text", shards: int = SHARDS, part_words: int = PART_WORDS, **options) -> DataFrame:
+    """The mix itself: rows of ``docs`` as often as they are taken, each in its output shard, shuffled there.
 
-    Columns are those of ``docs``, then ``mix_shard``.
+    Every partition holds rows of one shard, and a written file too. A shard of
+    more than ``part_words`` words is dealt over several partitions, the same
+    number for all shards, by a hash of the row and of its repeat. Columns are
+    those of ``docs``, then ``mix_shard``.
     """
-    placed = mix(docs, seed=seed, carry=True, **options)
+    words = docs.agg(F.sum(F.regexp_count(text_or_empty(text), F.lit(WORD + "+")).cast("long"))).first()[0] or 0
+    # All targets together are at most the words of all sources, and shards get equal shares.
+    parts = max(1, -(-words // (shards * part_words)))
+    placed = mix(docs, seed=seed, carry=True, text=text, shards=shards, **options)
     rows = placed.select("row", "doc_id", "size", F.posexplode("shards").alias("_nth", "mix_shard"))
     rows = rows.withColumn("_order", _hash(seed + 4, "doc_id", "size", "_nth"))
-    return rows.sortWithinPartitions("mix_shard", "_order").select("row.*", "mix_shard")
+    part = F.col("mix_shard") * parts + F.pmod(F.xxhash64("_order"), F.lit(parts)).cast("int")
+    dealt = rows.repartitionById(shards * parts, part.cast("int"))
+    return dealt.sortWithinPartitions("mix_shard", "_order").select("row.*", "mix_shard")

@@ -436,6 +436,18 @@ def test_splitting_tree_is_exact_and_fair(spark):
     assert all(30 < r["n"] < 90 for r in rows if r["source_no"] == 1)
 
 
+def test_mixed_rows_form_the_output_shards(spark):
+    rows = [(k, prose(k, 5), "ab"[k >= 600]) for k in range(900)]  # clustered by source
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(3)
+    want = Counter((r["source"], s) for r in mix(docs, shards=4).collect() for s in r["shards"])
+    for part_words, parts in ((10**6, 1), (600, 2)):
+        placed = mixed_rows(docs, shards=4, part_words=part_words).withColumn("at", F.spark_partition_id()).collect()
+        assert Counter((r["source"], r["mix_shard"]) for r in placed) == want
+        assert {s for _, s in want} == set(range(4)) and {r["at"] for r in placed} == set(range(4 * parts))
+        assert all(r["at"] // parts == r["mix_shard"] for r in placed)
+        assert any(len({r["source"] for r in placed if r["at"] == p}) == 2 for p in range(4 * parts))
+
+
 # 9 quality
 
 
