@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from docloom.llm.common import Scratch, spread_input
 from docloom.llm.components import components
@@ -35,13 +35,20 @@ BEST_ROUNDS = 1
 DOCS_AT_ONCE = 64
 
 
+def row_key(doc_id: Column, text: Column) -> tuple[Column, Column]:
+    """Two longs, never null, that only rows of one doc_id and text share."""
+    number = doc_id.cast("long")
+    return F.coalesce(number, F.lit(0).cast("long")), F.xxhash64(number.isNull(), text)
+
+
 def sketches(docs: DataFrame, doc_id: str, text: str, size: int = WORDS) -> DataFrame:
-    """``(doc_id, n_shingles, set_key, bands, sketch)``; the last three are null for an empty set.
+    """``(doc_id, text_hash, n_shingles, set_key, bands, sketch)``; the last three are null for an empty set.
 
-    ``set_key`` is a 128-bit digest of the set, ``sketch`` has 16 bits a value.
+    ``text_hash`` tells apart rows that share a doc_id (``row_key``), ``set_key``
+    is a 128-bit digest of the set, ``sketch`` has 16 bits a value.
     """
     schema = pa.schema([
-        ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()),
+        ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()),
         ("bands", pa.list_(pa.int64())), ("sketch", pa.binary()),
     ])
     salts = mixed(np.arange(BINS // BAND, dtype=np.uint64) + np.uint64(1))
@@ -65,12 +72,13 @@ def sketches(docs: DataFrame, doc_id: str, text: str, size: int = WORDS) -> Data
                     bands.append(hashed.view(np.int64))
                     values.append(mixed(found).astype(np.uint16).tobytes())
                 yield pa.RecordBatch.from_arrays(
-                    [some.column(0).cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()),
+                    [some.column(0).cast(pa.int64()), some.column(2).cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()),
                      pa.array(bands, pa.list_(pa.int64())), pa.array(values, pa.binary())], schema=schema,
                 )
 
-    rows = spread_input(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")))
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, bands array<long>, sketch binary")
+    text_hash = row_key(F.col(doc_id), F.col(text))[1]
+    rows = spread_input(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), text_hash.alias("text_hash")))
+    return rows.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, set_key binary, bands array<long>, sketch binary")
 
 
 def verify(pairs: DataFrame, percent: int = PERCENT, size: int = WORDS) -> DataFrame:
@@ -140,26 +148,40 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", siz
     """``(doc_id, n_shingles, component_id, kept)`` per row of ``docs``.
 
     ``component_id`` is the smallest doc_id reachable over links of at least
-    ``percent``; ``kept`` marks the row that carries it. A null or empty text
-    has no shingles and links with nothing. Rows that share a doc_id share a
-    component; a null doc_id takes part, but never names a component unless
-    nothing else does. An empty table gives an empty result.
-
-    Only class representatives are linked; copies follow by their set. Joins that
-    carry texts are sort-merge joins at every size.
+    ``percent``; ``kept`` marks the row that carries it, of several the one
+    with the smallest text hash. A null or empty text has no shingles and links
+    with nothing. Rows are told apart by doc_id and text, so that rows with one
+    doc_id can lie in several components; rows that agree in both are judged
+    alike. A component without any doc_id has a null ``component_id`` and keeps
+    a row as well. An empty table gives an empty result.
+
+    Only class representatives are linked; copies follow by their set. Classes
+    are numbered in the order of doc_id. Joins that carry texts are sort-merge
+    joins at every size.
     """
-    scratch = Scratch(docs.sparkSession, "near")
+    return _judged(docs, Scratch(docs.sparkSession, "near"), doc_id, text, size, percent).drop("text_hash")
+
+
+def _judged(docs: DataFrame, scratch: Scratch, doc_id: str, text: str, size: int, percent: int) -> DataFrame:
+    """``near_groups`` with ``text_hash``."""
     rows = scratch.table(sketches(docs, doc_id, text, size), "sketches")
-    named = rows.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
-    classes = named.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
-    classes = scratch.table(classes, "classes")
+    key = F.struct(
+        F.col("doc_id").isNull().alias("unnamed"), F.coalesce("doc_id", F.lit(0).cast("long")).alias("_k1"), F.col("text_hash").alias("_k2")
+    )
+    classes = rows.where("set_key IS NOT NULL").groupBy("set_key").agg(
+        F.min(key).alias("best"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
+    )
+    classes = scratch.table(classes.orderBy("best").withColumn("id", F.monotonically_increasing_id()), "classes")
     met = classes.select("id", F.explode("bands").alias("bucket"))
     buckets = met.groupBy("bucket").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
     buckets = scratch.table(buckets, "buckets")
     hubs = met.join(buckets, "bucket").groupBy("id").agg(F.min("hub").alias("hub"))
     hubs = scratch.table(hubs, "hubs")
-    texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).join(hubs.hint("merge"), "id")
-    texts = scratch.table(texts, "texts")
+    chosen = scratch.table(hubs.join(classes.select("id", "best._k1", "best._k2"), "id"), "chosen")
+    k1, k2 = row_key(F.col(doc_id), F.col(text))
+    texts = docs.select(k1.alias("_k1"), k2.alias("_k2"), F.col(text).alias("text")).join(chosen.hint("merge"), ["_k1", "_k2"])
+    texts = texts.groupBy("_k1", "_k2", "id", "hub").agg(F.first("text").alias("text"))  # repeated rows fold into one
+    texts = scratch.table(texts.select("id", "hub", "text"), "texts")
     stars = texts.where("hub < id").select(F.col("id").alias("u"), F.col("hub").alias("v"), F.col("text").alias("text_u"))
     hub_texts = texts.select(F.col("id").alias("v"), F.col("text").alias("text_v"))
     first = scratch.table(verify(stars.join(hub_texts, "v"), percent, size).distinct(), "links1")
@@ -191,17 +213,30 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", siz
     member = classes.select("set_key", "id").join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select(
         "set_key", F.coalesce("root", "id").alias("root")
     )
-    member = scratch.table(member, "members")
-    out = rows.select("doc_id", "n_shingles", "set_key").join(member, "set_key", "left")
-    component = F.coalesce("root", "doc_id")
+    # The root is the class that comes first in its component, so its best row is the component's.
+    member = scratch.table(member.join(classes.select(F.col("id").alias("root"), "best"), "root").select("set_key", "best"), "members")
+    out = rows.select("doc_id", "text_hash", "n_shingles", "set_key").join(member, "set_key", "left")
+    component = F.when(F.col("best").isNull(), F.col("doc_id")).when(~F.col("best.unnamed"), F.col("best._k1"))
     return out.select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
+        "doc_id", "text_hash", "n_shingles", component.alias("component_id"), (F.col("best").isNull() | (F.col("best") == key)).alias("kept")
     )
 
 
 def drop_near(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` that carry their component's id, with all their columns."""
+    """One row of ``docs`` for each component, with all its columns; rows without shingles stay."""
     scratch = Scratch(docs.sparkSession, "near")
-    dropped = near_groups(docs, doc_id, text, size, percent).where("NOT kept").select(F.col("doc_id").alias("_id")).distinct()
-    dropped = scratch.table(dropped, "dropped").hint("merge")
-    return docs.join(dropped, docs[doc_id].eqNullSafe(dropped["_id"]), "left_anti")
+    judged = _judged(docs, scratch, doc_id, text, size, percent).select(
+        F.coalesce("doc_id", F.lit(0).cast("long")).alias("_k1"), F.col("text_hash").alias("_k2"), "n_shingles", "kept"
+    )
+    judged = scratch.table(judged, "judged")
+    k1, k2 = row_key(docs[doc_id], docs[text])
+    dropped = scratch.table(judged.where("NOT kept").select("_k1", "_k2").distinct(), "dropped").hint("merge")
+    left = docs.join(dropped, (k1 == dropped["_k1"]) & (k2 == dropped["_k2"]), "left_anti")
+    repeated = judged.where("kept AND n_shingles > 0").groupBy("_k1", "_k2").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    repeated = scratch.table(repeated.select("_k1", "_k2"), "repeated")
+    if repeated.isEmpty():
+        return left
+    repeated = repeated.hint("merge")
+    same = (k1 == repeated["_k1"]) & (k2 == repeated["_k2"])
+    first = docs.join(repeated, same, "left_semi").select(k1.alias("_k1"), k2.alias("_k2"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    return left.join(repeated, same, "left_anti").union(first.dropDuplicates(["_k1", "_k2"]).select("row.*"))

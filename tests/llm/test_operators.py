@@ -207,6 +207,24 @@ def test_near_chain_is_one_component(spark):
     assert drop_near(spark.createDataFrame(rows, SCHEMA), size=5).count() == len({g[2] for g in got})
 
 
+def test_near_rows_without_or_with_one_doc_id(spark):
+    def near(k):
+        w = prose(k, 100).split()
+        w[50] = "changed"
+        return " ".join(w)
+
+    rows = [(1, prose(61, 100)), (None, prose(61, 100)), (None, near(61)), (None, prose(62, 100)), (None, prose(63, 100)), (None, near(63)),
+            (5, near(61)), (5, prose(64, 100)), (6, prose(65, 100)), (6, prose(65, 100)), (6, near(65)), (None, None), (None, ""), (7, ""), (7, "")]
+    docs = spark.createDataFrame([(k, t, "x") for k, t in rows], "doc_id long, text string, `row` string")
+    got = near_groups(docs).collect()
+    assert sorted((tuple(r)[:3] for r in got), key=key) == sorted(brute_components(rows, 4), key=key)
+    left = Counter((r[0], r[1]) for r in drop_near(docs).collect())
+    fixed = Counter([(1, prose(61, 100)), (None, prose(62, 100)), (5, prose(64, 100)), (None, None), (None, ""), (7, ""), (7, "")])
+    rest = sorted(left - fixed, key=key)
+    assert not fixed - left and [sum(left.values()), len(rest)] == [9, 2]
+    assert rest[0] in {(6, prose(65, 100)), (6, near(65))} and rest[1] in {(None, prose(63, 100)), (None, near(63))}
+
+
 def test_sketches_estimate_similarity():
     rng = np.random.default_rng(1)
     for size in (1, 3, 40, 3000):
