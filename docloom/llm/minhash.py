@@ -113,15 +113,16 @@ def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def _agreeing(rows: DataFrame, best: bool) -> DataFrame:
     """Pairs ``(u, v)`` of different roots in one block cell whose sketches agree on MIN_EQUAL values.
 
-    ``rows`` is ``(bucket, band, left, right, side, id, root, sketch)``: a cell
+    ``rows`` is ``(bucket, band, left, right, side, id, root, bands, sketch)``: a cell
     ``(bucket, left, right)`` compares its block ``left`` with ``right`` and
     holds at most two blocks. A pair is given in the first band it shares
-    alone; with ``best`` only the best partner of each row in the cell is.
+    alone, by the 64-bit values that made the buckets; with ``best`` only the best partner of each row in the cell is.
     """
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
     def compare(key: tuple[pa.Scalar, ...], cell: pa.Table) -> pa.Table:
         values = np.frombuffer(b"".join(cell.column("sketch").to_pylist()), np.uint16).reshape(-1, BINS)
+        bands = np.array(cell.column("bands").to_pylist(), np.int64)
         ids, roots = cell.column("id").to_numpy(), cell.column("root").to_numpy()
         side = cell.column("side").to_numpy()
         left, right = np.flatnonzero(side == key[1].as_py()), np.flatnonzero(side == key[2].as_py())
@@ -129,9 +130,8 @@ def _agreeing(rows: DataFrame, best: bool) -> DataFrame:
         band = cell.column("band")[0].as_py()
         for at in left:
             others = right[roots[right] != roots[at]]
-            same = values[others] == values[at]
-            equal = same.sum(1)
-            first = same.reshape(-1, BINS // BAND, BAND).all(2).argmax(1) == band
+            equal = (values[others] == values[at]).sum(1)
+            first = (bands[others] == bands[at]).argmax(1) == band
             fits = np.flatnonzero((equal >= MIN_EQUAL) & first)
             if best and len(fits):
                 fits = fits[[equal[fits].argmax()]]
@@ -199,11 +199,11 @@ def _judged(docs: DataFrame, scratch: Scratch, doc_id: str, text: str, size: int
         )
         several = scratch.table(several, f"several{number}")
         blocked = (
-            rooted.select("id", "root", "sketch", F.posexplode("bands").alias("band", "bucket"))
+            rooted.select("id", "root", "bands", "sketch", F.posexplode("bands").alias("band", "bucket"))
             .join(several, "bucket")
             .withColumn("side", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("bucket", "band", F.least("side", "other").alias("left"), F.greatest("side", "other").alias("right"), "side", "id", "root", "sketch")
+            .select("bucket", "band", F.least("side", "other").alias("left"), F.greatest("side", "other").alias("right"), "side", "id", "root", "bands", "sketch")
         )
         pairs = scratch.table(_agreeing(blocked, best=number < BEST_ROUNDS).distinct(), f"pairs{number}")
         found = verify(_with_texts(pairs, texts.select("id", "text")), percent, size).distinct()

@@ -17,7 +17,7 @@ from docloom.llm.anchors import PLACE, segments
 from docloom.llm.exact import drop_exact, exact_groups
 from docloom.llm.idfiles import read_document, round_trip
 from docloom.llm.langid import best_languages, identify, train
-from docloom.llm.minhash import drop_near, near_groups
+from docloom.llm.minhash import BAND, BINS, _agreeing, drop_near, near_groups
 from docloom.llm.mixing import mix, mixed_rows, shard_quotas
 from docloom.llm.packing import Packer, pack
 from docloom.llm.quality import keep_good, quality
@@ -225,6 +225,15 @@ def test_near_rows_without_or_with_one_doc_id(spark):
     assert rest[0] in {(6, prose(65, 100)), (6, near(65))} and rest[1] in {(None, prose(63, 100)), (None, near(63))}
 
 
+def test_pair_is_given_in_the_first_bucket_it_shares(spark):
+    """Band 0 agrees in the 16-bit values alone; bands 1 and 2 are shared."""
+    sketch_bytes, n = np.arange(BINS, dtype=np.uint16).tobytes(), BINS // BAND
+    bands = {1: list(range(100, 100 + n)), 2: [7, 101, 102, *range(900, 900 + n - 3)]}
+    rows = [(bands[1][b], b, 0, 0, 0, k, k, bands[k], sketch_bytes) for b in (1, 2) for k in (1, 2)]
+    cells = spark.createDataFrame(rows, "bucket long, band int, left int, right int, side int, id long, root long, bands array<long>, sketch binary")
+    assert [tuple(r) for r in _agreeing(cells, best=False).collect()] == [(2, 1)]
+
+
 def test_sketches_estimate_similarity():
     rng = np.random.default_rng(1)
     for size in (1, 3, 40, 3000):
