@@ -39,12 +39,19 @@ END_ID = 0
 def train_dictionary(docs: DataFrame, text: str, tokenizer: str) -> bytes:
     """A zstandard dictionary of serialized id arrays, from a bounded sample of documents.
 
-    The sample is the documents with the smallest text hashes, so reruns
-    agree. Samples too few or too uniform for training are used as raw content.
+    The sample is the distinct texts with the smallest hashes, so reruns agree,
+    and of a long text a window at a hashed place. Samples too few or too
+    uniform for training are used as raw content.
     """
+    hashed = docs.select(F.xxhash64(text).alias("h"), F.col(text).alias("t")).where("t IS NOT NULL AND t <> ''")
+    lowest = [r["h"] for r in hashed.select("h").distinct().orderBy("h").limit(SAMPLE_DOCS).collect()]
+    window = 4 * SAMPLE_IDS
+    start = F.pmod(F.xxhash64("h"), F.greatest(F.lit(1), F.length("t") - window + 1)).cast("int") + 1
     chosen = (
-        docs.select(F.xxhash64(text).alias("h"), F.substring(text, 1, 4 * SAMPLE_IDS).alias("t"))
-        .where("t IS NOT NULL AND t <> ''").orderBy("h", "t").limit(SAMPLE_DOCS)
+        hashed.where(F.col("h") <= (lowest[-1] if lowest else 0))
+        .select("h", F.substring("t", start, F.lit(window)).alias("t"))
+        .dropDuplicates(["h"])
+        .orderBy("h")
     )
     encode = encoder(tokenizer).encode
     samples = [encode(r["t"])[: 4 * SAMPLE_IDS] for r in chosen.collect()]

@@ -367,6 +367,15 @@ def test_single_document_access(spark, tmp_path):
         read_document(sorted((tmp_path / "ids/blocks").glob("part-*"))[0].read_bytes(), b"other" * 20, 17)
 
 
+def test_copies_do_not_fill_the_dictionary_sample(spark):
+    from docloom.llm.idfiles import SAMPLE_DOCS, train_dictionary
+
+    docs = spark.createDataFrame([(prose(k, 60),) for k in range(80)] + [(None,), ("",)], "text string")
+    first = docs.where("text <> ''").orderBy(F.xxhash64("text")).limit(1)
+    copies = docs.union(first.crossJoin(spark.range(SAMPLE_DOCS)).select("text"))
+    assert train_dictionary(copies, "text", default_tokenizer()) == train_dictionary(docs, "text", default_tokenizer())
+
+
 # 7 urls
 
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es", "block"),
