@@ -10,6 +10,7 @@ from docloom.llm.common import Scratch
 from docloom.llm.exact import exact_groups
 from docloom.llm.idfiles import round_trip
 from docloom.llm.langid import identify, train
+from docloom.llm.merkle import fold, leaf_digest, manifest, proof_digest
 from docloom.llm.minhash import near_groups
 from docloom.llm.mixing import mix
 from docloom.llm.packing import pack
@@ -145,3 +146,64 @@ def suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return remove_repeats(table(spark, sf, "documents")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query(
+    "op11_merkle_manifest",
+    """
+    WITH RECURSIVE docs AS (
+      SELECT doc_id, coalesce(lang, '') AS g, lang IS NOT NULL AS named, CASE WHEN doc_id IS NULL THEN '-' ELSE strlen(doc_id::VARCHAR) || ':' || doc_id END AS p1,
+        CASE WHEN source IS NULL THEN '-' ELSE strlen(source) || ':' || source END || CASE WHEN lang IS NULL THEN '-' ELSE strlen(lang) || ':' || lang END AS p2,
+        n_chars, CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END AS p4,
+        -- The usual CRC-32, bit by bit.
+        xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+          lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)), lambda x, i: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) AS crc
+      FROM documents),
+    parts AS (
+      SELECT *, CASE WHEN n_chars IS NULL THEN '-' ELSE strlen(n_chars::VARCHAR) || ':' || n_chars END AS p3,
+        n_chars + CASE WHEN crc % 7 = 0 THEN 1 ELSE 0 END AS changed FROM docs),
+    leaves AS (
+      SELECT doc_id, g, named, sha256(p1 || p2 || p3 || p4) AS leaf,
+        sha256(p1 || p2 || CASE WHEN changed IS NULL THEN '-' ELSE strlen(changed::VARCHAR) || ':' || changed END || p4) AS tampered FROM parts),
+    ranked AS (
+      SELECT *, row_number() OVER (PARTITION BY named, g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r, count(*) OVER (PARTITION BY named, g) AS n,
+        dense_rank() OVER (ORDER BY named, encode(g)) AS t, row_number() OVER () AS k FROM leaves),
+    low(t, level, i, n, d) AS (
+      SELECT t, 0, r, n, leaf FROM ranked
+      UNION ALL
+      SELECT t, level + 1, i // 2, (any_value(n) + 1) // 2, sha256(string_agg(d, '' ORDER BY i)) FROM low WHERE n > 1 GROUP BY t, level, i // 2),
+    tops AS (SELECT t - 1 AS i, d, count(*) OVER () AS n FROM low WHERE n = 1),
+    high(level, i, n, d) AS (
+      SELECT 0, i, n, d FROM tops
+      UNION ALL
+      SELECT level + 1, i // 2, (any_value(n) + 1) // 2, sha256(string_agg(d, '' ORDER BY i)) FROM high WHERE n > 1 GROUP BY level, i // 2),
+    nodes AS (
+      SELECT t, level, i, n, d FROM low
+      UNION ALL
+      SELECT 0, level, i, n, d FROM high),
+    way(k, t, own, level, i, n, proof, folded) AS (
+      SELECT k, t, t - 1, 0, r, n, '', tampered FROM ranked
+      UNION ALL
+      SELECT k, CASE WHEN w.n = 1 THEN 0 ELSE w.t END, own, CASE WHEN w.n = 1 THEN 0 ELSE w.level + 1 END,
+        CASE WHEN w.n = 1 THEN own ELSE w.i // 2 END, CASE WHEN w.n = 1 THEN (SELECT count(*) FROM tops) ELSE (w.n + 1) // 2 END,
+        proof || coalesce(s.d, ''),
+        CASE WHEN w.n = 1 THEN folded WHEN w.i % 2 = 0 THEN sha256(folded || coalesce(s.d, '')) ELSE sha256(s.d || folded) END
+      FROM way w LEFT JOIN nodes s ON s.t = w.t AND s.level = w.level AND s.i = xor(w.i, 1) AND w.n > 1
+      WHERE w.t > 0 OR w.n > 1)
+    SELECT doc_id, leaf, d.d AS subroot, h.d AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = h.d AS verified
+    FROM ranked r JOIN way USING (k) JOIN (SELECT t, d FROM low WHERE n = 1) d ON d.t = r.t CROSS JOIN (SELECT d FROM high WHERE n = 1) h
+    WHERE way.t = 0 AND way.n = 1
+    """,
+)
+def merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    parts = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    leaf = leaf_digest(*parts)
+    changed = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    parts[3] = F.col("n_chars") + 1
+    tampered = F.when(changed, leaf_digest(*parts)).otherwise(leaf)
+    rows = manifest(docs, "lang", "doc_id", leaf, keep=[tampered.alias("tampered")]).rows
+    folded = fold(F.col("row.tampered"), F.col("path"))
+    return rows.select(
+        F.col("row.order").alias("doc_id"), "leaf", "subroot", "root", proof_digest(F.col("path")).alias("proof_sha256"), folded.alias("folded_root")
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
