@@ -16,6 +16,7 @@ from docloom.llm.mixing import mix
 from docloom.llm.packing import pack
 from docloom.llm.quality import quality
 from docloom.llm.repeats import remove_repeats
+from docloom.llm.syncmers import fingerprints
 from docloom.llm.urls import filter_urls
 from docloom.llm.warc import dedup_archives
 
@@ -207,3 +208,8 @@ def merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select(
         F.col("row.order").alias("doc_id"), "leaf", "subroot", "root", proof_digest(F.col("path")).alias("proof_sha256"), folded.alias("folded_root")
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query("op13_document_fingerprints")
+def document_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprints(table(spark, sf, "documents"))
