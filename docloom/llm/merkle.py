@@ -227,6 +227,8 @@ def manifest(docs: DataFrame, group: str, order: str, leaf: Column, keep: Sequen
     ``nodes`` holds ``(tree, level, lo, hi, digest, parent_lo, parent_hi)``
     of every node, ``groups`` names each tree's group. No row: no rows and no nodes.
     """
+    if arity < 2:
+        raise ValueError("a run needs two nodes at least")
     scratch = Scratch(docs.sparkSession, "merkle")
     picked = docs.select(
         F.col(group).alias("g"), F.col(order).alias("o"), leaf.alias("digest"),

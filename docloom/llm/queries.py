@@ -19,6 +19,7 @@ from docloom.llm.repeats import remove_repeats
 from docloom.llm.syncmers import fingerprints
 from docloom.llm.urls import filter_urls
 from docloom.llm.warc import dedup_archives
+from docloom.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -213,3 +214,8 @@ def merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
 @query("op13_document_fingerprints")
 def document_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return fingerprints(table(spark, sf, "documents"))
+
+
+@query("op12_embedding_whitening")
+def embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whiten(table(spark, sf, "embeddings")).withColumn("deviation", F.col("deviation").try_cast("long"))
