@@ -14,10 +14,10 @@ from docloom.operators.loads import dead_letters, load_stats, success_rate
 from docloom.operators.text import mapping_errors
 from docloom.operators.versions import version_name
 from docloom.session import cut_lineage
-from docloom.sinks import publish, tables
+from docloom.sinks import changes, publish, tables
 from docloom.sinks.schema import normalize_schema
 from docloom.sources.named import extract
-from docloom.spec import PipelineSpec, render
+from docloom.spec import Assembly, PipelineSpec, render
 
 STATUS = "name string, status string, n_rows long, error string"
 
@@ -77,6 +77,30 @@ def run_import(spark: SparkSession, spec: PipelineSpec, on_error: str = "raise")
     return spark.createDataFrame(rows, STATUS)
 
 
+def run_statement(spark: SparkSession, spec: PipelineSpec, item: Assembly) -> DataFrame | None:
+    """Run one assembly statement; the rows of a ``documents`` statement, else None."""
+
+    def filled(text: str | None) -> str | None:
+        return text and render(text, spec.params)
+
+    values = item.values and {c: filled(v) for c, v in item.values.items()}
+    if item.kind == "delete":
+        return changes.delete(spark, spec.database, item.name, filled(item.where))
+    if item.kind == "update":
+        return changes.update(spark, spec.database, item.name, values or {}, filled(item.where))
+    rows = item.query(spark) if callable(item.query) else spark.sql(filled(item.query))
+    if item.kind == "insert":
+        return changes.insert(spark, spec.database, item.name, rows)
+    if item.kind == "merge":
+        return changes.merge(spark, spec.database, item.name, rows, item.on, values, filled(item.delete_where))
+    if item.kind == "table":
+        tables.stage(rows, spec.database, item.name)
+        return None
+    if item.kind != "documents":
+        raise ValueError(f"unknown kind of statement {item.kind!r}")
+    return rows
+
+
 def assemble(spark: SparkSession, spec: PipelineSpec) -> DataFrame:
     """Run the assemblies in order; all document rows, with the statement's rank."""
     before = spark.catalog.currentDatabase()
@@ -84,10 +108,8 @@ def assemble(spark: SparkSession, spec: PipelineSpec) -> DataFrame:
     try:
         found = []
         for item in spec.assemblies:
-            rows = item.query(spark) if callable(item.query) else spark.sql(render(item.query, spec.params))
-            if item.kind == "table":
-                tables.stage(rows, spec.database, item.name)
-            else:
+            rows = run_statement(spark, spec, item)
+            if rows is not None:
                 found.append(rows)
         return append_documents(found)
     finally:

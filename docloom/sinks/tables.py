@@ -7,12 +7,15 @@ document versions share this scheme.
 
 from __future__ import annotations
 
+import json
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
-# The view property naming the table behind a public name.
+# The view property naming the table behind a public name; for a name over
+# several tables, see docloom.sinks.changes, the other one lists them.
 TARGET = "docloom.target"
+SEGMENTS = "docloom.segments"
 
 
 def quoted(database: str, name: str) -> str:
@@ -35,14 +38,24 @@ def point(
     )
 
 
+def properties_of(spark: SparkSession, database: str, name: str) -> dict[str, str]:
+    """The properties of the public ``name``; none if it does not exist."""
+    if not spark.catalog.tableExists(quoted(database, name)):
+        return {}
+    return {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {quoted(database, name)}").collect()}
+
+
 def target_of(spark: SparkSession, database: str, name: str) -> str | None:
     """The table behind the public ``name``, or None."""
-    if not spark.catalog.tableExists(quoted(database, name)):
-        return None
-    for row in spark.sql(f"SHOW TBLPROPERTIES {quoted(database, name)}").collect():
-        if row["key"] == TARGET:
-            return row["value"]
-    return None
+    return properties_of(spark, database, name).get(TARGET)
+
+
+def tables_behind(spark: SparkSession, database: str, name: str) -> list[str]:
+    """All tables behind the public ``name``."""
+    properties = properties_of(spark, database, name)
+    if SEGMENTS in properties:
+        return [s["table"] for s in json.loads(properties[SEGMENTS])]
+    return [properties[TARGET]] if TARGET in properties else []
 
 
 def write_table(df: DataFrame, database: str, table: str) -> None:
@@ -63,11 +76,12 @@ def stage(df: DataFrame, database: str, name: str, run: str | None = None) -> Da
     spark = df.sparkSession
     run = run or f"{datetime.now(timezone.utc):%Y%m%d%H%M%S%f}"
     table = f"{name}__{run}"
-    before = target_of(spark, database, name)
+    before = tables_behind(spark, database, name)
     write_table(df, database, table)
     point(spark, database, name, table)
-    if before and before != table:
-        drop_table(spark, database, before)
+    for old in before:
+        if old != table:
+            drop_table(spark, database, old)
     return spark.table(quoted(database, name))
 
 
@@ -79,9 +93,7 @@ def registry(spark: SparkSession, database: str) -> DataFrame:
     rows = []
     for entry in spark.catalog.listTables(database):
         if entry.tableType == "VIEW" and not entry.isTemporary:
-            table = target_of(spark, database, entry.name)
-            if table:
-                rows.append((table, entry.name))
+            rows += [(table, entry.name) for table in tables_behind(spark, database, entry.name)]
     return spark.createDataFrame(rows, "version string, alias string")
 
 

@@ -46,11 +46,19 @@ class Assembly:
     ``kind="documents"`` feeds the new version; ``kind="table"`` makes a helper
     table ``name`` that later statements can read. ``query`` is Spark SQL, or a
     function of the session, for steps of the DataFrame API.
+
+    The other kinds change the staging table ``name``: ``"insert"`` adds the
+    rows of ``query``, ``"delete"`` and ``"update"`` take ``where``, and ``"merge"`` merges the rows
+    of ``query`` by the columns ``on``. ``values`` maps columns to SQL expressions.
     """
 
     name: str
-    query: str | Callable[[SparkSession], DataFrame]
+    query: str | Callable[[SparkSession], DataFrame] = ""
     kind: str = "documents"
+    where: str = "true"
+    values: Mapping[str, str] | None = None
+    on: Sequence[str] = ()
+    delete_where: str | None = None
 
 
 @dataclass(frozen=True)
