@@ -8,7 +8,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from docloom.session import broadcast_if_small, cut_lineage
+from docloom.operators.phrases import FILLER, Phrases, phrases_if_small
+from docloom.session import BROADCAST_BYTES, cut_lineage
 
 # The search service's built-in English stop words.
 ENGLISH_STOP_WORDS = (
@@ -16,9 +17,6 @@ ENGLISH_STOP_WORDS = (
     "there these they this to was will with"
 ).split()
 
-# What a shingle shows at the place of a removed word.
-FILLER = "_"
-
 
 @dataclass(frozen=True)
 class Analyzer:
@@ -30,12 +28,14 @@ class Analyzer:
     stop_words: Sequence[str] = ()
     synonyms: bool = False
     shingles: bool = False
+    graph: bool = False
 
 
 # The declared analyzers. The query-time variants use the graph
-# form of the synonym filter and produce the same tokens.
+# form of the synonym filter: the same tokens, but shingles that follow paths.
 _DEFAULT = Analyzer("letter", True, True, tuple(ENGLISH_STOP_WORDS), True)
 _SHINGLE = Analyzer("letter", True, True, tuple(ENGLISH_STOP_WORDS), True, True)
+_SHINGLE_GRAPH = Analyzer("letter", True, True, tuple(ENGLISH_STOP_WORDS), True, True, True)
 ANALYZERS = {
     "default": _DEFAULT,
     "default_search": _DEFAULT,
@@ -43,7 +43,7 @@ ANALYZERS = {
     "keyword_analyzer": Analyzer("keyword", lowercase=True),
     "comma_split_pattern_analyzer": Analyzer("comma", lowercase=True),
     "whitespace_analyzer": Analyzer("whitespace", lowercase=True),
-    "shingle_search": _SHINGLE,
+    "shingle_search": _SHINGLE_GRAPH,
     "shingle_analyzer": _SHINGLE,
 }
 
@@ -149,27 +149,43 @@ def shingle(tokenized: DataFrame, ids: Sequence[str], unigrams: bool = True) ->
     return rows.filter("token IS NOT NULL")
 
 
-def _expansions(tokenized: DataFrame, ids: Sequence[str], groups: DataFrame) -> DataFrame:
-    """``(ids, n, pos, token, before, after)``: the words that synonym groups add.
+def _terms(groups: DataFrame) -> DataFrame:
+    return groups.select("group_id", F.split("term", r"\s+").alias("parts"))
 
-    ``before`` and ``after`` are the text's own neighbours of the position:
-    a token, ``_`` for a removed word, NULL beyond the text.
+
+def phrases(groups: DataFrame) -> Phrases | None:
+    """The automaton of ``groups(group_id, term)``; None if it is too large to go to every task."""
+    return phrases_if_small(_terms(groups), BROADCAST_BYTES)
+
+
+def _found(tokenized: DataFrame, ids: Sequence[str], entries: Column) -> DataFrame:
+    """``(ids, ...)``: the struct entries of a per-row array, a row each."""
+    rows = tokenized.select(*ids, entries.alias("entries"))
+    return rows.select(*ids, F.explode_outer("entries").alias("e")).filter("e IS NOT NULL").select(*ids, "e.*")
+
+
+def _joined_matches(tokenized: DataFrame, ids: Sequence[str], groups: DataFrame) -> DataFrame:
+    """``(ids, n, pos, w, read, write)``: matches by a join, for groups too large for an automaton.
+
+    ``read`` stands at ``pos``, ``write`` is a term of the same group.
     """
-    parts = F.split("term", r"\s+")
-    terms = cut_lineage(
-        groups.select("group_id", parts.alias("parts"), F.get(parts, F.lit(0)).alias("first"))
-    )
+    terms = cut_lineage(_terms(groups).withColumn("first", F.get("parts", F.lit(0))))
     width = terms.agg(F.max(F.size("parts"))).first()[0] or 1
-    terms = broadcast_if_small(terms)
     read = terms.select("group_id", "first", F.col("parts").alias("read"))
     write = terms.select(F.col("group_id").alias("g"), F.col("parts").alias("write"))
-
     # One token more than the longest term: the neighbour after its last word.
     windows = _windows(tokenized, ids, width + 1)
-    # Joined on the first word of a term; the others are compared after.
     matched = windows.join(read, windows["w"][0] == read["first"], "inner")
-    if width > 1:
-        matched = matched.filter(F.slice("w", F.lit(1), F.size("read")) == F.col("read"))
+    matched = matched.filter(F.slice("w", F.lit(1), F.size("read")) == F.col("read"))
+    return matched.join(write, matched["group_id"] == write["g"], "inner")
+
+
+def _joined_added(tokenized: DataFrame, ids: Sequence[str], groups: DataFrame) -> DataFrame:
+    """``(ids, n, pos, token, before, after)``: added words by a join.
+
+    ``before`` and ``after`` are the text's own neighbours of the position:
+    a token, ``_`` for a removed word, NULL beyond the text.
+    """
     at = F.col("pos") + F.col("i")
 
     def neighbour(token: Column, where: Column) -> Column:
@@ -177,16 +193,12 @@ def _expansions(tokenized: DataFrame, ids: Sequence[str], groups: DataFrame) ->
 
     front = F.when(F.col("i") == 0, F.col("before")).otherwise(F.get("w", F.col("i") - 1))
     return (
-        matched.join(write, matched["group_id"] == write["g"], "inner")
+        _joined_matches(tokenized, ids, groups)
         .select(*ids, "n", "pos", "before", "w", F.posexplode("write").alias("i", "token"))
         # Words already at their position are not written again.
         .filter(~F.col("token").eqNullSafe(F.get("w", F.col("i"))))
         .select(
-            *ids,
-            "n",
-            at.alias("pos"),
-            "token",
-            neighbour(front, at - 1).alias("before"),
+            *ids, "n", at.alias("pos"), "token", neighbour(front, at - 1).alias("before"),
             neighbour(F.get("w", F.col("i") + 1), at + 1).alias("after"),
         )
         .distinct()
@@ -198,23 +210,33 @@ def expand_synonyms(tokenized: DataFrame, ids: Sequence[str], groups: DataFrame)
 
     ``groups`` holds ``(group_id, term)``. A term of several words matches a run
     of tokens and is written word by word from the position where the match
-    starts. A position holds each token once. The tokens themselves are not
-    shuffled; only expansions are deduplicated. ``ids`` must identify a row.
+    starts. Every match counts, a longer one beside the shorter ones in it. A
+    position holds each token once. Nothing is shuffled, and a text without a
+    match costs one lookup of its words; only groups too large to go to every
+    task are joined. ``ids`` must identify a row.
     """
-    added = _expansions(tokenized, ids, groups)
-    return explode_tokens(tokenized, ids).unionByName(added.select(*ids, "pos", "token"))
+    found = phrases(groups)
+    if found is None:
+        added = _joined_added(tokenized, ids, groups)
+        return explode_tokens(tokenized, ids).unionByName(added.select(*ids, "pos", "token"))
+    own = F.transform("tokens", lambda t, i: F.struct(i.alias("pos"), t.alias("token")))
+    own = F.filter(own, lambda e: e["token"].isNotNull())
+    none = F.array().cast("array<struct<pos: int, token: string>>")
+    rows = tokenized.select(*ids, "tokens", found.added("tokens").alias("added"))
+    return _found(rows, ids, F.concat(own, F.coalesce("added", none)))
 
 
 def shingle_synonyms(tokenized: DataFrame, ids: Sequence[str], groups: DataFrame) -> DataFrame:
     """:func:`shingle` of token arrays with synonym groups.
 
     A position holds its token, or ``_`` for a removed word, and the words that
-    groups add; every item is paired with every item of the next position. The
-    text's own pairs and those with added words come from the row itself, and
-    only added words at neighbouring positions are joined.
+    groups add; every item is paired with every item of the next position.
     """
+    found = phrases(groups)
+    if found is not None:
+        return shingle(tokenized, ids).unionByName(_found(tokenized, ids, found.added_grams("tokens")))
     # Read three times below.
-    added = cut_lineage(_expansions(tokenized, ids, groups))
+    added = cut_lineage(_joined_added(tokenized, ids, groups))
     word = F.col("token")
     pos = F.col("pos")
 
@@ -234,6 +256,41 @@ def shingle_synonyms(tokenized: DataFrame, ids: Sequence[str], groups: DataFrame
     return shingle(tokenized, ids).unionByName(mixed).unionByName(both)
 
 
+def _graph_phrases(groups: DataFrame) -> Phrases:
+    found = phrases(groups)
+    if found is None:
+        raise ValueError(f"the graph form takes synonym groups of at most {BROADCAST_BYTES} bytes")
+    return found
+
+
+def synonym_graph(tokenized: DataFrame, ids: Sequence[str], groups: DataFrame) -> DataFrame:
+    """``(ids, pos, length, path, step, steps, token)``: token arrays as graphs of readings.
+
+    The text's own tokens lead from each position to the next (``length`` 1,
+    ``path`` NULL). Where a term stands, each other term of its group is a path
+    of its own around it: it leaves at ``pos`` and comes back after the
+    ``length`` tokens that the term takes, by ``steps`` words, ``step`` counting them from 0. So a
+    word that stands for two is two positions long, and the words between a path's
+    ends belong to this reading alone. A path that several terms give
+    occurs once.
+    """
+    found = _graph_phrases(groups)
+    own = explode_tokens(tokenized, ids).select(
+        *ids, "pos", F.lit(1).alias("length"), F.lit(None).cast("string").alias("path"), F.lit(0).alias("step"), F.lit(1).alias("steps"), "token"
+    )
+    return own.unionByName(_found(tokenized, ids, found.arcs("tokens")))
+
+
+def shingle_graph(tokenized: DataFrame, ids: Sequence[str], groups: DataFrame) -> DataFrame:
+    """:func:`shingle` along the paths of :func:`synonym_graph`.
+
+    A pair is two tokens of which one ends where the other starts, so none mixes words of
+    two readings. ``pos`` is the position where the first word's path leaves the text.
+    """
+    found = _graph_phrases(groups)
+    return shingle(tokenized, ids).unionByName(_found(tokenized, ids, found.path_grams("tokens")))
+
+
 def analyze(
     df: DataFrame,
     ids: Sequence[str],
@@ -245,7 +302,8 @@ def analyze(
     kind = ANALYZERS[analyzer] if isinstance(analyzer, str) else analyzer
     tokenized = tokenize(df, ids, text_col, kind)
     if kind.synonyms and groups is not None:
-        return (shingle_synonyms if kind.shingles else expand_synonyms)(tokenized, ids, groups)
+        shingles = shingle_graph if kind.graph else shingle_synonyms
+        return (shingles if kind.shingles else expand_synonyms)(tokenized, ids, groups)
     return shingle(tokenized, ids) if kind.shingles else explode_tokens(tokenized, ids)
 
 

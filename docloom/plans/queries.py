@@ -20,7 +20,7 @@ from docloom.operators.hierarchy import ancestor_array, ancestors, csv_member_jo
 from docloom.operators.loads import dead_letters, load_stats, passes_gate, success_rate
 from docloom.operators.text import (
     ENGLISH_STOP_WORDS, analyze, apply_mapping, copy_to, field_tokens, lowercase_normal, mapping_errors,
-    remove_spaces, special_chars_to_space,
+    remove_spaces, special_chars_to_space, synonym_graph, tokenize,
 )
 from docloom.operators.versions import alias_actions, stale_versions, version_column
 from docloom.operators.windows import running_window
@@ -1135,6 +1135,58 @@ def _synonym_shingles(spark, sf):
     return grams.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
+# Arcs (doc_id, pos, a, b, w) of the graph: nodes are positions, or steps inside a reading.
+GRAPH = f"""
+    WITH t AS ({TOKEN_ROWS}),
+    p AS (SELECT doc_id, pos, n, w, lead(w) OVER (PARTITION BY doc_id ORDER BY pos) AS after FROM t),
+    terms(g, term) AS (VALUES (1,'de'), (1,'des'), (1,'del'), (2,'der'), (2,'die'), (3,'de la'), (3,'du'), (3,'of some')),
+    m AS (SELECT doc_id, pos, 1 AS length, w AS phrase FROM p WHERE w IS NOT NULL
+          UNION ALL SELECT doc_id, pos, 2, w || ' ' || after FROM p WHERE w IS NOT NULL AND after IS NOT NULL),
+    paths AS (SELECT DISTINCT doc_id, pos, length, y.term AS path FROM m JOIN terms x ON phrase = x.term JOIN terms y ON x.g = y.g AND x.term <> y.term),
+    arcs AS (
+      SELECT doc_id, pos, pos::VARCHAR AS a, (pos + 1)::VARCHAR AS b, coalesce(w, '_') AS w, 1 AS length, NULL AS path, 0 AS step, 1 AS steps FROM t
+      UNION ALL
+      SELECT doc_id, pos, CASE step WHEN 0 THEN pos::VARCHAR ELSE concat_ws('/', pos, length, path, step) END,
+        CASE step WHEN steps - 1 THEN (pos + length)::VARCHAR ELSE concat_ws('/', pos, length, path, step + 1) END,
+        split_part(path, ' ', step + 1), length, path, step, steps
+      FROM (SELECT *, len(string_split(path, ' ')) AS steps FROM paths), range(2) r(step) WHERE step < steps)
+"""
+
+
+@query(
+    "synonym_graph",
+    GRAPH
+    + """
+    SELECT doc_id, length, path, step, steps, w AS token, count(*) AS n, CAST(sum(pos) AS BIGINT) AS positions
+    FROM arcs WHERE path IS NOT NULL OR w <> '_' GROUP BY ALL
+    """,
+)
+def _synonym_graph(spark, sf):
+    tokenized = tokenize(wide(spark, sf, "documents", "doc_id", "text"), ["doc_id"], "text", "default")
+    arcs = synonym_graph(tokenized, ["doc_id"], _synonym_groups_of_site(spark))
+    return arcs.groupBy("doc_id", "length", "path", "step", "steps", "token").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("pos").alias("positions")
+    )
+
+
+@query(
+    "graph_shingles",
+    GRAPH
+    + """
+    SELECT doc_id, token, count(*) AS n, CAST(sum(pos) AS BIGINT) AS positions FROM (
+      SELECT doc_id, pos, w AS token FROM arcs WHERE path IS NOT NULL OR w <> '_'
+      UNION ALL SELECT x.doc_id, x.pos, x.w || ' ' || y.w FROM arcs x JOIN arcs y ON x.doc_id = y.doc_id AND x.b = y.a
+      WHERE x.w <> '_' OR y.w <> '_')
+    GROUP BY ALL
+    """,
+)
+def _graph_shingles(spark, sf):
+    grams = analyze(
+        wide(spark, sf, "documents", "doc_id", "text"), ["doc_id"], "text", "shingle_search", _synonym_groups_of_site(spark)
+    )
+    return grams.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n"), F.sum("pos").alias("positions"))
+
+
 @query(
     "copy_to",
     """

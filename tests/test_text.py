@@ -1,8 +1,14 @@
 from __future__ import annotations
 
+import random
+
+import pytest
+
+from docloom.operators import text as text_operators
+from docloom.operators.phrases import Automaton
 from docloom.operators.text import (
     ANALYZERS, Analyzer, analyze, apply_mapping, copy_to, expand_synonyms, explode_tokens, lowercase_normal,
-    mapping_errors, remove_spaces, shingle, special_chars_to_space, tokenize,
+    mapping_errors, remove_spaces, shingle, shingle_graph, shingle_synonyms, special_chars_to_space, synonym_graph, tokenize,
 )
 from docloom.sources.named import synonym_groups
 from tests.conftest import rows
@@ -78,7 +84,7 @@ def test_shingles_after_synonyms(spark):
         (1, "tv set"), (2, "set"),
     ]
     # Words added beyond the end, and next to each other.
-    found = tokens(spark, "a tv", "shingle_search", groups_of(spark, "tv,x y z", "tv,q"))
+    found = tokens(spark, "a tv", "shingle_analyzer", groups_of(spark, "tv,x y z", "tv,q"))
     assert [t for _, t in found] == [
         "_ q", "_ tv", "_ x", "q", "q y", "tv", "tv y", "x", "x y", "y", "y z", "z",
     ]
@@ -149,3 +155,53 @@ def test_mapping_errors(spark):
     df = spark.createDataFrame([(v, 1) for v in values], "shelf_id string, id int")
     found = [r[0] for r in df.select(mapping_errors(df, MAPPING)).collect()]
     assert found == [None, "shelf_id", None, "shelf_id", None, "shelf_id"]
+
+
+def test_graph_shingles_follow_one_reading(spark):
+    groups = groups_of(spark, "de la,du", "la mer,sea side shore")
+    text = texts(spark, "vue de la mer du nord", None, "", "du")
+    plain = tokenize(text, ["id"], "t", Analyzer("letter", lowercase=True))
+    arcs = [tuple(r) for r in synonym_graph(plain, ["id"], groups).where("path IS NOT NULL AND id = 0").orderBy("pos", "path", "step").collect()]
+    assert arcs == [
+        (0, 1, 2, "du", 0, 1, "du"), (0, 2, 2, "sea side shore", 0, 3, "sea"), (0, 2, 2, "sea side shore", 1, 3, "side"),
+        (0, 2, 2, "sea side shore", 2, 3, "shore"), (0, 4, 1, "de la", 0, 2, "de"), (0, 4, 1, "de la", 1, 2, "la"),
+    ]
+    found = {r["token"] for r in shingle_graph(plain, ["id"], groups).where("id = 0").collect()}
+    assert {t for t in found if " " in t} == {
+        "vue de", "de la", "la mer", "mer du", "du nord", "vue du", "du mer", "de sea", "sea side", "side shore", "shore du",
+        "mer de", "shore de", "la nord",
+    }
+    assert rows(shingle_graph(plain.where("id = 3"), ["id"], groups), "pos", "token") == [
+        (0, "de"), (0, "de la"), (0, "du"), (0, "la"),
+    ]
+
+
+def test_automaton_finds_every_match(spark):
+    draw = random.Random(4)
+    words = ["a", "b", "c"]
+    terms = list({tuple(draw.choices(words, k=draw.randint(1, 4))) for _ in range(12)})
+    automaton = Automaton([(str(i % 5), t) for i, t in enumerate(terms)])
+    for _ in range(50):
+        text = draw.choices(words, k=draw.randint(0, 30))
+        wanted = {(i, k) for k, t in enumerate(terms) for i in range(len(text)) if tuple(text[i : i + len(t)]) == t}
+        found = list(automaton.walk([automaton.words.get(w, -1) for w in text]))
+        assert set(found) == wanted and len(found) == len(wanted)
+
+
+def test_large_groups_are_joined_with_the_same_result(spark, monkeypatch):
+    draw = random.Random(6)
+    groups = groups_of(spark, "a b,a c", "b,c", "x,y", "y,x,z", "b x y,c", "a,a b c")
+    lines = [" ".join(draw.choices("a b c x y z the of q".split(), k=draw.randint(0, 25))) for _ in range(60)] + [None]
+    plain = tokenize(texts(spark, *lines), ["id"], "t", "default")
+    ways = [(f, rows(f(plain, ["id"], groups))) for f in (expand_synonyms, shingle_synonyms)]
+    monkeypatch.setattr(text_operators, "BROADCAST_BYTES", 10)
+    for function, wanted in ways:
+        assert rows(function(plain, ["id"], groups)) == wanted
+    with pytest.raises(ValueError, match="graph form"):
+        shingle_graph(plain, ["id"], groups)
+
+
+def test_expansion_neither_joins_nor_shuffles(spark):
+    plain = tokenize(texts(spark, "a b"), ["id"], "t", "default")
+    plan = expand_synonyms(plain, ["id"], groups_of(spark, "a,b"))._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
