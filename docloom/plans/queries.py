@@ -6,9 +6,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from docloom.functions.phpvalue import php_to_json
 from docloom.functions.shaping import (
@@ -24,11 +25,15 @@ from docloom.operators.text import (
 )
 from docloom.operators.versions import alias_actions, stale_versions, version_column
 from docloom.operators.windows import running_window
+from docloom.plans.sync import sync
 from docloom.session import broadcast_if_small, spread
+from docloom.sinks import changes, tables
 from docloom.sinks.schema import normalize_schema
 from docloom.sources.named import extract, synonym_groups
-from docloom.sources.ranges import WIDTH, chunk_of, key_bounds, key_ranges
-from docloom.spec import Source
+from docloom.sources.ranges import (
+    WIDTH, balanced_bounds, balanced_predicates, balanced_range_of, chunk_of, key_bounds, key_ranges,
+)
+from docloom.spec import Assembly, Extract, PipelineSpec, Source
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -79,10 +84,39 @@ def _range_chunks(spark, sf):
     return key_ranges(table(spark, sf, "lineitem"), "l_orderkey")
 
 
-@query("import_limit", "SELECT count(*) AS n FROM (SELECT * FROM orders LIMIT 100)")
+# A key whose values lie far apart at one end and close at the other.
+SPARSE_KEY = "l_orderkey * l_orderkey * l_orderkey"
+
+
+@query(
+    "balanced_ranges",
+    "SELECT count(*) AS n_rows, count(*) AS n_once, true AS in_order, true AS balanced, true AS many FROM lineitem",
+)
+def _balanced_ranges(spark, sf):
+    rows = table(spark, sf, "lineitem").select(F.expr(SPARSE_KEY).alias("k"))
+    bounds = balanced_bounds(rows, "k", 16)
+    chosen = [F.when(F.expr(p), 1).otherwise(0) for p in balanced_predicates("k", bounds)]
+    placed = rows.select("k", balanced_range_of("k", bounds).alias("part"), sum(chosen[1:], chosen[0]).alias("times"))
+    parts = placed.groupBy("part").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("times") == 1).alias("once"), F.min("k").alias("lo"), F.max("k").alias("hi")
+    )
+    before = F.lag("hi").over(Window.orderBy("part"))  # a row for each range
+    return parts.withColumn("after", F.coalesce(F.col("lo") > before, F.lit(True))).agg(
+        F.sum("n").alias("n_rows"), F.sum("once").alias("n_once"), F.every("after").alias("in_order"),
+        (F.max("n") <= 2 * F.avg("n")).alias("balanced"), (F.count(F.lit(1)) > 12).alias("many"),
+    )
+
+
+# The limit counts rows of the extract, whichever they are; those it keeps must be rows of the source.
+@query(
+    "import_limit",
+    "SELECT least(count(*), 100) AS n, least(count(*), 100) AS n_known, least(count(*), 100) AS n_distinct FROM orders",
+)
 def _import_limit(spark, sf):
     rows = extract(spark, files(sf, "orders"), "SELECT * FROM orders", limit=100)
-    return rows.agg(F.count(F.lit(1)).alias("n"))
+    known = table(spark, sf, "orders").withColumn("known", F.lit(1))
+    found = rows.join(known, rows.columns, "left")
+    return found.agg(F.count(F.lit(1)).alias("n"), F.count("known").alias("n_known"), F.countDistinct("o_orderkey").alias("n_distinct"))
 
 
 @query(
@@ -1298,3 +1332,88 @@ def _mapping_errors(spark, sf):
     return checked.groupBy("l_returnflag").agg(
         F.count("wrong").alias("n_err"), F.count(F.lit(1)).alias("n")
     )
+
+
+# --- whole runs --------------------------------------------------------------------
+
+
+def _own_database(spark: SparkSession, name: str) -> str:
+    """A database of one call, in the session's warehouse."""
+    database = f"docloom_{name}_{uuid.uuid4().hex}"
+    tables.create_database(spark, database)
+    return database
+
+
+@query(
+    "staging_statements",
+    """
+    WITH rest AS (
+      SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders
+      WHERE NOT coalesce(o_orderstatus = 'F' AND o_orderkey % 4 = 1, false)),
+    changed AS (
+      SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_custkey % 10 = 3 THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice,
+        CASE WHEN o_custkey % 10 = 3 THEN 'x' || o_orderpriority ELSE o_orderpriority END AS o_orderpriority FROM rest),
+    grown AS (
+      SELECT * FROM changed
+      UNION ALL SELECT -c_custkey, c_custkey, 'N', NULL, NULL FROM customer WHERE c_custkey % 3 = 0)
+    SELECT o_orderkey, o_custkey, CASE WHEN s_suppkey IS NULL THEN o_orderstatus ELSE 'M' END AS o_orderstatus, o_totalprice, o_orderpriority
+    FROM grown LEFT JOIN supplier ON o_orderkey = s_suppkey * 7 WHERE s_suppkey IS NULL OR s_suppkey % 5 <> 0
+    UNION ALL
+    SELECT s_suppkey * 7, NULL, 'M', NULL, NULL FROM supplier WHERE s_suppkey * 7 NOT IN (SELECT o_orderkey FROM grown)
+    """,
+)
+def _staging_statements(spark, sf):
+    database = _own_database(spark, "statements")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    # Files of neighbouring keys, as a read in key ranges leaves them.
+    tables.stage(orders.repartitionByRange(8, "o_orderkey"), database, "orders")
+    changes.delete(spark, database, "orders", "o_orderstatus = 'F' AND o_orderkey % 4 = 1")
+    changes.update(
+        spark, database, "orders", {"o_totalprice": "o_totalprice * 2", "o_orderpriority": "concat('x', o_orderpriority)"}, "o_custkey % 10 = 3"
+    )
+    customers = table(spark, sf, "customer").where("c_custkey % 3 = 0")
+    changes.insert(
+        spark, database, "orders",
+        customers.select((-F.col("c_custkey")).alias("o_orderkey"), F.col("c_custkey").alias("o_custkey"), F.lit("N").alias("o_orderstatus")),
+    )
+    suppliers = table(spark, sf, "supplier").select((F.col("s_suppkey") * 7).alias("o_orderkey"), F.lit("M").alias("o_orderstatus"))
+    changes.merge(spark, database, "orders", suppliers, ["o_orderkey"], delete_where="s.o_orderkey % 35 = 0")
+    return spark.table(tables.quoted(database, "orders"))
+
+
+@query(
+    "sync_site",
+    """
+    SELECT 'c' || c_custkey AS doc_id, c_name AS name, n_name AS nation, coalesce(n, 0) AS n_orders, 100 AS rate, 'shop' AS alias
+    FROM customer JOIN nation ON c_nationkey = n_nationkey
+    LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1) ON o_custkey = c_custkey
+    """,
+)
+def _sync_site(spark, sf):
+    """Import from two sources side by side, statements, export, gate and alias swap."""
+    database = _own_database(spark, "sync")
+    site = PipelineSpec(
+        site="shop", lang="en", id_key="doc_id", index_name="shop_en", alias="shop", database=database, default_source="shop",
+        sources=[files(sf, "customer", "orders", source="shop"), files(sf, "nation", source="world")],
+        extracts=[
+            Extract("customers", "SELECT c_custkey, c_name, c_nationkey FROM customer", buckets=4, bucket_by=["c_custkey"]),
+            Extract("orders", "SELECT o_custkey, o_orderstatus FROM orders", buckets=4, bucket_by=["o_custkey"]),
+            Extract("nations", "SELECT n_nationkey, n_name FROM nation", source="world"),
+        ],
+        assemblies=[
+            Assembly("orders", kind="delete", where="o_orderstatus = 'P'"),
+            Assembly("counts", "SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey", kind="table"),
+            Assembly(
+                "documents",
+                "SELECT concat('c', c_custkey) AS doc_id, c_name AS name, n_name AS nation, coalesce(n, 0) AS n_orders "
+                "FROM customers JOIN nations ON c_nationkey = n_nationkey LEFT JOIN counts ON o_custkey = c_custkey",
+            ),
+        ],
+    )
+    result = sync(spark, site)
+    (alias,) = [r["alias"] for r in tables.registry(spark, database).where(F.col("version") == result.version).collect()]
+    public = spark.table(tables.quoted(database, alias))
+    return public.select(
+        "doc_id", F.get_json_object("body", "$.name").alias("name"), F.get_json_object("body", "$.nation").alias("nation"),
+        F.get_json_object("body", "$.n_orders").cast("long").alias("n_orders"), F.lit(result.rate).alias("rate"), F.lit(alias).alias("alias"),
+    )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docloom.operators.loads import MIN_SUCCESS, dead_letters
+from docloom.operators.loads import MIN_SUCCESS, dead_letters, is_error
 from docloom.operators.versions import stale_versions
 from docloom.sinks import tables
 
@@ -17,12 +17,12 @@ class PublishRefused(RuntimeError):
     """Too few documents loaded; the alias was left as it is."""
 
 
-def write_documents(documents: DataFrame, database: str, version: str) -> DataFrame:
+def write_documents(documents: DataFrame, database: str, version: str) -> dict:
     """Write ``(doc_id, body, status, error_type, error_reason)`` rows, one per id,
-    as the new ``version``; returns the written table.
+    as the new ``version``; gives ``n_rows``, ``n_ok`` and ``n_err``, counted while writing.
     """
-    tables.write_table(documents, database, version)
-    return documents.sparkSession.table(tables.quoted(database, version))
+    measures = [F.count_if(~is_error()).alias("n_ok"), F.count_if(is_error()).alias("n_err")]
+    return tables.write_table(documents, database, version, measures)
 
 
 def write_bulk_files(lines: DataFrame, path: str, max_docs: int = 0) -> None:

@@ -8,9 +8,10 @@ document versions share this scheme.
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 # The view property naming the table behind a public name; for a name over
 # several tables, see docloom.sinks.changes, the other one lists them.
@@ -58,31 +59,55 @@ def tables_behind(spark: SparkSession, database: str, name: str) -> list[str]:
     return [properties[TARGET]] if TARGET in properties else []
 
 
-def write_table(df: DataFrame, database: str, table: str) -> None:
-    """Write ``df`` as the new table ``table``; an empty ``df`` makes an empty table."""
-    df.write.mode("errorifexists").format("parquet").saveAsTable(quoted(database, table))
+def write_table(
+    df: DataFrame, database: str, table: str, measures: Sequence[Column] = (), buckets: int = 0, by: Sequence[str] = ()
+) -> dict:
+    """Write ``df`` as the new table ``table``; an empty ``df`` makes an empty table.
+
+    The write itself counts: the answer has ``n_rows`` and the named aggregates
+    ``measures``, and nothing is read again. With ``buckets`` the rows lie in that
+    many parts by the hash of ``by``, sorted, so that joins and groups by these
+    columns need no shuffle.
+    """
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("n_rows"), *measures)
+    writer = counted.write.mode("errorifexists").format("parquet")
+    if buckets:
+        writer = writer.bucketBy(buckets, *by).sortBy(*by)
+    writer.saveAsTable(quoted(database, table))
+    return seen.get
 
 
 def drop_table(spark: SparkSession, database: str, table: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {quoted(database, table)}")
 
 
-def stage(df: DataFrame, database: str, name: str, run: str | None = None) -> DataFrame:
+def stage(
+    df: DataFrame, database: str, name: str, run: str | None = None, buckets: int = 0, by: Sequence[str] = ()
+) -> DataFrame:
     """Full refresh of the staging table ``name``; returns its new content.
 
     The former content stays readable until the new one is complete and is
     dropped afterwards.
     """
+    stage_counted(df, database, name, run, buckets, by)
+    return df.sparkSession.table(quoted(database, name))
+
+
+def stage_counted(
+    df: DataFrame, database: str, name: str, run: str | None = None, buckets: int = 0, by: Sequence[str] = ()
+) -> int:
+    """:func:`stage`, giving the number of rows."""
     spark = df.sparkSession
     run = run or f"{datetime.now(timezone.utc):%Y%m%d%H%M%S%f}"
     table = f"{name}__{run}"
     before = tables_behind(spark, database, name)
-    write_table(df, database, table)
+    n_rows = write_table(df, database, table, buckets=buckets, by=by)["n_rows"]
     point(spark, database, name, table)
     for old in before:
         if old != table:
             drop_table(spark, database, old)
-    return spark.table(quoted(database, name))
+    return n_rows
 
 
 def registry(spark: SparkSession, database: str) -> DataFrame:

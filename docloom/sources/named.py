@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 import re
+import threading
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docloom.functions.shaping import line_breaks
-from docloom.sources.ranges import MAX_RANGES, THRESHOLD, WIDTH, range_predicates
+from docloom.sources.ranges import MAX_RANGES, THRESHOLD, WIDTH, balanced_predicates, range_predicates
 from docloom.spec import Source, render
 
 
 # Rows a database sends at a time, unless the source says otherwise.
 FETCH_ROWS = "10000"
 
+_VIEWS = threading.RLock()
+
 # Databases whose SQL has LIMIT.
 LIMIT_DIALECTS = r"jdbc:(mysql|mariadb|postgresql|sqlite|h2|duckdb)\b"
 
@@ -39,9 +42,17 @@ def scan_tables(spark: SparkSession, source: Source, query: str, params: Mapping
     used = {t: p for t, p in source.tables.items() if re.search(rf"\b{re.escape(t)}\b", query)}
     options = dict(source.options)
     form = options.pop("format", "parquet")
-    own = {
-        t: spark.table(t) for t in used if spark.catalog.tableExists(t) and spark.catalog.getTable(t).isTemporary
-    }
+    # Threads share the session's views: one at a time resolves its names.
+    with _VIEWS:
+        return _with_views(spark, used, form, options, own_views(spark, used), query, params)
+
+
+def own_views(spark: SparkSession, names) -> dict[str, DataFrame]:
+    """The session's temporary views among ``names``."""
+    return {t: spark.table(t) for t in names if spark.catalog.tableExists(t) and spark.catalog.getTable(t).isTemporary}
+
+
+def _with_views(spark, used, form, options, own, query, params) -> DataFrame:
     try:
         for table, path in used.items():
             spark.read.format(form).options(**options).load(path).createOrReplaceTempView(table)
@@ -53,6 +64,12 @@ def scan_tables(spark: SparkSession, source: Source, query: str, params: Mapping
             view.createOrReplaceTempView(table)
 
 
+def cuts_query(inner: str, key: str, parts: int) -> str:
+    """Derived table ``(part, lo)`` of the least key of each of ``parts`` equal shares of ``inner``."""
+    shares = f"(SELECT {key} AS k, NTILE({parts}) OVER (ORDER BY {key}) AS part FROM {inner} WHERE {key} IS NOT NULL) s"
+    return f"(SELECT part, MIN(k) AS lo FROM {shares} GROUP BY part) c"
+
+
 def range_scan(
     spark: SparkSession,
     source: Source,
@@ -61,19 +78,26 @@ def range_scan(
     threshold: int = THRESHOLD,
     width: int = WIDTH,
     max_ranges: int = MAX_RANGES,
+    parts: int = 0,
 ) -> DataFrame:
     """Read a database query in key ranges, one task each.
 
-    File and catalog tables are already split by Spark and read as they are.
+    Ranges are of equal width, or with ``parts`` that many of equal row count,
+    for skewed or sparse keys; then the database sorts the keys once. File and catalog
+    tables are already split by Spark and read as they are.
     """
     if source.kind != "jdbc":
         return extract(spark, source, query)
     inner = _derived(query)
+    options = {"fetchsize": FETCH_ROWS, **{k: v for k, v in source.options.items() if k != "url"}}
+    if parts:
+        cuts = _jdbc_reader(spark, source).option("dbtable", cuts_query(inner, key, parts)).load().collect()
+        ranges = balanced_predicates(key, sorted({int(r["lo"]) for r in cuts if r["part"] > 1}))
+        return spark.read.jdbc(source.options["url"], inner, predicates=ranges, properties=options)
     probe = f"(SELECT MIN({key}) AS lo, MAX({key}) AS hi FROM {inner}) b"
     bounds = _jdbc_reader(spark, source).option("dbtable", probe).load().first()
     lo, hi = (None if bounds[i] is None else int(bounds[i]) for i in (0, 1))
     ranges = range_predicates(key, lo, hi, threshold, width, max_ranges)
-    options = {"fetchsize": FETCH_ROWS, **{k: v for k, v in source.options.items() if k != "url"}}
     return spark.read.jdbc(source.options["url"], inner, predicates=ranges, properties=options)
 
 
@@ -85,19 +109,21 @@ def extract(
     limit: int = 0,
     params: Mapping[str, str] | None = None,
     args: Mapping[str, object] | None = None,
+    parts: int = 0,
 ) -> DataFrame:
     """Run ``query`` on ``source``.
 
     ``params`` fill ``{name}`` placeholders, ``args`` named SQL parameters
     (``:name``) where Spark runs the query. ``limit`` caps the rows of the whole
-    extract; 0 is no cap. ``key`` splits a database read into ranges.
+    extract; 0 is no cap. ``key`` splits a database read into ranges, with ``parts``
+    into that many of equal row count.
     """
     query = render(query, params or {})
     if source.kind == "jdbc":
         if args:
             raise ValueError("named arguments need a query that Spark runs")
         if key and not limit:
-            df = range_scan(spark, source, query, key)
+            df = range_scan(spark, source, query, key, parts=parts)
         else:
             # Where the database knows LIMIT, it returns no more than is asked for.
             asked = limit if re.match(LIMIT_DIALECTS, source.options.get("url", "")) else 0

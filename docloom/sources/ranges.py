@@ -60,3 +60,35 @@ def range_predicates(
         return ["1 = 1"]
     inner = [f"{key} between {a} and {a + width - 1}" for a in starts[1:-1]]
     return [f"{key} <= {starts[0] + width - 1} or {key} is null", *inner, f"{key} >= {starts[-1]}"]
+
+
+def balanced_bounds(df: DataFrame, key: str, parts: int) -> list:
+    """At most ``parts - 1`` ascending keys that cut ``df`` into ranges of about equal row count.
+
+    They come from a quantile summary that tasks build and Spark merges, whatever
+    the keys' distribution; its error is a tenth of a range at most. A key that
+    holds more rows than a range has one of its own. NULL keys are not counted.
+    """
+    if parts < 2:
+        return []
+    shares = [i / parts for i in range(1, parts)]
+    found = df.agg(F.percentile_approx(key, shares, 20 * parts).alias("q")).first()["q"]
+    return sorted(set(found or []))
+
+
+def balanced_predicates(key: str, bounds: list) -> list[str]:
+    """SQL predicates that together select every row exactly once: half-open ranges between ``bounds``.
+
+    The first is open below and takes the NULL keys, the last is open above.
+    """
+    if not bounds:
+        return ["1 = 1"]
+    inner = [f"{key} >= {a} and {key} < {b}" for a, b in zip(bounds, bounds[1:])]
+    return [f"{key} < {bounds[0]} or {key} is null", *inner, f"{key} >= {bounds[-1]}"]
+
+
+def balanced_range_of(key: Column | str, bounds: list) -> Column:
+    """Number of the range of ``balanced_predicates`` that holds ``key``."""
+    column = F.col(key) if isinstance(key, str) else key
+    cuts = F.array(*[F.lit(b) for b in bounds]) if bounds else F.array()
+    return F.coalesce(F.size(F.filter(cuts, lambda b: b <= column)), F.lit(0)) if bounds else F.lit(0)

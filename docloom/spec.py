@@ -27,7 +27,9 @@ class Source:
 class Extract:
     """One staging table: ``query`` runs on ``source`` and is staged as ``name``.
 
-    ``key`` is a numeric column of the query's result used to split the read.
+    ``key`` is a numeric column of the query's result used to split the read,
+    with ``parts`` into that many ranges of equal row count. ``buckets`` lays the
+    staged rows out by the hash of ``bucket_by`` for joins without a shuffle.
     ``transform`` is applied to the staged rows, e.g. a fold or an ancestor
     closure, and replaces them; the source is read once.
     """
@@ -37,6 +39,9 @@ class Extract:
     source: str | None = None
     key: str | None = None
     transform: Callable[[DataFrame], DataFrame] | None = None
+    parts: int = 0
+    buckets: int = 0
+    bucket_by: Sequence[str] = ()
 
 
 @dataclass(frozen=True)
@@ -63,7 +68,7 @@ class Assembly:
 
 @dataclass(frozen=True)
 class PipelineSpec:
-    """A site. Extracts and assemblies run in the order given."""
+    """A site. Extracts run side by side, assemblies in the order given."""
 
     site: str
     sources: Sequence[Source]

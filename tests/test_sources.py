@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from docloom.sources.named import cuts_query
+from docloom.sources.ranges import balanced_bounds, balanced_predicates, balanced_range_of
 import random
 
 import pytest
@@ -227,3 +229,27 @@ def test_chunk_of_large_keys_is_exact(spark):
     df = spark.createDataFrame([(k,) for k in keys], "k long")
     got = {r["k"]: r["c"] for r in df.select("k", chunk_of("k", 1).alias("c")).collect()}
     assert got == {k: None if k is None else (k - 1) // 1001 for k in keys}
+
+
+def test_balanced_ranges(spark):
+    keys = [i**3 for i in range(1_000)] + [5] * 4_000 + [None] * 7
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    bounds = balanced_bounds(df, "k", 10)
+    found = [df.where(p).count() for p in balanced_predicates("k", bounds)]
+    assert sum(found) == len(keys)
+    # The key with most rows has a range to itself and few others.
+    assert sorted(found)[-2] <= 2 * len(keys) / 10 and max(found) < 4_600
+    placed = df.groupBy(balanced_range_of("k", bounds).alias("part")).count()
+    assert sorted(r["count"] for r in placed.collect()) == sorted(n for n in found if n)
+    assert balanced_bounds(df.limit(0), "k", 10) == [] and balanced_predicates("k", []) == ["1 = 1"]
+    assert balanced_bounds(df, "k", 1) == []
+    assert df.select(balanced_range_of("k", []).alias("p")).distinct().count() == 1
+
+
+def test_cuts_query_is_plain_sql():
+    import duckdb
+
+    database = duckdb.connect()
+    database.execute("CREATE TABLE t AS SELECT i * i * i AS k FROM range(100) r(i) UNION ALL SELECT NULL")
+    cuts = database.execute(f"SELECT lo FROM {cuts_query('(SELECT * FROM t) q', 'k', 4)} ORDER BY part").fetchall()
+    assert [c[0] for c in cuts] == [0, 25**3, 50**3, 75**3]

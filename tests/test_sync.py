@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import json
+import time
 from dataclasses import replace
 from datetime import datetime, timedelta, timezone
 
 import pytest
+from pyspark.sql import functions as F
 
 from docloom.plans.sync import check_sources, run_export, run_import, sync
 from docloom.plans.wordpress import wordpress_spec
 from docloom.sinks import publish, tables
-from docloom.spec import Assembly, Extract, Source
+from docloom.spec import Assembly, Extract, PipelineSpec, Source
 from tests.conftest import rows
 
 MOMENT = datetime(2024, 5, 1, 12, 0, 0, tzinfo=timezone.utc)
@@ -227,3 +229,52 @@ def test_every_row_without_an_id_is_an_error_of_its_own(spark):
     df = df.selectExpr("*", "0 AS statement")
     got = shape(df, spec).collect()
     assert sum(r["doc_id"] is None for r in got) == 5 and len(got) == 8
+
+
+def slow_site(spark, tmp_path, **more):
+    spark.range(3).write.parquet(f"{tmp_path}/three")
+    source = Source("s", "files", tables={"three": f"{tmp_path}/three"})
+    wait = F.udf(lambda i: time.sleep(0.5) or i, "long")
+    return PipelineSpec(
+        site="s", sources=[source], id_key="id", index_name="i", database="parallel_db", assemblies=[],
+        extracts=[
+            Extract("first", "SELECT id FROM three", transform=lambda df: df.select(wait("id").alias("id"))),
+            Extract("second", "SELECT absent FROM three"),
+            Extract("third", "SELECT id FROM three WHERE id < 0"),
+        ],
+        **more,
+    )
+
+
+def test_extracts_side_by_side(spark, tmp_path):
+    site = slow_site(spark, tmp_path)
+    found = [tuple(r)[:3] for r in run_import(spark, site, "skip", workers=3).collect()]
+    assert found == [("first", "ok", 3), ("second", "failed", None), ("third", "ok", 0)]
+    # With one worker the failure stops what has not begun.
+    tables.stage(spark.range(9), "parallel_db", "third")
+    with pytest.raises(Exception, match="absent"):
+        run_import(spark, site, workers=1)
+    assert spark.table("parallel_db.third").count() == 9
+    started = time.time()
+    stuck = F.udf(lambda i: time.sleep(120) or i, "long")
+    long = replace(site, extracts=[replace(site.extracts[0], transform=lambda df: df.select(stuck("id").alias("id"))), site.extracts[1]])
+    with pytest.raises(Exception, match="absent"):
+        run_import(spark, long, workers=2)
+    assert time.time() - started < 100
+
+
+def test_writing_counts(spark, monkeypatch):
+    tables.create_database(spark, "parallel_db")
+    monkeypatch.setattr(type(spark.range(1)), "count", None)  # nothing is counted by another scan
+    assert tables.stage_counted(spark.range(5), "parallel_db", "five") == 5
+    assert tables.stage_counted(spark.range(0), "parallel_db", "none") == 0
+    assert tables.stage_counted(spark.range(5).where("false"), "parallel_db", "none") == 0
+
+
+def test_bucketed_staging_joins_without_shuffle(spark):
+    tables.create_database(spark, "parallel_db")
+    for name, n in (("left_rows", 50), ("right_rows", 70)):
+        tables.stage(spark.range(n).withColumn("v", F.col("id") % 3), "parallel_db", name, buckets=4, by=["id"])
+    joined = spark.table("parallel_db.left_rows").hint("merge").join(spark.table("parallel_db.right_rows").groupBy("id").agg(F.max("v").alias("w")), "id")
+    assert joined.count() == 50
+    assert "Exchange hashpartitioning" not in joined._jdf.queryExecution().executedPlan().toString()
