@@ -107,10 +107,13 @@ def run_import(
         failed = next((f.exception() for f in started if f in done and f.exception()), None)
         if failed:
             stop.set()
-            for future, tag in zip(started, tags):
-                if not future.done():
-                    future.cancel()
+            pending = {f: tag for f, tag in zip(started, tags) if not f.cancel() and not f.done()}
+            while pending:
+                # Again and again: an extract can be between two jobs.
+                for tag in pending.values():
                     context.cancelJobsWithTag(tag)
+                done, _ = wait(pending, timeout=0.2)
+                pending = {f: tag for f, tag in pending.items() if f not in done}
     if failed:
         raise failed
     return spark.createDataFrame([f.result() for f in started], STATUS)
