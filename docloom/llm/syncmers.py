@@ -1,14 +1,12 @@
 """Document fingerprints from closed syncmers, with Spark's own expressions only.
 
-A window of ``K`` code points is an anchor if the smallest hash among its inner
-strings of ``S`` code points stands at its first or last place. That depends on
-the window alone, so equal passages have equal anchors wherever they stand, and
-of any ``K - S + 1`` windows in a row at least one is an anchor. Texts are read
-in stretches that overlap by a window, and the anchors of a text made of two
-pieces follow from those of the pieces and of the seam.
-
-An anchor is a long: its place (from 0) in the upper, the hash of its window in
-the lower 32 bits.
+A run of ``K`` words is an anchor if the smallest hash among its inner runs of
+``S`` words stands at its first or last place. That depends on these words
+alone, so equal passages have equal anchors wherever they stand, and of any
+``K - S + 1`` runs in a row at least one is an anchor.
+
+An anchor is a long: its place (words before it) in the upper, the hash of its
+run in the lower 32 bits.
 """
 
 from __future__ import annotations
@@ -17,84 +15,59 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from docloom.llm.common import Scratch, text_or_empty
+from docloom.llm.common import Scratch, let, text_or_empty, words_of
 
-S, W = 8, 32
-K = S + W - 1
-#: Windows of a stretch; bounds what is held at once besides the text and its anchors.
-STRETCH = 1_024
+#: Words of a run and of its inner runs, and how many of these it has.
+K, S = 5, 2
+W = K - S + 1
+#: A longer word, as of scripts without blanks, counts as pieces of ``PIECE`` code points.
+LONGEST, PIECE = 24, 4
 LOW = 0xFFFFFFFF
 
 
-def let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` computed once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
-def _inner_hashes(text: Column) -> Column:
-    """A hash for each run of ``S`` code points, in order; characters beyond the basic plane count as one and the same."""
-    plain = F.regexp_replace(text, r"[\x{10000}-\x{10FFFF}]", "�")
-    return F.transform(F.regexp_extract_all(plain, F.lit(f"(?s)(?=(.{{{S}}}))"), F.lit(1)), lambda s: F.xxhash64(s))
-
-
-def _paired(values: Column, step: int) -> Column:
-    """The smaller of each value and the one ``step`` places on."""
-    rest = F.greatest(F.size(values) - step, F.lit(0))
-    return F.zip_with(F.slice(values, F.lit(1), rest), F.slice(values, F.lit(step + 1), rest), lambda a, b: F.least(a, b))
+def _word_hashes(text: Column) -> Column:
+    """A hash for each word, in order."""
 
+    def pieces(words: Column) -> Column:
+        cut = F.transform(
+            words, lambda w: F.when(F.length(w) > LONGEST, F.regexp_extract_all(w, F.lit(f"(?s)(.{{1,{PIECE}}})"), F.lit(1))).otherwise(F.array(w))
+        )
+        return F.when(F.exists(words, lambda w: F.length(w) > LONGEST), F.flatten(cut)).otherwise(words)
 
-def _least(values: Column, use: Callable[[Column], Column], step: int = 1) -> Column:
-    """``use`` of the least values of all windows of ``W`` neighbours: doubled from windows half as wide."""
-    if step == W:
-        return use(values)
-    return let(_paired(values, step), lambda wider: _least(wider, use, 2 * step))
+    return F.transform(let(words_of(text), pieces), lambda w: F.xxhash64(w))
 
 
-def _anchors_of(text: Column, start: Column) -> Column:
-    """The anchors of a short text whose first code point has the place ``start``."""
+def anchors(text: Column) -> Column:
+    """``array<long>``: the anchors of a text in the order of their places; none if it has under ``K`` words."""
 
-    def chosen(hashes: Column, least: Column) -> Column:
-        places = F.sequence(F.lit(0), F.size(least) - 1)
-        edge = lambda i: (F.get(least, i) == F.get(hashes, i)) | (F.get(least, i) == F.get(hashes, i + (W - 1)))
-        return F.when(F.size(least) > 0, F.filter(places, edge)).otherwise(F.array().cast("array<int>"))
+    def chosen(words: Column, inner: Column) -> Column:
+        def edge(i: Column) -> Column:
+            values = [F.get(inner, i + k) for k in range(W)]
+            return F.least(values[0], values[-1]) <= F.least(*values[1:-1])
 
-    found = let(_inner_hashes(text), lambda hashes: _least(hashes, lambda least: chosen(hashes, least)))
-    return F.transform(
-        found,
-        lambda i: F.shiftleft(i.cast("long") + start, 32).bitwiseOR(F.xxhash64(F.substring(text, i + 1, F.lit(K))).bitwiseAND(F.lit(LOW))),
-    )
+        places = F.filter(F.sequence(F.lit(0), F.size(words) - K), edge)
+        return F.transform(
+            places,
+            lambda i: F.shiftleft(i.cast("long"), 32).bitwiseOR(F.xxhash64(*[F.get(words, i + k) for k in range(K)]).bitwiseAND(F.lit(LOW))),
+        )
 
+    def inner_of(words: Column) -> Column:
+        rest = F.size(words) - (S - 1)
+        parts = [F.slice(words, F.lit(k + 1), rest) for k in range(S)]
+        return F.zip_with(*parts, lambda a, b: F.xxhash64(a, b))
 
-def anchors(text: Column) -> Column:
-    """``array<long>``: the anchors of a text in the order of their places; none if the text has under ``K`` code points."""
-    last = F.greatest(F.floor((F.length(text) - K) / STRETCH), F.lit(0)).cast("int")
-    stretches = F.transform(
-        F.sequence(F.lit(0), last),
-        lambda j: let(F.substring(text, j * STRETCH + 1, F.lit(STRETCH + K - 1)), lambda piece: _anchors_of(piece, (j * STRETCH).cast("long"))),
+    none = F.array().cast("array<long>")
+    return let(
+        _word_hashes(text), lambda words: F.when(F.size(words) >= K, let(inner_of(words), lambda inner: chosen(words, inner))).otherwise(none)
     )
-    return F.flatten(stretches)
 
 
 def place(anchor: Column) -> Column:
     return F.shiftright(anchor, 32)
 
 
-def joined_anchors(own: Column, head: Column, n_head: Column, next_anchors: Column, tail: Column, n_tail: Column) -> Column:
-    """The anchors of ``head + tail``: ``own`` holds those of a text that starts with ``head``, ``next_anchors`` those of one that starts with ``tail``.
-
-    Anchors need no context: those within either piece stay, and only windows across the seam are looked at.
-    """
-    left = F.filter(own, lambda a: place(a) + K <= n_head)
-    right = F.transform(
-        F.filter(next_anchors, lambda a: place(a) + K <= n_tail), lambda a: a + F.shiftleft(n_head.cast("long"), 32)
-    )
-    start = F.greatest(n_head - (K - 1), F.lit(0))
-    seam = F.concat(F.substring(head, start + 1, F.lit(K - 1)), F.substring(tail, F.lit(1), F.lit(K - 1)))
-    return F.concat(left, let(seam, lambda s: _anchors_of(s, start.cast("long"))), right)
-
-
 def or_whole(found: Column, text: Column) -> Column:
-    """``found``, or the text's own hash at place 0 if a text that is not empty has no anchor."""
+    """``found``, or the hash of the whole text at place 0 if a text that is not empty has no anchor."""
     whole = F.array(F.xxhash64(text).bitwiseAND(F.lit(LOW)))
     return F.when((F.size(found) > 0) | (F.length(text) == 0), found).otherwise(whole)
 
@@ -126,13 +99,13 @@ def _ordered(doc_id: Column, text: Column) -> tuple[Column, Column]:
 def _bucket_of(key: Column, bounds: list[float]) -> Column:
     """Number of ``bounds`` (ascending) below ``key``: a sequence of binary steps, so the cost is the logarithm of their number."""
     values = F.array(*[F.lit(b) for b in bounds]) if bounds else F.array().cast("array<double>")
+
+    def advanced(found: Column, step: int) -> Column:
+        return let(found, lambda f: F.when(F.get(values, f + (step - 1)) < key, f + step).otherwise(f))
+
     found = F.lit(0)
-    step = 1
-    while step <= len(bounds):
-        step *= 2
-    while step > 1:
-        step //= 2
-        found = let(found, lambda f, s=step: F.when(F.get(values, f + (s - 1)) < key, f + s).otherwise(f))
+    for power in reversed(range(len(bounds).bit_length())):
+        found = advanced(found, 1 << power)
     return found
 
 
@@ -150,8 +123,8 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     Columns: ``doc_id``, ``n_chars``, ``edited_sha256``, ``fingerprint``,
     ``edited_fingerprint``, ``near_edited``, ``near_next`` (share of common
     anchor hashes), ``placed_edited``, ``placed_next`` (share of anchors that
-    agree in place and hash). A text without any anchor (all below ``K`` code
-    points) has one for itself as a whole, an empty text has none and an empty
+    agree in place and hash). A text without any anchor (those below ``K`` words)
+    has one for itself as a whole, an empty text has none and an empty
     fingerprint. Other columns of ``docs`` are left out.
 
     Texts move once: to buckets of neighbouring ids, cut at quantiles of the
@@ -194,8 +167,8 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     placed = rows.withColumn("bucket", bucket).withColumn("own", anchors(F.col("text")))
     order = Window.partitionBy("bucket").orderBy("g", "tie")
     placed = placed.withColumns({"next_text": F.lead("text").over(order), "next_own": F.lead("own").over(order)})
-    placed = placed.join(entering.hint("merge"), F.col("bucket") == F.col("to"), "left")
     inside = F.col("next_text").isNotNull()
+    placed = placed.join(entering.hint("merge"), (F.col("bucket") == F.col("to")) & ~inside, "left")  # the last row of each bucket
     placed = placed.select(
         "doc_id", "text", "own", "copies",
         F.when(inside, F.col("next_text")).otherwise(F.col("first_text")).alias("next_text"),
@@ -207,17 +180,13 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     followers = F.when(F.col("copies") > 1, F.concat(F.array(after), F.array_repeat(itself, (F.col("copies") - 1).cast("int")))).otherwise(F.array(after))
     if not copies.isEmpty():
         placed = placed.select("doc_id", "text", "own", F.explode(followers).alias("f")).select("doc_id", "text", "own", "f.*")
-    n = F.length("text")
-    half = F.floor(n / 2).cast("int")
-    made = placed.select(
-        "doc_id", n.cast("long").alias("n_chars"), "text", "own", "next_text", "next_own",
-        F.substring("text", F.lit(1), n - half).alias("head"), F.substring("next_text", F.lit(1), half).alias("tail"),
-    )
-    edited = F.concat("head", "tail")
-    seam = joined_anchors(F.col("own"), F.col("head"), F.length("head"), F.col("next_own"), F.col("tail"), F.length("tail"))
+    half = F.floor(F.length("text") / 2).cast("int")
+    edited = F.concat(F.substring("text", F.lit(1), F.length("text") - half), F.substring("next_text", F.lit(1), half))
+    made = placed.select("doc_id", F.length("text").cast("long").alias("n_chars"), "text", "own", "next_text", "next_own", edited.alias("edited_text"))
     made = made.select(
-        "doc_id", "n_chars", F.sha2(edited, 256).alias("edited_sha256"), or_whole(F.col("own"), F.col("text")).alias("own"),
-        or_whole(F.col("next_own"), F.col("next_text")).alias("next"), let(seam, lambda found: or_whole(found, edited)).alias("edited"),
+        "doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), or_whole(F.col("own"), F.col("text")).alias("own"),
+        or_whole(F.col("next_own"), F.col("next_text")).alias("next"),
+        let(anchors(F.col("edited_text")), lambda found: or_whole(found, F.col("edited_text"))).alias("edited"),
     )
     made = made.withColumns({"own_hashes": hashes(F.col("own")), "edited_hashes": hashes(F.col("edited")), "next_hashes": hashes(F.col("next"))})
     return made.select(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
@@ -149,14 +150,25 @@ def xx(text: str) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+def xx_longs(values: list[int]) -> int:
+    """Several longs: each hash is the seed of the next."""
+    seed = 42
+    for v in values:
+        seed = xxhash.xxh64(v.to_bytes(8, "little", signed=True), seed=seed).intdigest()
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
 def anchors_by_hand(text: str) -> list[tuple[int, int]]:
-    plain = "".join(c if ord(c) < 0x10000 else "�" for c in text)
-    inner = [xx(plain[i : i + syncmers.S]) for i in range(len(text) - syncmers.S + 1)]
+    words = []
+    for word in re.findall(r"[^\x20\x09-\x0D]+", text):
+        words += [word] if len(word) <= syncmers.LONGEST else [word[i : i + syncmers.PIECE] for i in range(0, len(word), syncmers.PIECE)]
+    hashed = [xx(w) for w in words]
+    inner = [xx_longs(hashed[i : i + syncmers.S]) for i in range(len(words) - syncmers.S + 1)]
     found = []
-    for i in range(len(text) - syncmers.K + 1):
+    for i in range(len(words) - syncmers.K + 1):
         window = inner[i : i + syncmers.W]
         if min(window) in (window[0], window[-1]):
-            found.append((i, xx(text[i : i + syncmers.K]) & syncmers.LOW))
+            found.append((i, xx_longs(hashed[i : i + syncmers.K]) & syncmers.LOW))
     return found
 
 
@@ -189,7 +201,7 @@ def words(draw, n):
 def test_fingerprints_match_plain_python(spark, partitions):
     draw = random.Random(8)
     rows = [(i, words(draw, draw.choice([0, 1, 3, 8, 30, 120]))) for i in range(40)]
-    rows += [(100, None), (101, ""), (102, "\U0001f600" * 60 + words(draw, 20)), (103, "a" * 90), (104, words(draw, 1_500)), (105, "\n" * 50 + words(draw, 20))]
+    rows += [(100, None), (101, ""), (102, "\U0001f600" * 60 + words(draw, 20)), (103, "a" * 90), (107, "aa " * 90), (104, words(draw, 1_500)), (105, "\n" * 50 + words(draw, 20))]
     rows += [(None, words(draw, 30)), (None, words(draw, 20)), (7, words(draw, 30)), (8, rows[8][1]), (8, rows[8][1]), (None, None), (None, None), (106, rows[20][1])]
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", partitions)
@@ -215,3 +227,46 @@ def test_every_stretch_of_windows_has_an_anchor(spark):
     places = [a >> 32 for a in found]
     assert places == [i for i, _ in anchors_by_hand(text)]
     assert max(b - a for a, b in zip(places, places[1:])) <= syncmers.W
+
+
+def test_buckets_split_the_keys(spark):
+    bounds = [1.0, 2.5, 4.0, 4.5, 9.0]
+    for n in range(len(bounds) + 1):
+        found = spark.range(12).select("id", syncmers._bucket_of(F.col("id").cast("double"), bounds[:n]).alias("b")).collect()
+        assert all(r["b"] == sum(x < r["id"] for x in bounds[:n]) for r in found)
+
+
+def test_crowded_cells_give_a_link_for_each_join(spark):
+    """A hot group of near copies, in several blocks, gives under one link a row, and they connect what pairs connect."""
+    from docloom.llm import minhash
+    from docloom.llm.shingles import shingle_sets
+
+    draw = random.Random(9)
+    base = words(draw, 200).split()
+    texts = []
+    for i in range(60):
+        some = list(base)
+        for at in draw.sample(range(200), draw.choice([1, 2, 3, 9])):
+            some[at] = f"own{i}"
+        texts.append(" ".join(some))
+    rows = minhash.sketches(spark.createDataFrame(list(enumerate(texts)), "id long, t string"), "id", "t", 5)
+    rows = rows.select(F.col("doc_id").alias("id"), F.col("doc_id").alias("root"), "bands", "sketch")
+    items = [(i, bytearray(s.tobytes())) for i, s in enumerate(shingle_sets(texts, 5))]
+    rows = rows.join(spark.createDataFrame(items, "id long, items binary"), "id")
+    buckets = rows.select(F.explode("bands").alias("bucket")).groupBy("bucket").count().where("count > 1")
+    cells = minhash._blocked(rows, buckets.select("bucket", F.lit(3).alias("blocks")), "items")
+    found = {(r["u"], r["v"]) for r in minhash._linking(cells, 80).collect()}
+    sets = [set(s.tolist()) for s in shingle_sets(texts, 5)]
+    wanted = {(a, b) for a in range(60) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert found <= wanted and len(wanted) > 1_000
+
+    def groups(links):
+        root = list(range(60))
+        for a, b in links:
+            old, new = root[a], root[b]
+            root = [new if r == old else r for r in root]
+        return [min(k for k in range(60) if root[k] == root[i]) for i in range(60)]
+
+    assert groups(found) == groups(wanted)
+    crowded = cells.groupBy("bucket", "left", "right").agg(F.countDistinct("root").alias("n")).collect()
+    assert len(found) < max(60, sum(r["n"] - 1 for r in crowded))
