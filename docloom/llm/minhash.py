@@ -6,7 +6,9 @@ probability 5e-8. First each class is verified against the smallest id it
 meets, which joins most groups with one comparison per document. Buckets that
 then still hold several components are searched in blocks for pairs whose
 sketches agree: first the best partner of each class is verified, then every
-pair that still lies in different components. Links are decided on full sets.
+pair that still lies in different components, where it is found: a block cell has the
+full sets, joins what it links at once, and puts out one link for each two
+components it joins, however many pairs agree. Links are decided on full sets.
 """
 
 from __future__ import annotations
@@ -27,8 +29,9 @@ PERCENT = 80
 #: Equal values that two sketches need to be verified. At similarity 0.8 their
 #: number is 102 on average with a deviation of 4.5: five deviations below.
 MIN_EQUAL = 80
-#: Classes of a bucket compared in one go.
+#: Classes of a bucket compared in one go, and bytes of their sets at once.
 BLOCK = 2_048
+BLOCK_BYTES = 32_000_000
 #: Rounds that verify the best partner of each class before all are verified:
 #: they join what is left of large groups with few comparisons.
 BEST_ROUNDS = 1
@@ -110,40 +113,115 @@ def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.hint("merge").join(first, "u").join(second.hint("merge"), "v")
 
 
-def _agreeing(rows: DataFrame, best: bool) -> DataFrame:
-    """Pairs ``(u, v)`` of different roots in one block cell whose sketches agree on MIN_EQUAL values.
+def _cell(cell: pa.Table, key: tuple[pa.Scalar, ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
+    """Sketch values, band hashes and row numbers of the two blocks of a cell, and its band."""
+    values = np.frombuffer(b"".join(cell.column("sketch").to_pylist()), np.uint16).reshape(-1, BINS)
+    bands = np.array(cell.column("bands").to_pylist(), np.int64)
+    side = cell.column("side").to_numpy()
+    return values, bands, np.flatnonzero(side == key[1].as_py()), np.flatnonzero(side == key[2].as_py()), cell.column("band")[0].as_py()
+
+
+def _agreeing(rows: DataFrame) -> DataFrame:
+    """Pairs ``(u, v)`` of different roots in one block cell: for each row the best partner whose sketch agrees on MIN_EQUAL values.
 
     ``rows`` is ``(bucket, band, left, right, side, id, root, bands, sketch)``: a cell
     ``(bucket, left, right)`` compares its block ``left`` with ``right`` and
     holds at most two blocks. A pair is given in the first band it shares
-    alone, by the 64-bit values that made the buckets; with ``best`` only the best partner of each row in the cell is.
+    alone, by the 64-bit values that made the buckets.
     """
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
     def compare(key: tuple[pa.Scalar, ...], cell: pa.Table) -> pa.Table:
-        values = np.frombuffer(b"".join(cell.column("sketch").to_pylist()), np.uint16).reshape(-1, BINS)
-        bands = np.array(cell.column("bands").to_pylist(), np.int64)
+        values, bands, left, right, band = _cell(cell, key)
         ids, roots = cell.column("id").to_numpy(), cell.column("root").to_numpy()
-        side = cell.column("side").to_numpy()
-        left, right = np.flatnonzero(side == key[1].as_py()), np.flatnonzero(side == key[2].as_py())
         found = [np.zeros((0, 2), np.int64)]
-        band = cell.column("band")[0].as_py()
         for at in left:
             others = right[roots[right] != roots[at]]
             equal = (values[others] == values[at]).sum(1)
             first = (bands[others] == bands[at]).argmax(1) == band
             fits = np.flatnonzero((equal >= MIN_EQUAL) & first)
-            if best and len(fits):
-                fits = fits[[equal[fits].argmax()]]
-            others = others[fits]
-            if len(others):
-                found.append(np.stack([np.maximum(ids[others], ids[at]), np.minimum(ids[others], ids[at])], axis=1))
+            if len(fits):
+                best = others[fits[equal[fits].argmax()]]
+                found.append(np.array([[max(ids[best], ids[at]), min(ids[best], ids[at])]], np.int64))
         pairs = np.unique(np.concatenate(found), axis=0)
         return pa.Table.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=schema)
 
     return rows.groupBy("bucket", "left", "right").applyInArrow(compare, "u long, v long")
 
 
+def _candidates(rows: DataFrame) -> DataFrame:
+    """The ``rows`` of ``_agreeing`` that have in their cell a partner of another root with a sketch that agrees, at most each once."""
+
+    def compare(key: tuple[pa.Scalar, ...], cell: pa.Table) -> pa.Table:
+        values, bands, left, right, band = _cell(cell, key)
+        roots = cell.column("root").to_numpy()
+        wanted = np.zeros(len(roots), bool)
+        for at in left:
+            others = right[roots[right] != roots[at]]
+            equal = (values[others] == values[at]).sum(1)
+            fits = others[(equal >= MIN_EQUAL) & ((bands[others] == bands[at]).argmax(1) == band)]
+            if len(fits):
+                wanted[at] = wanted[fits] = True
+        return cell.filter(pa.array(wanted))
+
+    return rows.groupBy("bucket", "left", "right").applyInArrow(compare, rows.schema)
+
+
+def _linking(rows: DataFrame, percent: int) -> DataFrame:
+    """Links ``(u, v)`` that join the roots of each block cell as far as its pairs do: under one for each root.
+
+    ``rows`` is as for ``_agreeing``, with ``items``, the set of each class. Pairs whose
+    roots are joined already need no look; all others that agree are decided on their sets.
+    """
+    schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+
+    def compare(key: tuple[pa.Scalar, ...], cell: pa.Table) -> pa.Table:
+        values, bands, left, right, band = _cell(cell, key)
+        ids = cell.column("id").to_numpy()
+        names, roots = np.unique(cell.column("root").to_numpy(), return_inverse=True)
+        sets = [np.frombuffer(x, np.uint64) for x in cell.column("items").to_pylist()]
+        links = []
+        for at in left:
+            others = right[roots[right] != roots[at]]
+            equal = (values[others] == values[at]).sum(1)
+            fits = np.flatnonzero((equal >= MIN_EQUAL) & ((bands[others] == bands[at]).argmax(1) == band))
+            for other in others[fits[np.argsort(-equal[fits], kind="stable")]]:
+                if roots[other] == roots[at]:
+                    continue
+                both = shared(sets[at], sets[other])
+                if both and 100 * both >= percent * (len(sets[at]) + len(sets[other]) - both):
+                    links.append((max(ids[at], ids[other]), min(ids[at], ids[other])))
+                    roots = np.where(roots == roots[other], roots[at], roots)
+        return pa.Table.from_arrays([pa.array([int(x[0]) for x in links], pa.int64()), pa.array([int(x[1]) for x in links], pa.int64())], schema=schema)
+
+    return rows.groupBy("bucket", "left", "right").applyInArrow(compare, "u long, v long")
+
+
+def _sets(texts: DataFrame, size: int) -> DataFrame:
+    """``(id, items)`` of ``texts(id, text)``: the shingle sets as packed numbers."""
+    schema = pa.schema([("id", pa.int64()), ("items", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, DOCS_AT_ONCE):
+                some = batch.slice(low, DOCS_AT_ONCE)
+                found = shingle_sets(some.column(1).to_pylist(), size)
+                yield pa.RecordBatch.from_arrays([some.column(0), pa.array([items.tobytes() for items in found], pa.binary())], schema=schema)
+
+    return texts.select("id", "text").mapInArrow(run, "id long, items binary")
+
+
+def _blocked(rooted: DataFrame, several: DataFrame, *carried: str) -> DataFrame:
+    """The block cells of the buckets ``several(bucket, blocks)``: each block meets each other one, and itself."""
+    return (
+        rooted.select("id", "root", "bands", "sketch", *carried, F.posexplode("bands").alias("band", "bucket"))
+        .join(several, "bucket")
+        .withColumn("side", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("bucket", "band", F.least("side", "other").alias("left"), F.greatest("side", "other").alias("right"), "side", "id", "root", "bands", "sketch", *carried)
+    )
+
+
 def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` per row of ``docs``.
 
@@ -169,7 +247,7 @@ def _judged(docs: DataFrame, scratch: Scratch, doc_id: str, text: str, size: int
         F.col("doc_id").isNull().alias("unnamed"), F.coalesce("doc_id", F.lit(0).cast("long")).alias("_k1"), F.col("text_hash").alias("_k2")
     )
     classes = rows.where("set_key IS NOT NULL").groupBy("set_key").agg(
-        F.min(key).alias("best"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
+        F.min(key).alias("best"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.first("n_shingles").alias("n_shingles")
     )
     classes = scratch.table(classes.orderBy("best").withColumn("id", F.monotonically_increasing_id()), "classes")
     met = classes.select("id", F.explode("bands").alias("bucket"))
@@ -182,33 +260,40 @@ def _judged(docs: DataFrame, scratch: Scratch, doc_id: str, text: str, size: int
     texts = docs.select(k1.alias("_k1"), k2.alias("_k2"), F.col(text).alias("text")).join(chosen.hint("merge"), ["_k1", "_k2"])
     texts = texts.groupBy("_k1", "_k2", "id", "hub").agg(F.first("text").alias("text"))  # repeated rows fold into one
     texts = scratch.table(texts.select("id", "hub", "text"), "texts")
+    scratch.drop("buckets")
+    scratch.drop("chosen")
     stars = texts.where("hub < id").select(F.col("id").alias("u"), F.col("hub").alias("v"), F.col("text").alias("text_u"))
     hub_texts = texts.select(F.col("id").alias("v"), F.col("text").alias("text_v"))
     first = scratch.table(verify(stars.join(hub_texts, "v"), percent, size).distinct(), "links1")
     roots = components(first, Scratch(docs.sparkSession, "near1"))
 
     links = first
-    met_classes = scratch.table(classes.select("id", "bands", "sketch").join(hubs.select("id"), "id", "left_semi"), "met")
+    met_classes = scratch.table(classes.select("id", "bands", "sketch", "n_shingles").join(hubs.select("id"), "id", "left_semi"), "met")
+    scratch.drop("hubs")
     for number in range(BEST_ROUNDS + 1):
         rooted = met_classes.join(roots.select(F.col("node").alias("id"), "root"), "id", "left")
         rooted = scratch.table(rooted.withColumn("root", F.coalesce("root", "id")), f"rooted{number}")
+        blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(8 * F.sum("n_shingles") / BLOCK_BYTES)).cast("int")
         several = (
-            rooted.select("root", F.explode("bands").alias("bucket"))
-            .groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count(F.lit(1)).alias("n"))
-            .where("a <> b").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+            rooted.select("root", "n_shingles", F.explode("bands").alias("bucket"))
+            .groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b"), blocks.alias("blocks"))
+            .where("a <> b").select("bucket", "blocks")
         )
         several = scratch.table(several, f"several{number}")
-        blocked = (
-            rooted.select("id", "root", "bands", "sketch", F.posexplode("bands").alias("band", "bucket"))
-            .join(several, "bucket")
-            .withColumn("side", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("bucket", "band", F.least("side", "other").alias("left"), F.greatest("side", "other").alias("right"), "side", "id", "root", "bands", "sketch")
-        )
-        pairs = scratch.table(_agreeing(blocked, best=number < BEST_ROUNDS).distinct(), f"pairs{number}")
-        found = verify(_with_texts(pairs, texts.select("id", "text")), percent, size).distinct()
+        if number < BEST_ROUNDS:
+            pairs = scratch.table(_agreeing(_blocked(rooted, several)).distinct(), f"pairs{number}")
+            found = verify(_with_texts(pairs, texts.select("id", "text")), percent, size).distinct()
+        else:
+            # Sets go to rows with a candidate alone.
+            cells = scratch.table(_candidates(_blocked(rooted, several)), "cells")
+            sets = _sets(texts.join(cells.select("id").distinct().hint("merge"), "id", "left_semi"), size)
+            found = _linking(cells.join(scratch.table(sets, "sets").hint("merge"), "id"), percent)
         links = links.unionByName(scratch.table(found, f"found{number}"))
+        for name in (f"rooted{number}", f"several{number}", f"pairs{number}", "cells", "sets"):
+            scratch.drop(name)
         roots = components(links, Scratch(docs.sparkSession, "near2"))
+    scratch.drop("texts")
+    scratch.drop("met")
 
     member = classes.select("set_key", "id").join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select(
         "set_key", F.coalesce("root", "id").alias("root")

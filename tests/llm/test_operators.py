@@ -231,7 +231,7 @@ def test_pair_is_given_in_the_first_bucket_it_shares(spark):
     bands = {1: list(range(100, 100 + n)), 2: [7, 101, 102, *range(900, 900 + n - 3)]}
     rows = [(bands[1][b], b, 0, 0, 0, k, k, bands[k], sketch_bytes) for b in (1, 2) for k in (1, 2)]
     cells = spark.createDataFrame(rows, "bucket long, band int, left int, right int, side int, id long, root long, bands array<long>, sketch binary")
-    assert [tuple(r) for r in _agreeing(cells, best=False).collect()] == [(2, 1)]
+    assert [tuple(r) for r in _agreeing(cells).collect()] == [(2, 1)]
 
 
 def test_sketches_estimate_similarity():
