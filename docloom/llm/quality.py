@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from docloom.llm.common import SPACE, WORD, Scratch, text_or_empty, words_of
+from docloom.llm.common import SPACE, Scratch, WORD, let, text_or_empty, words_of
 
 MIN_WORDS = 20
 MAX_REPEATED_PERCENT = 30
@@ -165,9 +165,12 @@ def frequent_places(lines: DataFrame, frequent: DataFrame) -> DataFrame:
 
 def without_lines(text: Column, at: Column) -> Column:
     """``text`` without its lines at the positions ``at``; the other lines stay as they are."""
-    lines = F.split(text, "\n")
-    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), at)
-    return F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
+
+    def left(lines: Column) -> Column:
+        places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), at)
+        return F.array_join(F.transform(places, lambda i: F.get(lines, i)), "\n")
+
+    return let(F.split(text, "\n"), left)
 
 
 def quality(
@@ -203,7 +206,9 @@ def _judged(
     hosts = scratch.table(host_texts(docs, doc_id, text, host), "hosts")
     frequent = scratch.table(frequent_lines(lines, hosts, limit, line_percent), "frequent")
     places = scratch.table(frequent_places(lines, frequent), "places")
-    features = document_features(docs, doc_id, text, host)
+    # Written before anything reads them: a filter on what is returned would else be pushed
+    # into the features' own expressions and compute these again for each element.
+    features = scratch.table(document_features(docs, doc_id, text, host), "features")
     joined = features.join(
         places,
         _same(F.col("doc_id"), F.col("text_hash"), F.col("host")),
