@@ -29,7 +29,9 @@ MAGIC = b"TKZ1"
 HEAD = struct.Struct("<4sIQ32s")
 INDEX = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("start", "<u8"), ("n", "<u4"), ("offset", "<u8"), ("length", "<u4")])
 #: Documents and compressed bytes of a block, blocks of a file.
-BLOCK_DOCS, BLOCK_BYTES, FILE_BLOCKS = 4_096, 4 << 20, 8
+BLOCK_DOCS, BLOCK_BYTES, FILE_BLOCKS = 4_096, 4 << 20, 4
+#: Ranges of ids for each input partition: a task sorts only so much text at once.
+RANGES = 4
 #: The dictionary is trained on at most this many documents of at most this many ids each.
 SAMPLE_DOCS, SAMPLE_IDS, DICT_BYTES = 1_000, 2_000, 64 << 10
 LEVEL = 3
@@ -151,7 +153,7 @@ def write_ids(
             yield block()
 
     cores = spark.sparkContext.defaultParallelism
-    pieces = max(cores, docs.rdd.getNumPartitions())
+    pieces = RANGES * max(cores, docs.rdd.getNumPartitions())
     ordered = (
         docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
         .repartitionByRange(pieces, "doc_id")
