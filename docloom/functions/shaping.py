@@ -34,6 +34,39 @@ def decode_json_fields(
     return df.withColumns(columns)
 
 
+def decode_json_mixed(df: DataFrame, fields: Sequence[str], keep_raw: bool = True) -> DataFrame:
+    """Decode text columns holding JSON arrays of any elements, as ``array<variant>``.
+
+    No type is given beforehand: each element keeps its own, a null too, and
+    documents show it as it was. All else is as for :func:`decode_json_fields`.
+    """
+    columns = {}
+    for field in fields:
+        if field not in df.columns:
+            continue
+        text = F.col(field)
+        # Wrapped in an array and in an object: text after the value breaks one of them.
+        alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+        wrapped = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit(',"end":1}')))
+        value = F.when(alone, F.try_variant_get(wrapped, "$.v", "array<variant>"))
+        columns[field] = value
+        if keep_raw:
+            said = (F.length(text) > 0) & (F.trim(text) != "null")
+            columns[f"{field}_raw"] = F.when(said & value.isNull(), text)
+    return df.withColumns(columns)
+
+
+#: Leading word of a variant's schema, and the kind it stands for; numbers have several.
+_KINDS = {"OBJECT": "object", "ARRAY": "array", "STRING": "text", "BOOLEAN": "boolean", "VOID": "null"}
+
+
+def json_kind(value: Column) -> Column:
+    """``object``, ``array``, ``text``, ``number``, ``boolean`` or ``null`` of a variant that was read from JSON."""
+    word = F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
+    kinds = F.create_map(*[F.lit(x) for pair in _KINDS.items() for x in pair])
+    return F.when(value.isNotNull(), F.coalesce(F.try_element_at(kinds, word), F.lit("number")))
+
+
 def _holds(key: str):
     return lambda pair: F.map_contains_key(pair, key)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime, timezone
 from zoneinfo import ZoneInfo, ZoneInfoNotFoundError
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from docloom.functions.shaping import compact_time
 
@@ -53,6 +53,30 @@ def alias_actions(registry: DataFrame, targets: DataFrame) -> DataFrame:
     return removed.unionByName(added)
 
 
+def alias_state(log: DataFrame) -> DataFrame:
+    """``(version, alias)`` after all actions of ``log(commit, seq, action, version, alias)``.
+
+    The last action of a pair decides, by commit and then by ``seq``.
+    """
+    last = log.groupBy("version", "alias").agg(F.max_by("action", F.struct("commit", "seq")).alias("action"))
+    return last.where("action = 'add'").select("version", "alias")
+
+
+def alias_intervals(log: DataFrame) -> DataFrame:
+    """``(version, alias, since, until)``: the commits between which a version is behind an alias.
+
+    The state after commit n is the rows with ``since <= n`` and ``until > n`` or
+    NULL, so one replay holds every state of the log. An add of what is there and
+    a remove of what is not change nothing; of a commit only its last action counts.
+    """
+    last = log.groupBy("version", "alias", "commit").agg(F.max_by("action", "seq").alias("action"))
+    pair = Window.partitionBy("version", "alias").orderBy("commit")
+    before = F.lag("action", 1, "remove").over(pair)
+    changes = last.withColumn("before", before).where("action <> before")
+    ends = changes.withColumn("until", F.lead("commit").over(pair)).where("action = 'add'")
+    return ends.select("version", "alias", F.col("commit").alias("since"), "until")
+
+
 def stale_versions(versions: DataFrame, aliases: DataFrame, prefix: str = "") -> DataFrame:
     """``(version)`` that no alias points at, dot-names excepted.
 

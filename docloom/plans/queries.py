@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from docloom.functions.phpvalue import php_to_json
 from docloom.functions.shaping import (
-    compact_time, decode_json_fields, promote_meta, to_document_json,
+    compact_time, decode_json_fields, decode_json_mixed, json_kind, promote_meta, to_document_json,
 )
 from docloom.operators.documents import append_documents, bulk_batches, keep_last, to_bulk_lines
 from docloom.operators.fold import concat_group, fold_pairs
@@ -23,7 +23,7 @@ from docloom.operators.text import (
     ENGLISH_STOP_WORDS, analyze, apply_mapping, copy_to, field_tokens, lowercase_normal, mapping_errors,
     remove_spaces, special_chars_to_space, synonym_graph, tokenize,
 )
-from docloom.operators.versions import alias_actions, stale_versions, version_column
+from docloom.operators.versions import alias_actions, alias_intervals, stale_versions, version_column
 from docloom.operators.windows import running_window
 from docloom.plans.sync import sync
 from docloom.session import broadcast_if_small, spread
@@ -526,6 +526,45 @@ def _json_extract(spark, sf):
     return decoded.select("event_id", F.get("field", F.lit(0))["k"].alias("k"), "field_raw")
 
 
+@query(
+    "json_mixed",
+    """
+    WITH e AS (
+        SELECT event_id, event_type,
+               CASE event_type WHEN 'error' THEN props WHEN 'signup' THEN '[' || props WHEN 'purchase' THEN NULL
+               ELSE '[' || props || ', ' || user_id || ', "' || event_type || '", null, [' || event_id || ', "x"], true]' END AS field
+        FROM events
+    ), d AS (SELECT *, CASE WHEN event_type NOT IN ('error', 'signup') THEN field END AS good FROM e)
+    SELECT event_id, json_array_length(good) AS n,
+           CASE WHEN good IS NOT NULL THEN 'object,number,text,null,array,boolean' END AS kinds,
+           CAST(json_extract(good, '$[0].k') AS BIGINT) AS k, CAST(json_extract(good, '$[1]') AS BIGINT) AS user_id,
+           json_extract_string(good, '$[2]') AS word, CAST(json_extract(good, '$[4][0]') AS BIGINT) AS inner_id,
+           CASE WHEN good IS NULL THEN field END AS field_raw
+    FROM d
+    """,
+)
+def _json_mixed(spark, sf):
+    # By event type: arrays of mixed elements, an object, broken text, and none.
+    kind = F.col("event_type")
+    mixed = F.concat(
+        F.lit("["), "props", F.lit(", "), F.col("user_id").cast("string"), F.lit(', "'), "event_type", F.lit('", null, ['),
+        F.col("event_id").cast("string"), F.lit(', "x"], true]'),
+    )
+    text = F.when(kind == "error", F.col("props")).when(kind == "signup", F.concat(F.lit("["), "props")).when(kind != "purchase", mixed)
+    decoded = decode_json_mixed(table(spark, sf, "events").select("event_id", text.alias("field")), ["field"])
+    at = [F.get("field", F.lit(k)) for k in range(5)]
+    return decoded.select(
+        "event_id",
+        F.when(F.col("field").isNotNull(), F.size("field")).cast("long").alias("n"),
+        F.array_join(F.transform("field", json_kind), ",").alias("kinds"),
+        F.try_variant_get(at[0], "$.k", "long").alias("k"),
+        F.try_variant_get(at[1], "$", "long").alias("user_id"),
+        F.try_variant_get(at[2], "$", "string").alias("word"),
+        F.try_variant_get(at[4], "$[0]", "long").alias("inner_id"),
+        "field_raw",
+    )
+
+
 @query(
     "promote_meta",
     """
@@ -1005,6 +1044,29 @@ def _alias_actions(spark, sf):
     return alias_actions(registry, _newest(registry).select("version", "alias"))
 
 
+@query(
+    "alias_log",
+    """
+    WITH l AS (
+        SELECT o_orderkey AS commit, CASE o_orderpriority WHEN '5-LOW' THEN 'remove' ELSE 'add' END AS action,
+               'v' || (o_orderkey % 3) AS version, 'c' || o_custkey AS alias FROM orders
+    ), c AS (SELECT *, lag(action, 1, 'remove') OVER (PARTITION BY version, alias ORDER BY commit) AS before FROM l),
+    u AS (SELECT *, lead(commit) OVER (PARTITION BY version, alias ORDER BY commit) AS until FROM c WHERE action <> before)
+    SELECT version, alias, commit AS since, until FROM u WHERE action = 'add'
+    """,
+)
+def _alias_log(spark, sf):
+    # Each order is a commit that adds a version to its customer's alias, or with low priority takes it away.
+    log = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("commit"),
+        F.lit(0).alias("seq"),
+        F.when(F.col("o_orderpriority") == "5-LOW", "remove").otherwise("add").alias("action"),
+        F.concat(F.lit("v"), (F.col("o_orderkey") % 3).cast("string")).alias("version"),
+        F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("alias"),
+    )
+    return alias_intervals(log)
+
+
 @query(
     "stale_versions",
     f"""

@@ -7,7 +7,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from docloom.functions.phpvalue import decode, php_to_json
-from docloom.functions.shaping import decode_json_fields, promote_meta, to_document_json
+from docloom.functions.shaping import decode_json_fields, decode_json_mixed, json_kind, promote_meta, to_document_json
 from tests.conftest import rows
 
 META = "array<map<string,string>>"
@@ -171,3 +171,21 @@ def test_times_and_binary_values_in_maps_are_text(spark):
     body = json.loads(to_document_json(df, "id").first()["body"])
     stamp = "2024-01-02 03:04:05"
     assert body == {"id": 1, "at": stamp, "times": {"a": stamp, "b": None}, "nested": [{"x": {"raw": "q"}}]}
+
+
+def test_mixed_json_keeps_each_element(spark):
+    texts = ['[1, 2.5, "a", null, true, [1, "x"], {"k": [null]}]', "[]", "[null]", '{"k": 1}', "[1", "", "null", None, "7", '[1] [2]', '["é\\"x"]', '[1]], [[2]', '[1],"end":1} x', "[1], [2]"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, field string")
+    decoded = decode_json_mixed(df, ["field", "absent"])
+    got = {r.id: (r.kinds, r.field_raw) for r in decoded.select("id", F.transform("field", json_kind).alias("kinds"), "field_raw").collect()}
+    kinds = ["number", "number", "text", "null", "boolean", "array", "object"]
+    assert got == {
+        0: (kinds, None), 1: ([], None), 2: (["null"], None), 3: (None, '{"k": 1}'), 4: (None, "[1"), 5: (None, None),
+        6: (None, None), 7: (None, None), 8: (None, "7"), 9: (None, "[1] [2]"), 10: (["text"], None),
+        11: (None, "[1]], [[2]"), 12: (None, '[1],"end":1} x'), 13: (None, "[1], [2]"),
+    }
+    assert "absent" not in decoded.columns
+    assert rows(decode_json_mixed(df.limit(0), ["field"])) == []
+    bodies = {r.doc_id: json.loads(r.body)["field"] for r in to_document_json(decoded, "id", raw_of={"field": "field_raw"}).collect()}
+    assert bodies["0"] == [1, 2.5, "a", None, True, [1, "x"], {"k": [None]}]
+    assert (bodies["1"], bodies["4"], bodies["7"], bodies["10"]) == ([], "[1", None, ['é"x'])
