@@ -26,8 +26,9 @@ from docloom.operators.text import (
 from docloom.operators.versions import alias_actions, alias_intervals, stale_versions, version_column
 from docloom.operators.windows import running_window
 from docloom.plans.sync import sync
-from docloom.session import broadcast_if_small, spread
+from docloom.session import broadcast_if_small, shared_folder, spread
 from docloom.sinks import changes, tables
+from docloom.sinks.bulk import read_bulk, write_bulk
 from docloom.sinks.schema import normalize_schema
 from docloom.sources.named import extract, synonym_groups
 from docloom.sources.ranges import (
@@ -912,6 +913,34 @@ def _bulk_batches(spark, sf):
     )
 
 
+@query(
+    "bulk_writer",
+    """
+    SELECT CAST(o_orderkey AS VARCHAR) AS action_id, o_orderkey, o_custkey, o_orderpriority,
+           (SELECT count(*) FROM orders) AS n_docs, true AS counted
+    FROM orders
+    """,
+)
+def _bulk_writer(spark, sf):
+    # Written as request files, then read back; the totals are those of the commit messages.
+    folder = shared_folder(spark, "bulk")
+    counts = write_bulk(to_bulk_lines(_order_documents(spark, sf)), folder)
+    batches = read_bulk(spark, folder)
+    seen = batches.agg(
+        (F.sum("n_docs") == counts["n_docs"]) & (F.sum("n_bytes") == counts["n_bytes"])
+        & (F.count(F.lit(1)) == counts["n_batches"]) & (F.max("n_docs") <= 200)
+        & (F.sum(F.octet_length("payload")) == counts["n_bytes"])
+    ).first()[0]
+    line = F.split(F.rtrim("payload", F.lit("\n")), "\n")
+    # An action and a body in turn.
+    pairs = F.transform(F.sequence(F.lit(0), F.size(line) - 2, F.lit(2)), lambda k: F.struct(F.get(line, k).alias("action"), F.get(line, k + 1).alias("body")))
+    rows = batches.select(F.inline(pairs)).select(
+        F.get_json_object("action", "$.index._id").alias("action_id"),
+        F.inline_outer(F.array(F.from_json("body", "o_orderkey bigint, o_custkey bigint, o_orderpriority string"))),
+    )
+    return rows.select("*", F.lit(counts["n_docs"]).cast("long").alias("n_docs"), F.lit(seen).alias("counted"))
+
+
 @query(
     "bulk_totals",
     "SELECT count(*) AS n_docs, true AS within_budget, true AS complete FROM orders",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -48,6 +49,12 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder that all executors see, below the checkpoint folder."""
+    _ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialize ``df`` in the shared checkpoint folder.
 
