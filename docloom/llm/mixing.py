@@ -259,7 +259,7 @@ def mixed_rows(docs: DataFrame, seed: int = 7, text: str = "text", shards: int =
     Every partition holds rows of one shard, and a written file too. A shard of
     more than ``part_words`` words is dealt over several partitions, the same
     number for all shards, by a hash of the row and of its repeat. Columns are
-    those of ``docs``, then ``mix_shard``.
+    those of ``docs``, then ``mix_shard``, which replaces one of that name.
     """
     words = docs.agg(F.sum(F.regexp_count(text_or_empty(text), F.lit(WORD + "+")).cast("long"))).first()[0] or 0
     # All targets together are at most the words of all sources, and shards get equal shares.
@@ -269,4 +269,5 @@ def mixed_rows(docs: DataFrame, seed: int = 7, text: str = "text", shards: int =
     rows = rows.withColumn("_order", _hash(seed + 4, "doc_id", "size", "_nth"))
     part = F.col("mix_shard") * parts + F.pmod(F.xxhash64("_order"), F.lit(parts)).cast("int")
     dealt = rows.repartitionById(shards * parts, part.cast("int"))
-    return dealt.sortWithinPartitions("mix_shard", "_order").select("row.*", "mix_shard")
+    kept = [F.col(f"row.`{c}`") for c in docs.columns if c != "mix_shard"]
+    return dealt.sortWithinPartitions("mix_shard", "_order").select(*kept, "mix_shard")

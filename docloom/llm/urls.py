@@ -101,8 +101,10 @@ def filter_urls(
         rules = spark.createDataFrame(rules, "host string, path string, verdict string")
     rules = rules.select("host", "path", "verdict").na.fill("")
     rules = rules.withColumn("host", F.translate("host", UPPER, LOWER)).dropDuplicates()
-    split = pages.withColumns({"_host": host_of(F.col(url)), "_path": path_of(F.col(url))})
-    kept = [F.col(f"`{c}`") for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
+    # The caller's columns travel in one struct, so none can clash with those made here.
+    row = F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("_row")
+    split = pages.select(row, host_of(F.col(url)).alias("_host"), path_of(F.col(url)).alias("_path"))
+    kept = [F.col(f"_row.`{c}`") for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
     size = rules.agg(
         F.count(F.lit(1)).alias("n"),
         F.coalesce(F.max(F.length("host") + F.length("path")), F.lit(0)).alias("longest"),
@@ -110,7 +112,7 @@ def filter_urls(
     if size["n"] <= broadcast_rules and size["longest"] <= BROADCAST_RULE_CHARS:
         found = _by_trie(split, [tuple(r) for r in rules.collect()])
     else:
-        found = _by_join(split, rules, pages.columns)
+        found = _by_join(split, rules)
     return found.select(
         *kept,
         F.col("_host").alias("host"),
@@ -133,7 +135,7 @@ def _by_trie(split: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
     return split.withColumn("_found", find("_host", "_path"))
 
 
-def _by_join(split: DataFrame, rules: DataFrame, columns: list[str]) -> DataFrame:
+def _by_join(split: DataFrame, rules: DataFrame) -> DataFrame:
     """Every host suffix and path prefix of a URL looks up the rule table.
 
     Distinct ``(host, path)`` pairs are looked up once, so repeated URLs do

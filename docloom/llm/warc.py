@@ -73,7 +73,8 @@ def write_archives(
     digest and length of the full payload. Line ends in a URL are encoded;
     a null URL has no target header. Twins of the original's row are responses.
     """
-    joined = page_headers(pages, page_id, html).join(originals, "_digest", "left")
+    # Only what records hold, so no other column of the pages can clash.
+    joined = page_headers(pages.select(page_id, url, html), page_id, html).join(originals, "_digest", "left")
     revisit = F.coalesce(~F.col(page_id).eqNullSafe(F.col("_first")), F.lit(False)) & F.col("_first").isNotNull()
     target = F.regexp_replace(F.regexp_replace(F.col(url), "\r", "%0D"), "\n", "%0A")
     kind = F.when(revisit, "revisit").otherwise("response")

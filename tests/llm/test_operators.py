@@ -310,6 +310,9 @@ def test_archives_round_trip(spark):
     assert {bytes(r["payload"]) for r in whole.where("record_type = 'revisit'").collect()} == {page.encode()}
     assert {r["payload_digest"] for r in records.where("page_id = '3'").collect()} == {hashlib.sha256(page.encode()).hexdigest()}
     assert dedup_archives(pages.drop("_digest").limit(0), Scratch(spark, "warc").path).count() == 0
+    clashing = pages.withColumns({c: F.lit("mine") for c in ("_digest", "_first", "_bytes", "_payload", "_n", "value")})
+    again = dedup_archives(clashing, Scratch(spark, "warc").path)
+    assert sorted(((r["page_id"], r["record_type"], r["refers_to"], r["payload_bytes"]) for r in again.collect()), key=key) == got
 
 
 def test_parse_rejects_a_cut_archive():
@@ -406,6 +409,15 @@ def test_url_rules_by_brute_force(spark):
     assert filter_urls(pages, []).where("rule IS NOT NULL").count() == 0
 
 
+def test_url_filter_keeps_clashing_columns(spark):
+    columns = ["_host", "_path", "_found", "_row", "_rh", "a.b"]
+    pages = spark.createDataFrame([(1, "http://example.com/en/", *columns)], ["page_id", "url", *columns])
+    for limit in (0, 100):
+        got = filter_urls(pages, RULES, broadcast_rules=limit)
+        assert got.columns == ["page_id", "url", *columns, "host", "path", "rule", "verdict"]
+        assert tuple(got.first())[2:] == (*columns, "example.com", "/en/", "example.com/en/", "block")
+
+
 # 8 mixing
 
 
@@ -482,6 +494,10 @@ def test_mixed_rows_form_the_output_shards(spark):
         assert {s for _, s in want} == set(range(4)) and {r["at"] for r in placed} == set(range(4 * parts))
         assert all(r["at"] // parts == r["mix_shard"] for r in placed)
         assert any(len({r["source"] for r in placed if r["at"] == p}) == 2 for p in range(4 * parts))
+    clashing = docs.withColumns({c: F.lit("mine") for c in ("mix_shard", "row", "shards")})
+    again = mixed_rows(clashing, shards=4)
+    assert again.columns == ["doc_id", "text", "source", "row", "shards", "mix_shard"]
+    assert Counter((r["source"], r["mix_shard"]) for r in again.where("row = 'mine' AND shards = 'mine'").collect()) == want
 
 
 # 9 quality
