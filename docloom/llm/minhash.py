@@ -4,11 +4,12 @@ Documents with one shingle set form a class. Classes meet in the buckets of
 32 bands of 4 sketch values: a pair of similarity 0.8 misses them all with
 probability 5e-8. First each class is verified against the smallest id it
 meets, which joins most groups with one comparison per document. Buckets that
-then still hold several components are searched in blocks for pairs whose
-sketches agree: first the best partner of each class is verified, then every
-pair that still lies in different components, where it is found: a block cell has the
-full sets, joins what it links at once, and puts out one link for each two
-components it joins, however many pairs agree. Links are decided on full sets.
+then still hold several components are searched in blocks, once, for rows with
+a partner whose sketch agrees; only these go on. First the best partner of each
+is verified, then every pair that still lies in different components, where it
+is found: a block cell has the full sets, joins what it links at once, and puts
+out one link for each two components it joins, however many pairs agree. Links
+are decided on full sets.
 """
 
 from __future__ import annotations
@@ -32,9 +33,6 @@ MIN_EQUAL = 80
 #: Classes of a bucket compared in one go, and bytes of their sets at once.
 BLOCK = 2_048
 BLOCK_BYTES = 32_000_000
-#: Rounds that verify the best partner of each class before all are verified:
-#: they join what is left of large groups with few comparisons.
-BEST_ROUNDS = 1
 DOCS_AT_ONCE = 64
 
 
@@ -222,6 +220,12 @@ def _blocked(rooted: DataFrame, several: DataFrame, *carried: str) -> DataFrame:
     )
 
 
+def _with_roots(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """``rows`` with ``root``, the component of ``id`` so far."""
+    rows = rows.join(roots.select(F.col("node").alias("id"), "root"), "id", "left")
+    return rows.withColumn("root", F.coalesce("root", "id"))
+
+
 def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` per row of ``docs``.
 
@@ -255,45 +259,48 @@ def _judged(docs: DataFrame, scratch: Scratch, doc_id: str, text: str, size: int
     buckets = scratch.table(buckets, "buckets")
     hubs = met.join(buckets, "bucket").groupBy("id").agg(F.min("hub").alias("hub"))
     hubs = scratch.table(hubs, "hubs")
-    chosen = scratch.table(hubs.join(classes.select("id", "best._k1", "best._k2"), "id"), "chosen")
+    leading = hubs.where("hub < id").select(F.col("hub").alias("id")).distinct().withColumn("leads", F.lit(True))
+    keys = classes.select("id", "best._k1", "best._k2")
+    chosen = scratch.table(hubs.join(leading, "id", "left").join(keys, "id"), "chosen")
     k1, k2 = row_key(F.col(doc_id), F.col(text))
     texts = docs.select(k1.alias("_k1"), k2.alias("_k2"), F.col(text).alias("text")).join(chosen.hint("merge"), ["_k1", "_k2"])
-    texts = texts.groupBy("_k1", "_k2", "id", "hub").agg(F.first("text").alias("text"))  # repeated rows fold into one
-    texts = scratch.table(texts.select("id", "hub", "text"), "texts")
+    texts = texts.groupBy("_k1", "_k2", "id", "hub", "leads").agg(F.first("text").alias("text"))  # repeated rows fold into one
+    texts = scratch.table(texts.select("id", "hub", "leads", "text"), "texts")
     scratch.drop("buckets")
     scratch.drop("chosen")
     stars = texts.where("hub < id").select(F.col("id").alias("u"), F.col("hub").alias("v"), F.col("text").alias("text_u"))
-    hub_texts = texts.select(F.col("id").alias("v"), F.col("text").alias("text_v"))
+    hub_texts = texts.where("leads").select(F.col("id").alias("v"), F.col("text").alias("text_v"))
     first = scratch.table(verify(stars.join(hub_texts, "v"), percent, size).distinct(), "links1")
     roots = components(first, Scratch(docs.sparkSession, "near1"))
 
-    links = first
-    met_classes = scratch.table(classes.select("id", "bands", "sketch", "n_shingles").join(hubs.select("id"), "id", "left_semi"), "met")
+    met = classes.select("id", "bands", "sketch", "n_shingles").join(hubs.select("id"), "id", "left_semi")
+    rooted = scratch.table(_with_roots(met, roots), "rooted")
     scratch.drop("hubs")
-    for number in range(BEST_ROUNDS + 1):
-        rooted = met_classes.join(roots.select(F.col("node").alias("id"), "root"), "id", "left")
-        rooted = scratch.table(rooted.withColumn("root", F.coalesce("root", "id")), f"rooted{number}")
-        blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(8 * F.sum("n_shingles") / BLOCK_BYTES)).cast("int")
-        several = (
-            rooted.select("root", "n_shingles", F.explode("bands").alias("bucket"))
-            .groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b"), blocks.alias("blocks"))
-            .where("a <> b").select("bucket", "blocks")
-        )
-        several = scratch.table(several, f"several{number}")
-        if number < BEST_ROUNDS:
-            pairs = scratch.table(_agreeing(_blocked(rooted, several)).distinct(), f"pairs{number}")
-            found = verify(_with_texts(pairs, texts.select("id", "text")), percent, size).distinct()
-        else:
-            # Sets go to rows with a candidate alone.
-            cells = scratch.table(_candidates(_blocked(rooted, several)), "cells")
-            sets = _sets(texts.join(cells.select("id").distinct().hint("merge"), "id", "left_semi"), size)
-            found = _linking(cells.join(scratch.table(sets, "sets").hint("merge"), "id"), percent)
-        links = links.unionByName(scratch.table(found, f"found{number}"))
-        for name in (f"rooted{number}", f"several{number}", f"pairs{number}", "cells", "sets"):
-            scratch.drop(name)
-        roots = components(links, Scratch(docs.sparkSession, "near2"))
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(8 * F.sum("n_shingles") / BLOCK_BYTES)).cast("int")
+    several = (
+        rooted.select("root", "n_shingles", F.explode("bands").alias("bucket"))
+        .groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b"), blocks.alias("blocks"))
+        .where("a <> b").select("bucket", "blocks")
+    )
+    several = scratch.table(several, "several")
+    # Later steps only join roots, so rows without a candidate now never get one: texts and cells of the others are all they need.
+    cells = scratch.table(_candidates(_blocked(rooted, several)), "cells")
+    scratch.drop("rooted")
+    scratch.drop("several")
+    wanted = texts.select("id", "text").join(cells.select("id").distinct().hint("merge"), "id", "left_semi")
+    wanted = scratch.table(wanted, "wanted")
     scratch.drop("texts")
-    scratch.drop("met")
+    pairs = scratch.table(_agreeing(cells).distinct(), "pairs")
+    best = scratch.table(verify(_with_texts(pairs, wanted), percent, size).distinct(), "best")
+    links = first.unionByName(best)
+    roots = components(links, Scratch(docs.sparkSession, "near2"))
+
+    left = scratch.table(_candidates(_with_roots(cells.drop("root"), roots).select(cells.columns)), "left")
+    sets = scratch.table(_sets(wanted.join(left.select("id").distinct().hint("merge"), "id", "left_semi"), size), "sets")
+    links = links.unionByName(scratch.table(_linking(left.join(sets.hint("merge"), "id"), percent), "found"))
+    for name in ("cells", "wanted", "pairs", "left", "sets"):
+        scratch.drop(name)
+    roots = components(links, Scratch(docs.sparkSession, "near3"))
 
     member = classes.select("set_key", "id").join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select(
         "set_key", F.coalesce("root", "id").alias("root")
