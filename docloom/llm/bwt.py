@@ -1,12 +1,15 @@
-"""Merging shard Burrows-Wheeler transforms by refining their interleave.
-
-A shard is some strings, with its suffixes in order of their first 8 bytes.
-Merging starts from the interleave of the shards' runs: blocks of suffixes that
-agree so far. Each round doubles the depth and splits every block by the
-blocks in which its suffixes continue. Suffixes alone in a block are done; only
-the others are looked at again. The depth at which two neighbours were
-separated bounds their common prefix, and blocks left at the last depth are the
-repeated intervals.
+"""Burrows-Wheeler transforms of shards, merged by refining their interleave.
+
+A shard holds strings, each with an end mark, and the transform of its sorted
+suffixes. Two transforms are merged without a look at the sorted suffixes: the
+interleave starts as the runs of suffixes that agree on their first ``START``
+symbols. Each round steps back once: a run that was cut off in the round before
+goes, for each symbol its transform holds, to the run one symbol longer, by
+counts of that symbol in both transforms. If the end of that run is not yet
+marked, its neighbours share exactly as many symbols as rounds have passed:
+that is their common prefix. Runs with a marked end are settled, so every place
+between two suffixes is visited once. Runs of length ``depth`` are the repeated
+intervals.
 """
 
 from __future__ import annotations
@@ -15,105 +18,200 @@ from dataclasses import dataclass
 
 import numpy as np
 
-START = 8
+#: Symbols of 9 bits that fit one number: byte + 1, or 0 at a string's end.
+START, BITS = 7, 9
 
 
 @dataclass
 class Shard:
-    data: np.ndarray  # bytes of all strings, one after the other
-    left: np.ndarray  # bytes from each place to the end of its string
-    order: np.ndarray  # places with at least START bytes left, by their first START bytes
-    keys: np.ndarray  # those bytes as numbers, ascending
+    data: np.ndarray  # symbols of all strings, each with its end mark
+    order: np.ndarray  # all places, by their first symbols up to the depth
+    transform: np.ndarray  # symbol before each of them, 0 at a string's start
+
+
+@dataclass
+class Merged:
+    shard: Shard
+    interleave: np.ndarray  # for each suffix in merged order: False if it comes from the first shard
+    common: np.ndarray  # symbols it shares with its predecessor; -1 for the depth or more
+
 
+def _left(data: np.ndarray) -> np.ndarray:
+    """Bytes from each place to the end of its string."""
+    ends = np.flatnonzero(data == 0)
+    return np.repeat(ends, np.diff(ends, prepend=-1)) - np.arange(len(data))
 
-def shard(strings: list[bytes]) -> Shard:
-    data = np.frombuffer(b"".join(strings), np.uint8)
-    lengths = np.fromiter(map(len, strings), np.int64, len(strings))
-    left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(data))
-    keys = np.zeros(len(data), np.uint64)
+
+def _keys(data: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """The first START symbols from each place as one number."""
+    keys = np.zeros(len(data), np.int64)
     for k in range(START):
-        keys[: max(len(data) - k, 0)] |= data[k:].astype(np.uint64) << np.uint64(8 * (START - 1 - k))
-    places = np.flatnonzero(left >= START)
-    order = places[np.argsort(keys[places])]
-    return Shard(data, left, order, keys[order])
+        symbols = data[k:].astype(np.int64)
+        symbols[left[: len(symbols)] < k] = 0
+        keys[: len(symbols)] |= symbols << (BITS * (START - 1 - k))
+    return keys
 
 
-@dataclass
-class Merged:
-    order: np.ndarray  # suffixes of all shards in merged order, to the depth
-    rank: np.ndarray  # block of each place: suffixes before it; -1 if too short
-    separated: np.ndarray  # depth at which an order entry left its predecessor, 0 if never
-    transform: np.ndarray  # byte before each suffix, 0 at a string's start
-
-
-def merge(shards: list[Shard], depth: int) -> Merged:
-    """All suffixes with at least ``depth`` bytes, in order of their first ``depth`` bytes."""
-    data = np.concatenate([s.data for s in shards])
-    left = np.concatenate([s.left for s in shards])
-    offsets = np.cumsum([0, *(len(s.data) for s in shards)])
-    places = np.concatenate([s.order + o for s, o in zip(shards, offsets)])
-    keys = np.concatenate([s.keys for s in shards])
-    if len(shards) > 1:  # sorted runs: a merge, not a sort
-        interleave = np.argsort(keys, kind="stable")
-        places, keys = places[interleave], keys[interleave]
-    n = len(places)
-    order = places.copy()
-    rank = np.full(len(data), -1, np.int64)
-    separated = np.zeros(n, np.int32)
-    fresh = np.ones(n, bool)
-    if n:
-        fresh[1:] = keys[1:] != keys[:-1]
-    separated[fresh] = START
-    block = np.maximum.accumulate(np.where(fresh, np.arange(n), 0)) if n else np.zeros(0, np.int64)
-    rank[order] = block
+def _fresh(values: np.ndarray) -> np.ndarray:
+    """Where a value differs from its predecessor."""
+    return np.append(True, values[1:] != values[:-1])[: len(values)]
+
+
+def shard(strings: list[bytes], depth: int) -> Shard:
+    """Sort the suffixes of some strings by their first ``depth`` symbols and derive the transform."""
+    marks = np.cumsum([len(s) + 1 for s in strings], dtype=np.int64) - 1
+    data = np.frombuffer(b"\0".join([*strings, b""]), np.uint8).astype(np.uint16) + np.uint16(1)
+    data[marks] = 0
+    n, left = len(data), _left(data)
+    keys = _keys(data, left)
+    order = np.argsort(keys)
+    keys = keys[order]
+    fresh = _fresh(keys)
+    rank = np.empty(n, np.int64)
+    rank[order] = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
+    open_ = np.flatnonzero(~(fresh & np.append(fresh[1:], True)[:n]))
     reached = START
-    # Entries of order that share their block with another one.
-    open_ = np.flatnonzero(~fresh | ~np.append(fresh[1:], True)) if n else np.zeros(0, np.int64)
-    while reached < depth and len(open_):
+    while reached < depth:
+        open_ = open_[left[order[open_]] >= reached]  # equal suffixes that ended stay together
+        if not len(open_):
+            break
         jump = min(reached, depth - reached)
         here = order[open_]
-        long = left[here] >= reached + jump
-        # Too short to go on: drop it from its block, before the others.
-        follow = np.where(long, rank[np.minimum(here + jump, len(data) - 1)], -1)
-        own = rank[here]
-        by = np.argsort(own * np.int64(n + 2) + (follow + 1), kind="stable")
-        here, own, follow = here[by], own[by], follow[by]
+        both = rank[here] * n + rank[here + jump]
+        by = np.argsort(both)
+        here, both = here[by], both[by]
         order[open_] = here
-        split = np.ones(len(open_), bool)
-        split[1:] = (own[1:] != own[:-1]) | (follow[1:] != follow[:-1])
-        within = np.append(False, own[1:] == own[:-1])
-        separated[open_[split & within]] = reached + jump
-        new = np.maximum.accumulate(np.where(split, open_, 0))
-        rank[here] = new
+        split = _fresh(both)
+        rank[here] = np.maximum.accumulate(np.where(split, open_, 0))
+        open_ = open_[~(split & np.append(split[1:], True))]
         reached += jump
-        alone = split & np.append(split[1:], True)
-        stays = ~alone & (left[here] >= reached)
-        open_ = open_[stays]
-    rank[left < depth] = -1
-    before = np.where(order > 0, data[order - 1], 0)
-    starts = np.append(True, left[:-1] == 1) if len(left) else np.zeros(0, bool)
-    transform = np.where(starts[order], 0, before).astype(np.uint8)
-    return Merged(order, rank, separated, transform)
-
-
-def repeated_places(strings: list[bytes], depth: int, shard_bytes: int = 1 << 18) -> list[np.ndarray]:
-    """For each string, the places whose next ``depth`` bytes occur at another place too."""
+    return Shard(data, order, data[order - 1])
+
+
+class _Steps:
+    """Steps back in one shard: from rows of suffixes to rows of suffixes one symbol longer."""
+
+    def __init__(self, part: Shard) -> None:
+        self.symbols, self.n = part.transform, len(part.transform)
+        by = np.argsort(self.symbols, kind="stable")
+        self.back = np.empty(self.n, np.int64)
+        self.back[by] = np.arange(self.n)
+        self.counted = self.symbols[by].astype(np.int64) * (self.n + 1) + by
+        self.run = np.cumsum(_fresh(self.symbols))
+
+    def longer(self, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, ...]:
+        """``(run, symbol, low, high)`` of the non-empty runs one symbol longer, for runs of rows."""
+        some = np.flatnonzero(high > low)
+        a, z = low[some], high[some] - 1
+        one = self.run[a] == self.run[z]
+        rest = some[~one]
+        size = high[rest] - low[rest]
+        rows = np.arange(size.sum()) + np.repeat(low[rest] - np.cumsum(size) + size, size)
+        key = (np.repeat(rest, size) << BITS) | self.symbols[rows]
+        by = np.argsort(key, kind="stable")
+        key, rows = key[by], rows[by]
+        begins = np.flatnonzero(_fresh(key))
+        ends = np.append(begins[1:], len(key))[: len(begins)] - 1
+        run = np.concatenate([some[one], key[begins] >> BITS])
+        symbol = np.concatenate([self.symbols[a[one]].astype(np.int64), key[begins] & ((1 << BITS) - 1)])
+        lows = np.concatenate([self.back[a[one]], self.back[rows[begins]]])
+        highs = np.concatenate([self.back[z[one]], self.back[rows[ends]]]) + 1
+        goes = symbol > 0
+        return run[goes], symbol[goes], lows[goes], highs[goes]
+
+    def before(self, symbol: np.ndarray, row: np.ndarray) -> np.ndarray:
+        """Row at which suffixes of ``symbol`` and then those from ``row`` on begin."""
+        return np.searchsorted(self.counted, symbol * (self.n + 1) + row)
+
+
+def _filled(steps: _Steps, keys: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.ndarray, parent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows of the runs ``keys`` in one shard, which has those ``at`` some places; others are empty there."""
+    lows, highs = np.full(len(keys), -1), np.full(len(keys), -1)
+    lows[at], highs[at] = low, high
+    none = np.flatnonzero(lows < 0)
+    symbol, run = np.divmod(keys[none], len(parent))
+    lows[none] = highs[none] = steps.before(symbol, parent[run])
+    return lows, highs
+
+
+def merge(a: Shard, b: Shard, depth: int) -> Merged:
+    """The transform of both shards, with common prefixes below ``depth``."""
+    first, second = _Steps(a), _Steps(b)
+    n = first.n + second.n
+    common = np.full(n + 1, -1, np.int16)
+    taken = np.zeros(n + 1, np.int64)  # suffixes of the first shard before each marked place
+    common[0] = common[n] = 0
+    taken[n] = first.n
+
+    keys_a, keys_b = (_keys(s.data, _left(s.data))[s.order] for s in (a, b))
+    starts = np.sort(np.concatenate([keys_a, keys_b]))
+    starts = starts[_fresh(starts)]
+    high_a, high_b = np.searchsorted(keys_a, starts, "right"), np.searchsorted(keys_b, starts, "right")
+    low_a, low_b = np.append(0, high_a[:-1])[: len(starts)], np.append(0, high_b[:-1])[: len(starts)]
+    apart = starts[1:] ^ starts[:-1]
+    same = sum(((apart < (1 << (BITS * (START - k)))).astype(np.int16) for k in range(1, START)), np.zeros(len(apart), np.int16))
+    at = (high_a + high_b)[:-1]
+    common[at], taken[at] = same, high_a[:-1]
+    fresh = np.flatnonzero(same == START - 1)
+
+    reached = START
+    while reached < depth and len(fresh):
+        low_a, high_a, low_b, high_b = low_a[fresh], high_a[fresh], low_b[fresh], high_b[fresh]
+        run_a, symbol_a, from_a, to_a = first.longer(low_a, high_a)
+        run_b, symbol_b, from_b, to_b = second.longer(low_b, high_b)
+        keys = np.concatenate([symbol_a, symbol_b]) * len(low_a) + np.concatenate([run_a, run_b])
+        by = np.argsort(keys)
+        new = _fresh(keys[by])
+        place = np.empty(len(keys), np.int64)
+        place[by] = np.cumsum(new) - 1
+        keys = keys[by[new]]
+        (low_a, high_a), (low_b, high_b) = (
+            _filled(first, keys, place[: len(run_a)], from_a, to_a, low_a),
+            _filled(second, keys, place[len(run_a) :], from_b, to_b, low_b),
+        )
+        at = high_a + high_b
+        fresh = np.flatnonzero(common[at] < 0)
+        common[at[fresh]], taken[at[fresh]] = reached, high_a[fresh]
+        reached += 1
+
+    marked = np.flatnonzero(common >= 0)
+    of_a = np.diff(taken[marked])
+    sizes = np.stack([of_a, np.diff(marked) - of_a], 1).ravel()
+    interleave = np.repeat(np.tile([False, True], len(of_a)), sizes)
+    order, transform = np.empty(n, np.int64), np.empty(n, np.uint16)
+    for part, mine, offset in ((a, ~interleave, 0), (b, interleave, first.n)):
+        order[mine], transform[mine] = part.order + offset, part.transform
+    return Merged(Shard(np.concatenate([a.data, b.data]), order, transform), interleave, common[:n])
+
+
+def merge_all(shards: list[Shard], depth: int) -> Merged:
+    """All shards, neighbours first; a single one is merged with an empty one."""
+    if len(shards) == 1:
+        return merge(shards[0], shard([], depth), depth)
+    while len(shards) > 2:
+        pairs = [shards[k : k + 2] for k in range(0, len(shards), 2)]
+        shards = [merge(*p, depth).shard if len(p) == 2 else p[0] for p in pairs]
+    return merge(*shards, depth)
+
+
+def repeated_places(strings: list[bytes], depth: int, shard_bytes: int = 3 << 18) -> list[np.ndarray]:
+    """For each string, the places whose next ``depth`` bytes occur at another place too; ``depth`` is START or more."""
     shards, some, held = [], [], 0
     for string in strings:
         some.append(string)
         held += len(string)
         if held >= shard_bytes:
-            shards.append(shard(some))
+            shards.append(shard(some, depth))
             some, held = [], 0
-    if some or not shards:
-        shards.append(shard(some))
-    rank = merge(shards, depth).rank
-    valid = rank >= 0
-    counts = np.bincount(rank[valid], minlength=1)
-    again = np.zeros(len(rank), bool)
-    again[valid] = counts[rank[valid]] > 1
-    found, at = [], 0
-    for string in strings:
-        found.append(np.flatnonzero(again[at : at + len(string)]))
-        at += len(string)
-    return found
+    if some:
+        shards.append(shard(some, depth))
+    if not shards:
+        return []
+    merged = merge_all(shards, depth)
+    equal = merged.common < 0
+    again = equal | np.append(equal[1:], False)
+    order = merged.shard.order[again]
+    order = np.sort(order[_left(merged.shard.data)[order] >= depth])
+    ends = np.cumsum([len(s) + 1 for s in strings])
+    cut = np.searchsorted(order, ends)
+    return [found - end + len(s) + 1 for found, end, s in zip(np.split(order, cut[:-1]), ends, strings)]

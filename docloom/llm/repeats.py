@@ -3,7 +3,8 @@
 Windows of 200 bytes are dealt by their anchor, so equal ones meet wherever
 they stand. An anchor with a single segment has no repeat; one whose segments
 are all equal repeats wholly. Where segments of an anchor differ, their bytes
-form shards whose transforms are merged; blocks left at depth 200 are the
+form shards, each with its transform; transforms are merged by refining their
+interleave, and neighbours whose common prefix reaches 200 bytes are the
 repeated windows. Windows never cross documents.
 """
 

@@ -132,17 +132,30 @@ def test_merged_transforms_give_repeated_places():
         want = [[i for i in range(len(s) - depth + 1) if seen[s[i : i + depth]] > 1] for s in strings]
         got = bwt.repeated_places(strings, depth, shard_bytes=rng.choice([1, 60, 1000]))
         assert [g.tolist() for g in got] == want
-
-
-def test_merge_orders_suffixes_and_keeps_the_transform():
-    strings = [b"banana_bandana_banana_band", b"bandana_banana_ban"]
-    merged = bwt.merge([bwt.shard([s]) for s in strings], 10)
-    data = b"".join(strings)
-    ends = [len(strings[0])] * len(strings[0]) + [len(data)] * len(strings[1])
-    long = [p for p in merged.order if ends[p] - p >= 10]
-    assert [data[p : p + 10] for p in long] == sorted(data[p : p + 10] for p in long)
-    for place, before in zip(merged.order, merged.transform):
-        assert before == (0 if place in (0, len(strings[0])) else data[place - 1])
+    assert bwt.repeated_places([], 50) == []
+
+
+def shared_prefix(x, y):
+    return next((k for k, (a, b) in enumerate(zip(x, y)) if a != b), min(len(x), len(y)))
+
+
+@pytest.mark.parametrize("depth", [7, 10, 40])
+def test_merging_transforms_gives_order_interleave_and_common_prefixes(depth):
+    rng = random.Random(depth)
+    parts = [[], [b""], [b"banana_bandana_banana_band", b"", b"a"], [b"bandana_banana_ban", b"a", b"\0\xff\0"]]
+    parts += [[bytes(rng.choice(b"ab") for _ in range(rng.randint(0, 60))) for _ in range(4)] for _ in range(4)]
+    for left in parts:
+        for right in parts:
+            merged = bwt.merge(bwt.shard(left, depth), bwt.shard(right, depth), depth)
+            symbols = [[*(c + 1 for c in s), 0] for s in left + right]
+            suffixes = [s[k : k + depth] for s in symbols for k in range(len(s))]
+            before = [c for s in symbols for c in [0, *s[:-1]]]
+            got = [suffixes[p] for p in merged.shard.order]
+            assert sorted(merged.shard.order) == list(range(len(suffixes))) and got == sorted(suffixes)
+            assert merged.shard.transform.tolist() == [before[p] for p in merged.shard.order]
+            assert merged.interleave.tolist() == [p >= sum(len(s) + 1 for s in left) for p in merged.shard.order.tolist()]
+            for k in range(1, len(got)):
+                assert merged.common[k] == (-1 if got[k] == got[k - 1] else shared_prefix(got[k], got[k - 1]))
 
 
 def test_segments_hold_every_window_once_and_equal_windows_share_an_anchor():
