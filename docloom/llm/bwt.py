@@ -27,6 +27,7 @@ class Shard:
     data: np.ndarray  # symbols of all strings, each with its end mark
     order: np.ndarray  # all places, by their first symbols up to the depth
     transform: np.ndarray  # symbol before each of them, 0 at a string's start
+    keys: np.ndarray  # their first START symbols as one number
 
 
 @dataclass
@@ -45,10 +46,11 @@ def _left(data: np.ndarray) -> np.ndarray:
 def _keys(data: np.ndarray, left: np.ndarray) -> np.ndarray:
     """The first START symbols from each place as one number."""
     keys = np.zeros(len(data), np.int64)
+    wide = data.astype(np.int64)
     for k in range(START):
-        symbols = data[k:].astype(np.int64)
-        symbols[left[: len(symbols)] < k] = 0
-        keys[: len(symbols)] |= symbols << (BITS * (START - 1 - k))
+        keys[: max(len(data) - k, 0)] |= wide[k:] << (BITS * (START - 1 - k))
+    short = np.flatnonzero(left < START - 1)  # symbols of the next string do not count
+    keys[short] &= np.int64(-1) << (BITS * (START - 1 - left[short]))
     return keys
 
 
@@ -85,7 +87,7 @@ def shard(strings: list[bytes], depth: int) -> Shard:
         rank[here] = np.maximum.accumulate(np.where(split, open_, 0))
         open_ = open_[~(split & np.append(split[1:], True))]
         reached += jump
-    return Shard(data, order, data[order - 1])
+    return Shard(data, order, data[order - 1], keys)
 
 
 class _Steps:
@@ -94,30 +96,32 @@ class _Steps:
     def __init__(self, part: Shard) -> None:
         self.symbols, self.n = part.transform, len(part.transform)
         by = np.argsort(self.symbols, kind="stable")
-        self.back = np.empty(self.n, np.int64)
-        self.back[by] = np.arange(self.n)
+        self.back = np.empty(self.n, np.int32)
+        self.back[by] = np.arange(self.n, dtype=np.int32)
         self.counted = self.symbols[by].astype(np.int64) * (self.n + 1) + by
-        self.run = np.cumsum(_fresh(self.symbols))
+        self.run = np.cumsum(_fresh(self.symbols), dtype=np.int32)
 
     def longer(self, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, ...]:
         """``(run, symbol, low, high)`` of the non-empty runs one symbol longer, for runs of rows."""
         some = np.flatnonzero(high > low)
         a, z = low[some], high[some] - 1
         one = self.run[a] == self.run[z]
+        run, symbol, lows, highs = some[one], self.symbols[a[one]].astype(np.int64), self.back[a[one]], self.back[z[one]]
         rest = some[~one]
-        size = high[rest] - low[rest]
-        rows = np.arange(size.sum()) + np.repeat(low[rest] - np.cumsum(size) + size, size)
-        key = (np.repeat(rest, size) << BITS) | self.symbols[rows]
-        by = np.argsort(key, kind="stable")
-        key, rows = key[by], rows[by]
-        begins = np.flatnonzero(_fresh(key))
-        ends = np.append(begins[1:], len(key))[: len(begins)] - 1
-        run = np.concatenate([some[one], key[begins] >> BITS])
-        symbol = np.concatenate([self.symbols[a[one]].astype(np.int64), key[begins] & ((1 << BITS) - 1)])
-        lows = np.concatenate([self.back[a[one]], self.back[rows[begins]]])
-        highs = np.concatenate([self.back[z[one]], self.back[rows[ends]]]) + 1
+        if len(rest):
+            size = high[rest] - low[rest]
+            rows = np.arange(size.sum()) + np.repeat(low[rest] - np.cumsum(size) + size, size)
+            key = (np.repeat(rest, size) << BITS) | self.symbols[rows]
+            by = np.argsort(key, kind="stable")
+            key, rows = key[by], rows[by]
+            begins = np.flatnonzero(_fresh(key))
+            ends = np.append(begins[1:], len(key)) - 1
+            run = np.concatenate([run, key[begins] >> BITS])
+            symbol = np.concatenate([symbol, key[begins] & ((1 << BITS) - 1)])
+            lows = np.concatenate([lows, self.back[rows[begins]]])
+            highs = np.concatenate([highs, self.back[rows[ends]]])
         goes = symbol > 0
-        return run[goes], symbol[goes], lows[goes], highs[goes]
+        return run[goes], symbol[goes], lows[goes], highs[goes] + 1
 
     def before(self, symbol: np.ndarray, row: np.ndarray) -> np.ndarray:
         """Row at which suffixes of ``symbol`` and then those from ``row`` on begin."""
@@ -139,14 +143,13 @@ def merge(a: Shard, b: Shard, depth: int) -> Merged:
     first, second = _Steps(a), _Steps(b)
     n = first.n + second.n
     common = np.full(n + 1, -1, np.int16)
-    taken = np.zeros(n + 1, np.int64)  # suffixes of the first shard before each marked place
+    taken = np.zeros(n + 1, np.int32)  # suffixes of the first shard before each marked place
     common[0] = common[n] = 0
     taken[n] = first.n
 
-    keys_a, keys_b = (_keys(s.data, _left(s.data))[s.order] for s in (a, b))
-    starts = np.sort(np.concatenate([keys_a, keys_b]))
+    starts = np.sort(np.concatenate([s.keys[_fresh(s.keys)] for s in (a, b)]))
     starts = starts[_fresh(starts)]
-    high_a, high_b = np.searchsorted(keys_a, starts, "right"), np.searchsorted(keys_b, starts, "right")
+    high_a, high_b = (np.searchsorted(s.keys, starts, "right") for s in (a, b))
     low_a, low_b = np.append(0, high_a[:-1])[: len(starts)], np.append(0, high_b[:-1])[: len(starts)]
     apart = starts[1:] ^ starts[:-1]
     same = sum(((apart < (1 << (BITS * (START - k)))).astype(np.int16) for k in range(1, START)), np.zeros(len(apart), np.int16))
@@ -178,10 +181,10 @@ def merge(a: Shard, b: Shard, depth: int) -> Merged:
     of_a = np.diff(taken[marked])
     sizes = np.stack([of_a, np.diff(marked) - of_a], 1).ravel()
     interleave = np.repeat(np.tile([False, True], len(of_a)), sizes)
-    order, transform = np.empty(n, np.int64), np.empty(n, np.uint16)
+    order, transform, keys = np.empty(n, np.int64), np.empty(n, np.uint16), np.empty(n, np.int64)
     for part, mine, offset in ((a, ~interleave, 0), (b, interleave, first.n)):
-        order[mine], transform[mine] = part.order + offset, part.transform
-    return Merged(Shard(np.concatenate([a.data, b.data]), order, transform), interleave, common[:n])
+        order[mine], transform[mine], keys[mine] = part.order + offset, part.transform, part.keys
+    return Merged(Shard(np.concatenate([a.data, b.data]), order, transform, keys), interleave, common[:n])
 
 
 def merge_all(shards: list[Shard], depth: int) -> Merged:
