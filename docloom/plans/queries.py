@@ -85,8 +85,9 @@ def _range_chunks(spark, sf):
     return key_ranges(table(spark, sf, "lineitem"), "l_orderkey")
 
 
-# A key whose values lie far apart at one end and close at the other.
-SPARSE_KEY = "l_orderkey * l_orderkey * l_orderkey"
+# A key whose values lie far apart at one end and close at the other. Cubes of
+# keys above 2,097,151 exceed a bigint.
+SPARSE_KEY = "CAST(l_orderkey AS DECIMAL(38, 0)) * l_orderkey * l_orderkey"
 
 
 @query(

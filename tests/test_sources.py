@@ -246,6 +246,15 @@ def test_balanced_ranges(spark):
     assert df.select(balanced_range_of("k", []).alias("p")).distinct().count() == 1
 
 
+def test_balanced_ranges_of_cubes_beyond_a_bigint(spark, tmp_path):
+    from docloom.plans.queries import QUERIES
+
+    keys = [k for i in range(0, 54_000_000, 54_000) for k in (i, i + 1)] + [None, 7]
+    spark.createDataFrame([(k,) for k in keys], "l_orderkey long").write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = QUERIES["balanced_ranges"](spark, str(tmp_path)).first()
+    assert tuple(got) == (len(keys), len(keys), True, True, True)
+
+
 def test_cuts_query_is_plain_sql():
     import duckdb
 
