@@ -16,8 +16,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from docloom.session import broadcast_if_small, cut_lineage
 
-# Range partitions used to order the rows of oversized keys.
+# Range partitions used to order the rows of oversized keys: the driver samples
+# each and hears from each, so their number follows what a task can order.
 MAX_SLICES = 20_000
+SLICE_WEIGHT = 16 * 1024 * 1024
 
 
 def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -54,6 +56,15 @@ def split_by_size(
     return df.join(hot, match, "left_anti"), df.join(hot, match, "left_semi"), total
 
 
+def slice_count(df: DataFrame, total: int, limit: int, held: int) -> int:
+    """Slices for rows of weight ``total``: of about ``held`` each, if all cores have one.
+
+    Never more than two for each ``limit`` of weight.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return max(1, min(MAX_SLICES, 2 * (total // limit + 1), max(cores, total // held + 1)))
+
+
 def slice_in_order(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int
 ) -> DataFrame:
@@ -116,7 +127,7 @@ def bounded_parts(
     if hot is None:
         return df, None
     hot = reduce_hot(hot)
-    slices = max(1, min(MAX_SLICES, 2 * (total // limit + 1)))
+    slices = slice_count(df, total, limit, SLICE_WEIGHT)
     placed = add_start(slice_in_order(hot, keys, order, slices), keys, order, weight)
     size = weight.cast("long")
     first = F.floor(F.col("_start") / limit).cast("long")

@@ -7,11 +7,14 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from docloom.operators.parts import MAX_SLICES, slice_in_order, split_by_size
+from docloom.operators.parts import slice_count, slice_in_order, split_by_size
 
 # Rows of one key that a single task may order.
 KEY_ROWS = 5_000_000
 
+# Rows of a slice of a larger key, if a smaller limit is named.
+SLICE_ROWS = 500_000
+
 
 def _plain(df, keys, order, lag, running):
     window = Window.partitionBy(*keys).orderBy(*order)
@@ -45,7 +48,7 @@ def running_window(
     plain = _plain(rest, keys, order, lag, running)
     if hot is None:
         return plain
-    slices = max(1, min(MAX_SLICES, 2 * (total // limit + 1)))
+    slices = slice_count(df, total, limit, SLICE_ROWS)
     sliced = slice_in_order(hot, keys, order, slices)
     copies = sliced.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies")))
     local = _plain(copies.drop("_copies"), [*keys, "_slice"], [*order, "_copy"], lag, running)

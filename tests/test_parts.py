@@ -6,6 +6,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from docloom.operators import parts, windows
 from docloom.operators.fold import concat_group, fold_pairs
 from docloom.operators.parts import ordered_parts
 from docloom.operators.windows import running_window
@@ -128,3 +129,23 @@ def test_running_sums_over_nulls_do_not_depend_on_the_limit(spark):
     whole = running_window(df, ["key"], ["at"], running={"total": "v"}).collect()
     sliced = running_window(df, ["key"], ["at"], running={"total": "v"}, limit=5).collect()
     assert {(r["at"], r["total"]) for r in whole} == {(r["at"], r["total"]) for r in sliced}
+
+
+def test_slices_follow_the_rows_and_not_the_limit(spark, monkeypatch):
+    made = []
+    whole = parts.slice_in_order
+
+    def counted(df, keys, order, slices):
+        made.append(slices)
+        return whole(df, keys, order, slices)
+
+    monkeypatch.setattr(parts, "slice_in_order", counted)
+    monkeypatch.setattr(windows, "slice_in_order", counted)
+    df = spark.range(4_000).select((F.col("id") % 100).alias("g"), "id")
+    cut = parts.ordered_parts(df, ["g"], ["id"], F.lit(1).cast("long"), 10)
+    sizes = cut.groupBy("g", "part").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("lo"))
+    assert rows(sizes) == sorted(((g, p, 10, g + 1000 * p) for g in range(100) for p in range(4)), key=lambda t: [(True, str(v)) for v in t])
+    numbered = running_window(df, ["g"], ["id"], limit=10)
+    assert numbered.where("rn <> 1 + (id - g) / 100").count() == 0 and numbered.count() == 4_000
+    # Two slices for each limit would be 802.
+    assert made == [spark.sparkContext.defaultParallelism] * 2
