@@ -933,9 +933,12 @@ def _bulk_writer(spark, sf):
         & (F.sum(F.octet_length("payload")) == counts["n_bytes"])
     ).first()[0]
     line = F.split(F.rtrim("payload", F.lit("\n")), "\n")
-    # An action and a body in turn.
-    pairs = F.transform(F.sequence(F.lit(0), F.size(line) - 2, F.lit(2)), lambda k: F.struct(F.get(line, k).alias("action"), F.get(line, k + 1).alias("body")))
-    rows = batches.select(F.inline(pairs)).select(
+    # An action and a body in turn. The text is split outside the functions of its lines, once for each side.
+    pairs = F.arrays_zip(
+        F.filter(line, lambda _, k: k % 2 == 0).alias("action"), F.filter(line, lambda _, k: k % 2 == 1).alias("body")
+    )
+    # The outer form, filtered: for the inner form Spark would split once more to test the size.
+    rows = batches.select(F.inline_outer(pairs)).filter("action IS NOT NULL").select(
         F.get_json_object("action", "$.index._id").alias("action_id"),
         F.inline_outer(F.array(F.from_json("body", "o_orderkey bigint, o_custkey bigint, o_orderpriority string"))),
     )

@@ -30,6 +30,9 @@ FORMAT = "docloom_bulk"
 MANIFEST = "manifest.json"
 COUNTS = ("n_docs", "n_bytes", "n_batches")
 
+# Bytes of request bodies that a task reads.
+TASK_BYTES = 64 * 1024 * 1024
+
 
 def opened(path: str) -> tuple[fs.FileSystem, str]:
     """The file system of ``path`` and the path in it."""
@@ -164,13 +167,17 @@ def write_bulk(lines: DataFrame, path: str, max_docs: int = BATCH_DOCS, max_byte
 
 
 def read_bulk(spark: SparkSession, path: str) -> DataFrame:
-    """``(part, batch, n_docs, n_bytes, payload)``: the request bodies of a load, from the parts its manifest names."""
+    """``(part, batch, n_docs, n_bytes, payload)``: the request bodies of a load, from the parts its manifest names.
+
+    Their index, a short row each, is dealt over the tasks, whatever the sizes of the parts.
+    """
     manifest = read_manifest(path)
     folder = f"{path.rstrip('/')}/{manifest['folder']}"
     schema = "part string, batch long, start long, n_docs long, n_bytes long"
     if not manifest["n_batches"]:
         return spark.createDataFrame([], "part string, batch long, n_docs long, n_bytes long, payload string")
-    index = spark.read.schema(schema).option("pathGlobFilter", "*.json").json(folder)
+    tasks = max(spark.sparkContext.defaultParallelism, -(-manifest["n_bytes"] // TASK_BYTES))
+    index = spark.read.schema(schema).option("pathGlobFilter", "*.json").json(folder).repartition(tasks)
     out = pa.schema([("part", pa.string()), ("batch", pa.int64()), ("n_docs", pa.int64()), ("n_bytes", pa.int64()), ("payload", pa.string())])
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

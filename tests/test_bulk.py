@@ -83,3 +83,27 @@ def test_what_other_attempts_left_does_not_count(tmp_path):
     writer.commit([PartWritten("part-00000-again", 1, 2, 1)])
     assert sorted(p.name for p in folder.iterdir()) == ["part-00000-again.bulk", "part-00000-again.json"]
     assert read_manifest(str(tmp_path))["n_docs"] == 1
+
+
+def test_index_is_dealt_over_tasks(spark, tmp_path):
+    # One part with every batch.
+    lines = spark.range(0, 3_000, 1, 1).select(F.col("id").cast("string").alias("doc_id"), F.concat(F.col("id").cast("string"), F.lit("\n")).alias("value"))
+    counts = write_bulk(lines, str(tmp_path / "load"), max_docs=10)
+    got = read_bulk(spark, str(tmp_path / "load"))
+    held = [r["n"] for r in got.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert sum(held) == counts["n_batches"] == 300
+    assert len(held) == spark.sparkContext.defaultParallelism and max(held) <= 2 * 300 / len(held)
+
+
+def test_bulk_writer_splits_a_payload_outside_of_loops(spark, tmp_path):
+    from docloom.plans.queries import QUERIES
+
+    data = [(i, None if i % 7 == 0 else i % 5, "O", None if i % 11 == 0 else f"{i} \n é") for i in range(1_000)]
+    spark.createDataFrame(data, "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string").write.parquet(str(tmp_path / "orders.parquet"))
+    got = QUERIES["bulk_writer"](spark, str(tmp_path))
+    assert rows(got, "action_id", "o_orderkey", "o_custkey", "o_orderpriority") == sorted(
+        ((str(i), i, c, p) for i, c, _, p in data), key=lambda t: [(v is not None, str(v)) for v in t]
+    )
+    assert {(r["n_docs"], r["counted"]) for r in got.collect()} == {(1_000, True)}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 2 and "transform(" not in plan
