@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from docloom.operators.phrases import FILLER, Phrases, phrases_if_small
+from docloom.operators.phrases import ARC, FILLER, PAIR, Phrases, phrases_if_small
 from docloom.session import BROADCAST_BYTES, cut_lineage
 
 # The search service's built-in English stop words.
@@ -17,6 +17,9 @@ ENGLISH_STOP_WORDS = (
     "there these they this to was will with"
 ).split()
 
+# Text of a partition whose tokens are grouped: its distinct tokens take some 70 times as much memory.
+PART_BYTES = 4 * 1024 * 1024
+
 
 @dataclass(frozen=True)
 class Analyzer:
@@ -123,6 +126,12 @@ def _numbered(df: DataFrame, keep: Sequence[str], array: str, out: str) -> DataF
     return rows.filter(F.col(out).isNotNull())
 
 
+def text_parts(df: DataFrame, text_col: str) -> int:
+    """Partitions of about ``PART_BYTES`` of text each, but one for each core at least. The texts' bytes are counted."""
+    total = df.agg(F.sum(F.octet_length(text_col).cast("long")).alias("b")).first()["b"] or 0
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-total // PART_BYTES))
+
+
 def tokenize(df: DataFrame, ids: Sequence[str], text_col: str, analyzer: Analyzer | str) -> DataFrame:
     """``(ids, tokens)``: the token array of every row."""
     kind = ANALYZERS[analyzer] if isinstance(analyzer, str) else analyzer
@@ -205,7 +214,22 @@ def _joined_added(tokenized: DataFrame, ids: Sequence[str], groups: DataFrame) -
     )
 
 
-def expand_synonyms(tokenized: DataFrame, ids: Sequence[str], groups: DataFrame) -> DataFrame:
+def _own_and_added(
+    tokenized: DataFrame, ids: Sequence[str], own: Column, added: Column, kind: str, parts: int | None
+) -> DataFrame:
+    """``(ids, ...)``: the entries ``own``, made from a row's tokens, and ``added``, made by a lookup, a row each.
+
+    With ``parts`` the rows are dealt by ``ids`` between the lookup and the entries: tokens and
+    additions travel, and no entry does. Spark takes the partitions through no Python step.
+    """
+    rows = tokenized.select(*ids, "tokens", added.alias("added"))
+    rows = rows.repartition(parts, *ids) if parts else rows
+    return _found(rows, ids, F.concat(own, F.coalesce("added", F.array().cast(kind))))
+
+
+def expand_synonyms(
+    tokenized: DataFrame, ids: Sequence[str], groups: DataFrame, parts: int | None = None
+) -> DataFrame:
     """``(ids, pos, token)`` of token arrays with the terms of matching synonym groups.
 
     ``groups`` holds ``(group_id, term)``. A term of several words matches a run
@@ -213,7 +237,7 @@ def expand_synonyms(tokenized: DataFrame, ids: Sequence[str], groups: DataFrame)
     starts. Every match counts, a longer one beside the shorter ones in it. A
     position holds each token once. Nothing is shuffled, and a text without a
     match costs one lookup of its words; only groups too large to go to every
-    task are joined. ``ids`` must identify a row.
+    task are joined. ``ids`` must identify a row. For ``parts`` see :func:`analyze`.
     """
     found = phrases(groups)
     if found is None:
@@ -221,9 +245,7 @@ def expand_synonyms(tokenized: DataFrame, ids: Sequence[str], groups: DataFrame)
         return explode_tokens(tokenized, ids).unionByName(added.select(*ids, "pos", "token"))
     own = F.transform("tokens", lambda t, i: F.struct(i.alias("pos"), t.alias("token")))
     own = F.filter(own, lambda e: e["token"].isNotNull())
-    none = F.array().cast("array<struct<pos: int, token: string>>")
-    rows = tokenized.select(*ids, "tokens", found.added("tokens").alias("added"))
-    return _found(rows, ids, F.concat(own, F.coalesce("added", none)))
+    return _own_and_added(tokenized, ids, own, found.added("tokens"), PAIR, parts)
 
 
 def shingle_synonyms(tokenized: DataFrame, ids: Sequence[str], groups: DataFrame) -> DataFrame:
@@ -263,7 +285,9 @@ def _graph_phrases(groups: DataFrame) -> Phrases:
     return found
 
 
-def synonym_graph(tokenized: DataFrame, ids: Sequence[str], groups: DataFrame) -> DataFrame:
+def synonym_graph(
+    tokenized: DataFrame, ids: Sequence[str], groups: DataFrame, parts: int | None = None
+) -> DataFrame:
     """``(ids, pos, length, path, step, steps, token)``: token arrays as graphs of readings.
 
     The text's own tokens lead from each position to the next (``length`` 1,
@@ -272,23 +296,41 @@ def synonym_graph(tokenized: DataFrame, ids: Sequence[str], groups: DataFrame) -
     ``length`` tokens that the term takes, by ``steps`` words, ``step`` counting them from 0. So a
     word that stands for two is two positions long, and the words between a path's
     ends belong to this reading alone. A path that several terms give
-    occurs once.
+    occurs once. For ``parts`` see :func:`analyze`.
     """
     found = _graph_phrases(groups)
-    own = explode_tokens(tokenized, ids).select(
-        *ids, "pos", F.lit(1).alias("length"), F.lit(None).cast("string").alias("path"), F.lit(0).alias("step"), F.lit(1).alias("steps"), "token"
-    )
-    return own.unionByName(_found(tokenized, ids, found.arcs("tokens")))
 
+    def arc(token: Column, pos: Column) -> Column:
+        return F.struct(
+            pos.alias("pos"), F.lit(1).alias("length"), F.lit(None).cast("string").alias("path"),
+            F.lit(0).alias("step"), F.lit(1).alias("steps"), token.alias("token"),
+        )
+
+    own = F.filter(F.transform("tokens", arc), lambda e: e["token"].isNotNull())
+    return _own_and_added(tokenized, ids, own, found.arcs("tokens"), ARC, parts)
 
-def shingle_graph(tokenized: DataFrame, ids: Sequence[str], groups: DataFrame) -> DataFrame:
+
+def shingle_graph(
+    tokenized: DataFrame, ids: Sequence[str], groups: DataFrame, parts: int | None = None
+) -> DataFrame:
     """:func:`shingle` along the paths of :func:`synonym_graph`.
 
     A pair is two tokens of which one ends where the other starts, so none mixes words of
     two readings. ``pos`` is the position where the first word's path leaves the text.
+    For ``parts`` see :func:`analyze`.
     """
     found = _graph_phrases(groups)
-    return shingle(tokenized, ids).unionByName(_found(tokenized, ids, found.path_grams("tokens")))
+
+    def grams(word: Column, pos: Column) -> Column:
+        after = F.get("tokens", pos + 1)
+        pair = F.when(
+            (pos < F.size("tokens") - 1) & (word.isNotNull() | after.isNotNull()),
+            F.concat_ws(" ", F.coalesce(word, F.lit(FILLER)), F.coalesce(after, F.lit(FILLER))),
+        )
+        return F.array(*[F.struct(pos.alias("pos"), token.alias("token")) for token in (word, pair)])
+
+    own = F.filter(F.flatten(F.transform("tokens", grams)), lambda e: e["token"].isNotNull())
+    return _own_and_added(tokenized, ids, own, found.path_grams("tokens"), PAIR, parts)
 
 
 def analyze(
@@ -297,13 +339,21 @@ def analyze(
     text_col: str,
     analyzer: Analyzer | str = "default",
     groups: DataFrame | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
-    """``(ids, pos, token)`` of ``text_col`` under one of :data:`ANALYZERS` or an own one."""
+    """``(ids, pos, token)`` of ``text_col`` under one of :data:`ANALYZERS` or an own one.
+
+    With ``parts``, see :func:`text_parts`, the texts are dealt by ``ids`` over as many partitions before
+    their tokens become rows, which are many times larger: grouping these by ``ids``
+    and more shuffles none of them. Shingles of ``shingle_synonyms`` are left as they are.
+    """
     kind = ANALYZERS[analyzer] if isinstance(analyzer, str) else analyzer
-    tokenized = tokenize(df, ids, text_col, kind)
     if kind.synonyms and groups is not None:
-        shingles = shingle_graph if kind.graph else shingle_synonyms
-        return (shingles if kind.shingles else expand_synonyms)(tokenized, ids, groups)
+        tokenized = tokenize(df, ids, text_col, kind)
+        if kind.shingles and not kind.graph:
+            return shingle_synonyms(tokenized, ids, groups)
+        return (shingle_graph if kind.shingles else expand_synonyms)(tokenized, ids, groups, parts)
+    tokenized = tokenize(df.repartition(parts, *ids) if parts else df, ids, text_col, kind)
     return shingle(tokenized, ids) if kind.shingles else explode_tokens(tokenized, ids)
 
 

@@ -21,7 +21,7 @@ from docloom.operators.hierarchy import ancestor_array, ancestors, csv_member_jo
 from docloom.operators.loads import dead_letters, load_stats, passes_gate, success_rate
 from docloom.operators.text import (
     ENGLISH_STOP_WORDS, analyze, apply_mapping, copy_to, field_tokens, lowercase_normal, mapping_errors,
-    remove_spaces, special_chars_to_space, synonym_graph, tokenize,
+    remove_spaces, special_chars_to_space, synonym_graph, text_parts, tokenize,
 )
 from docloom.operators.versions import alias_actions, alias_intervals, stale_versions, version_column
 from docloom.operators.windows import running_window
@@ -1129,7 +1129,8 @@ TOKEN_ROWS = f"""
     f"SELECT doc_id, w AS token, count(*) AS n, CAST(min(pos) AS BIGINT) AS first_pos FROM ({TOKEN_ROWS}) WHERE w IS NOT NULL GROUP BY ALL",
 )
 def _tokens(spark, sf):
-    tokens = analyze(wide(spark, sf, "documents", "doc_id", "text"), ["doc_id"], "text", "default")
+    documents = table(spark, sf, "documents").select("doc_id", "text")
+    tokens = analyze(documents, ["doc_id"], "text", "default", parts=text_parts(documents, "text"))
     return tokens.groupBy("doc_id", "token").agg(
         F.count(F.lit(1)).alias("n"), F.min("pos").cast("long").alias("first_pos")
     )
@@ -1236,8 +1237,9 @@ EXPANDED = f"""
     EXPANDED + "SELECT doc_id, token, count(*) AS n, CAST(sum(pos) AS BIGINT) AS positions FROM every_token GROUP BY ALL",
 )
 def _synonym_expand(spark, sf):
+    documents = wide(spark, sf, "documents", "doc_id", "text")
     tokens = analyze(
-        wide(spark, sf, "documents", "doc_id", "text"), ["doc_id"], "text", "default", _synonym_groups_of_site(spark)
+        documents, ["doc_id"], "text", "default", _synonym_groups_of_site(spark), text_parts(documents, "text")
     )
     return tokens.groupBy("doc_id", "token").agg(
         F.count(F.lit(1)).alias("n"), F.sum("pos").alias("positions")
@@ -1291,7 +1293,8 @@ GRAPH = f"""
     """,
 )
 def _synonym_graph(spark, sf):
-    tokenized = tokenize(wide(spark, sf, "documents", "doc_id", "text"), ["doc_id"], "text", "default")
+    documents = wide(spark, sf, "documents", "doc_id", "text")
+    tokenized = tokenize(documents, ["doc_id"], "text", "default")
     arcs = synonym_graph(tokenized, ["doc_id"], _synonym_groups_of_site(spark))
     return arcs.groupBy("doc_id", "length", "path", "step", "steps", "token").agg(
         F.count(F.lit(1)).alias("n"), F.sum("pos").alias("positions")
@@ -1310,8 +1313,9 @@ def _synonym_graph(spark, sf):
     """,
 )
 def _graph_shingles(spark, sf):
+    documents = wide(spark, sf, "documents", "doc_id", "text")
     grams = analyze(
-        wide(spark, sf, "documents", "doc_id", "text"), ["doc_id"], "text", "shingle_search", _synonym_groups_of_site(spark)
+        documents, ["doc_id"], "text", "shingle_search", _synonym_groups_of_site(spark), text_parts(documents, "text")
     )
     return grams.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n"), F.sum("pos").alias("positions"))
 

@@ -205,3 +205,21 @@ def test_expansion_neither_joins_nor_shuffles(spark):
     plain = tokenize(texts(spark, "a b"), ["id"], "t", "default")
     plan = expand_synonyms(plain, ["id"], groups_of(spark, "a,b"))._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Exchange" not in plan
+
+
+@pytest.mark.parametrize("name", ["tokens", "synonym_expand", "graph_shingles"])
+def test_tokens_are_counted_where_their_texts_were_dealt(spark, tmp_path, name):
+    from docloom.plans.queries import QUERIES
+
+    # Ids that repeat or are null, no text, and stop words next to phrases.
+    texts = [(1, "de la mer und der Tag"), (1, "de la mer und der Tag"), (None, "du pain"), (None, "the du"), (2, None), (3, ""), (4, "the a the")]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = QUERIES[name](spark, str(tmp_path))
+    assert "ENSURE_REQUIREMENTS" not in found._jdf.queryExecution().executedPlan().toString()
+    n = {(r["doc_id"], r["token"]): 0 for r in found.collect()}
+    for r in found.collect():
+        n[r["doc_id"], r["token"]] += r["n"]
+    assert n[1, "mer"] == 2 and n[1, "de"] == 2 and n[None, "du"] == 2 and n[None, "pain"] == 1
+    assert not {2, 3, 4} & {doc_id for doc_id, _ in n}
+    if name == "graph_shingles":
+        assert n[None, "_ du"] == 1 and n[1, "de la"] == 2 and n[1, "du mer"] == 2
