@@ -1295,7 +1295,7 @@ GRAPH = f"""
 def _synonym_graph(spark, sf):
     documents = wide(spark, sf, "documents", "doc_id", "text")
     tokenized = tokenize(documents, ["doc_id"], "text", "default")
-    arcs = synonym_graph(tokenized, ["doc_id"], _synonym_groups_of_site(spark))
+    arcs = synonym_graph(tokenized, ["doc_id"], _synonym_groups_of_site(spark), text_parts(documents, "text"))
     return arcs.groupBy("doc_id", "length", "path", "step", "steps", "token").agg(
         F.count(F.lit(1)).alias("n"), F.sum("pos").alias("positions")
     )

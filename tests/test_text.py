@@ -207,7 +207,7 @@ def test_expansion_neither_joins_nor_shuffles(spark):
     assert "Join" not in plan and "Exchange" not in plan
 
 
-@pytest.mark.parametrize("name", ["tokens", "synonym_expand", "graph_shingles"])
+@pytest.mark.parametrize("name", ["tokens", "synonym_expand", "synonym_graph", "graph_shingles"])
 def test_tokens_are_counted_where_their_texts_were_dealt(spark, tmp_path, name):
     from docloom.plans.queries import QUERIES
 
