@@ -59,6 +59,18 @@ def _fresh(values: np.ndarray) -> np.ndarray:
     return np.append(True, values[1:] != values[:-1])[: len(values)]
 
 
+def _sorting(values: np.ndarray, top: int) -> np.ndarray:
+    """Stable order of values from 0 to ``top``; where value and place fit one number, numbers are sorted, which is faster."""
+    bits = len(values).bit_length()
+    if top.bit_length() + bits > 63:
+        return np.argsort(values, kind="stable")
+    packed = values.astype(np.int64) << bits
+    packed |= np.arange(len(values))
+    packed.sort()
+    packed &= (1 << bits) - 1
+    return packed
+
+
 def shard(strings: list[bytes], depth: int) -> Shard:
     """Sort the suffixes of some strings by their first ``depth`` symbols and derive the transform."""
     marks = np.cumsum([len(s) + 1 for s in strings], dtype=np.int64) - 1
@@ -80,7 +92,7 @@ def shard(strings: list[bytes], depth: int) -> Shard:
         jump = min(reached, depth - reached)
         here = order[open_]
         both = rank[here] * n + rank[here + jump]
-        by = np.argsort(both)
+        by = _sorting(both, n * n)
         here, both = here[by], both[by]
         order[open_] = here
         split = _fresh(both)
@@ -112,7 +124,7 @@ class _Steps:
             size = high[rest] - low[rest]
             rows = np.arange(size.sum()) + np.repeat(low[rest] - np.cumsum(size) + size, size)
             key = (np.repeat(rest, size) << BITS) | self.symbols[rows]
-            by = np.argsort(key, kind="stable")
+            by = _sorting(key, len(low) << BITS)
             key, rows = key[by], rows[by]
             begins = np.flatnonzero(_fresh(key))
             ends = np.append(begins[1:], len(key)) - 1
@@ -163,7 +175,7 @@ def merge(a: Shard, b: Shard, depth: int) -> Merged:
         run_a, symbol_a, from_a, to_a = first.longer(low_a, high_a)
         run_b, symbol_b, from_b, to_b = second.longer(low_b, high_b)
         keys = np.concatenate([symbol_a, symbol_b]) * len(low_a) + np.concatenate([run_a, run_b])
-        by = np.argsort(keys)
+        by = _sorting(keys, len(low_a) << BITS)
         new = _fresh(keys[by])
         place = np.empty(len(keys), np.int64)
         place[by] = np.cumsum(new) - 1

@@ -22,6 +22,8 @@ from docloom.llm.bwt import repeated_places
 from docloom.llm.common import Scratch, spread_input, text_or_empty
 
 BYTES_AT_ONCE = 1 << 20
+#: Texts hashed at once: eight bytes and more for each of theirs are to stay in the cache.
+HASHED_AT_ONCE = 1 << 18
 #: Segments of one anchor merged in a task (at most 1.5 MB). The windows of an
 #: anchor with more are counted one by one by their hashes instead.
 ANCHOR_SEGMENTS = 4_096
@@ -30,11 +32,11 @@ MERGE_BYTES = 1 << 20
 ID = ["doc_id", "text_hash"]
 
 
-def _slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+def _slices(batch: pa.RecordBatch, column: int, at_once: int = BYTES_AT_ONCE) -> Iterator[pa.RecordBatch]:
     low = held = 0
     for k, value in enumerate(batch.column(column)):
         size = len(value.as_buffer()) if value.is_valid else 0
-        if k > low and held + size > BYTES_AT_ONCE:
+        if k > low and held + size > at_once:
             yield batch.slice(low, k - low)
             low, held = k, 0
         held += size
@@ -42,6 +44,12 @@ def _slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
         yield batch.slice(low)
 
 
+def _flat(lists: pa.ListArray) -> tuple[np.ndarray, list[pa.Array]]:
+    """Row number and fields of all structs in a column of their lists."""
+    sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    return np.repeat(np.arange(len(lists)), sizes), lists.flatten().flatten()
+
+
 def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     body = text_or_empty(text)
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(body).alias("text_hash"), body.cast("binary").alias("bytes"))
@@ -53,7 +61,7 @@ def segment_rows(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for some in _slices(batch, 2):
+            for some in _slices(batch, 2, HASHED_AT_ONCE):
                 number, anchor, hashed, place = segments(some.column(2).to_pylist())
                 at = pa.array(number)
                 yield pa.RecordBatch.from_arrays(
@@ -70,15 +78,13 @@ def _contents(marked: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for some in _slices(batch, 0):
-                rows: list[tuple] = []
-                for text, cuts in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
-                    for cut in cuts:
-                        start, windows = divmod(cut["place"], PLACE)
-                        rows.append((cut["anchor"], cut["segment"], text[start : start + windows + WINDOW - 1]))
-                columns = list(zip(*rows)) or [(), (), ()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
-
-    cuts = F.filter("cuts", lambda x: x["differs"])
+                number, (anchor, segment, place) = _flat(some.column(1))
+                texts = some.column(0).to_pylist()
+                start, windows = np.divmod(place.to_numpy(), PLACE)
+                cut = [texts[k][a:b] for k, a, b in zip(number.tolist(), start.tolist(), (start + windows + WINDOW - 1).tolist())]
+                yield pa.RecordBatch.from_arrays([anchor, segment, pa.array(cut, pa.binary())], schema=schema)
+
+    cuts = F.transform(F.filter("cuts", lambda x: x["differs"]), lambda x: F.struct(x["anchor"], x["segment"], x["place"]))
     rows = marked.where(F.exists("cuts", lambda x: x["differs"])).select("bytes", cuts.alias("cuts"))
     return rows.mapInArrow(run, "anchor long, segment long, bytes binary")
 
@@ -163,6 +169,17 @@ def _spans_of(windows: Column) -> Column:
     )
 
 
+def _joined(row: np.ndarray, spans: list[pa.Array]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(row, from, to)`` of the maximal runs that spans of rows cover, in order; spans that touch are joined."""
+    low, high = (x.to_numpy() for x in spans)
+    by = np.lexsort((low, row))
+    row, low, high = row[by], low[by], high[by]
+    reach = np.maximum.accumulate(row * (1 << 32) + high)  # texts are shorter than 2^31 bytes: no row reaches into the next
+    first = np.append(True, (row * (1 << 32) + low)[1:] > reach[:-1])[: len(row)]
+    last = np.append(first[1:], True)[: len(row)]
+    return row[first], low[first], reach[last] - (row[last] << 32)
+
+
 def _cut(texts: DataFrame) -> DataFrame:
     """Remove ``spans`` from ``bytes``: ``(doc_id, n_bytes, n_removed, n_spans, kept, spans)``."""
     kind = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
@@ -174,22 +191,20 @@ def _cut(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for some in _slices(batch, 1):
-                rows = []
-                for doc_id, content, spans in zip(*(c.to_pylist() for c in some.columns)):
-                    joined: list[dict] = []
-                    for span in sorted(spans or [], key=lambda s: s["from"]):
-                        if joined and span["from"] <= joined[-1]["to"]:
-                            joined[-1]["to"] = max(joined[-1]["to"], span["to"])
-                        else:
-                            joined.append(dict(span))
-                    ends = [0, *(s["to"] for s in joined)]
-                    starts = [*(s["from"] for s in joined), len(content)]
-                    kept = b"".join(content[a:b] for a, b in zip(ends, starts))
-                    rows.append({
-                        "doc_id": doc_id, "n_bytes": len(content), "n_removed": len(content) - len(kept),
-                        "n_spans": len(joined), "kept": kept, "spans": joined,
-                    })
-                yield pa.RecordBatch.from_pylist(rows, schema)
+                contents = some.column(1).to_pylist()
+                row, low, high = _joined(*_flat(some.column(2)))
+                at = np.searchsorted(row, np.arange(len(contents) + 1))
+                kept, lows, highs = [], low.tolist(), high.tolist()
+                for content, a, z in zip(contents, at[:-1].tolist(), at[1:].tolist()):
+                    ends, starts = [0, *highs[a:z]], [*lows[a:z], len(content)]
+                    kept.append(b"".join([content[x:y] for x, y in zip(ends, starts)]) if z > a else content)
+                n = np.fromiter(map(len, contents), np.int64, len(contents))
+                left = np.fromiter(map(len, kept), np.int64, len(kept))
+                spans = pa.StructArray.from_arrays([pa.array(low), pa.array(high)], fields=list(kind.value_type))
+                yield pa.RecordBatch.from_arrays(
+                    [some.column(0), pa.array(n), pa.array(n - left), pa.array(np.diff(at)), pa.array(kept, pa.binary()),
+                     pa.ListArray.from_arrays(pa.array(at, pa.int32()), spans, type=kind)], schema=schema,
+                )
 
     return texts.select("doc_id", "bytes", "spans").mapInArrow(
         run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, spans array<struct<from: long, to: long>>"
@@ -207,7 +222,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     scratch = Scratch(docs.sparkSession, "repeats")
     texts = _texts(docs, doc_id, text)
-    found = segment_rows(texts)
+    found = scratch.table(segment_rows(texts), "segments")  # read twice
     anchors = (
         found.groupBy("anchor")
         .agg(F.count(F.lit(1)).alias("n"), F.min("segment").alias("low"), F.max("segment").alias("high"))
@@ -219,6 +234,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.collect_set(F.struct("anchor", "segment", "place", "differs")).alias("cuts")
     )
     cuts = scratch.table(cuts, "cuts")
+    scratch.drop("segments")
     right = cuts.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "cuts").hint("merge")
     marked = texts.join(right, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left").drop("_id", "_hash")
     marked = scratch.table(marked, "marked")
@@ -245,7 +261,10 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         .groupBy(*ID)
         .agg(F.flatten(F.collect_list("spans")).alias("found"))
     )
-    by_text = scratch.table(by_text, "spans").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "found").hint("merge")
+    by_text = scratch.table(by_text, "spans")
+    scratch.drop("cuts")
+    scratch.drop("contents")
+    by_text = by_text.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "found").hint("merge")
     equal = F.transform(
         F.filter("cuts", lambda c: ~c["differs"]),
         lambda c: _span(F.floor(c["place"] / PLACE), F.pmod(c["place"], F.lit(PLACE))),

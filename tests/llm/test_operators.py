@@ -9,10 +9,11 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from docloom.llm import bwt
+from docloom.llm import bwt, repeats
 from docloom.llm.anchors import PLACE, segments
 from docloom.llm.exact import drop_exact, exact_groups
 from docloom.llm.idfiles import read_document, round_trip
@@ -122,6 +123,47 @@ def test_repeats_of_empty_table(none):
     assert remove_repeats(none).count() == 0
 
 
+def test_repeats_hash_every_text_once(spark, monkeypatch):
+    rows = spark.createDataFrame([(k, prose(k % 7, 150)) for k in range(20)], "doc_id long, text string")
+    hashed, whole = spark.sparkContext.accumulator(0), repeats.segment_rows
+
+    def counted(texts):
+        def run(batches):
+            for batch in batches:
+                hashed.add(batch.num_rows)
+                yield batch
+
+        return whole(texts.mapInArrow(run, texts.schema))
+
+    monkeypatch.setattr(repeats, "segment_rows", counted)
+    assert remove_repeats(rows).where("n_removed = n_bytes").count() == 20
+    assert hashed.value == 20
+
+
+def test_joined_spans_cover_the_same_bytes():
+    rng = random.Random(3)
+    lists = [[(a, a + rng.randint(1, 9)) for a in rng.sample(range(60), rng.randint(0, 9))] for _ in range(200)] + [[], None]
+    column = pa.array([x and [{"from": a, "to": b} for a, b in x] for x in lists], pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())])))
+    for at in (0, 3):  # a slice of a column starts elsewhere
+        row, low, high = repeats._joined(*repeats._flat(column.slice(at)))
+        want = []
+        for k, spans in enumerate(lists[at:]):
+            gone = np.zeros(72, int)
+            for a, b in spans or []:
+                gone[a + 1 : b + 1] = 1
+            edge = np.diff(gone)
+            want += [(k, int(a), int(z)) for a, z in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1))]
+        assert list(zip(row.tolist(), low.tolist(), high.tolist())) == want
+
+
+def test_packed_sorting_is_stable_order():
+    rng = np.random.default_rng(4)
+    for top in (0, 1, 50, 1 << 40, (1 << 63) - 1):  # the last does not fit and is sorted plainly
+        for n in (0, 1, 2, 7, 1000):
+            values = rng.integers(0, top, n, endpoint=True)
+            assert bwt._sorting(values, top).tolist() == np.argsort(values, kind="stable").tolist()
+
+
 def test_merged_transforms_give_repeated_places():
     rng = random.Random(7)
     for _ in range(150):
